@@ -37,7 +37,11 @@ MEDAL_NAME = "Killing Spree"                     # medal name given to p_type 'P
 
 def web_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """`events` re-bound to the web-traffic shape (url, referrer, host, device)."""
-    ev = read(spark, sf_dir, "events")
+    return web_events_of(read(spark, sf_dir, "events"))
+
+
+def web_events_of(ev: DataFrame) -> DataFrame:
+    """The web-events projection of an `events`-shaped frame (batch or streaming)."""
     k = F.get_json_object("props", "$.k").cast("int")
     ref = F.when(k % 7 == 0, F.lit(REFERRERS[0]))
     for i in range(1, 6):
