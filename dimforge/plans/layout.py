@@ -146,7 +146,8 @@ def bucketed_order_lines(spark, sf) -> DataFrame:
     li = tb.read(spark, sf, "lineitem").select("l_orderkey", "l_quantity")
     to = spark.table(lo.write_bucketed(spark, o, N_BUCKETS, "o_orderkey", "orders_b"))
     tl = spark.table(lo.write_bucketed(spark, li, N_BUCKETS, "l_orderkey", "lineitem_b"))
-    return _order_lines(to, tl)
+    # merge hint: at small scale the planner would broadcast a side instead of using the buckets
+    return _order_lines(to.hint("merge"), tl)
 
 
 @query("join_bucketed", _JOIN_SQL)
