@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -15,16 +15,15 @@ def cols(names: str | Sequence[str]) -> list[str]:
 def dedup_first(df: DataFrame, keys: str | Sequence[str], order: str | Sequence[str]) -> DataFrame:
     """Keep one row per key: the smallest by ``order``, ties broken by every other column.
 
-    Expressed as an aggregation (``min`` of a struct), so duplicates collapse in
-    the map-side partial aggregate before the shuffle, and a hot key with many
-    copies never lands whole in one task the way a ``row_number`` window would.
+    Written as ``row_number() == 1`` over a total order: Spark plans a
+    partial ``WindowGroupLimit`` before the shuffle, so each map task keeps
+    only its best row per key and a hot key with many copies never ships
+    whole to one task (the same effect as a map-side partial aggregate).
     """
     keys, order = cols(keys), cols(order)
     rest = [c for c in df.columns if c not in keys and c not in order]
-    packed = F.min(F.struct(*[F.col(c) for c in order + rest])).alias("_first")
-    return (df.groupBy(*keys).agg(packed)
-              .select(*keys, *[F.col(f"_first.{c}").alias(c) for c in order + rest])
-              .select(*df.columns))
+    w = Window.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_first() for c in order + rest])
+    return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
 
 
 def changed(col: str, w: Window) -> Column:
@@ -68,3 +67,43 @@ def tier(col: Column | str, thresholds: Sequence[float],
     for th, lab in zip(thresholds[1:], labels[1:]):
         out = out.when(c > th, F.lit(lab))
     return out.otherwise(F.lit(labels[len(thresholds)]))
+
+
+def sequence_positions(df: DataFrame, key: str, day: str, tie: Sequence[str], flag: str) -> DataFrame:
+    """Add ``_pos`` (1-based position in the key's (day, tie) order) and ``_cnt`` (running
+    count of ``flag`` rows up to and including this one).
+
+    Built from (key, day) aggregates -- a prefix sum over days, whose table is
+    bounded by the calendar -- plus a rank inside each day, so no window ever
+    spans all rows of a key and a key holding a third of the data is still
+    spread over many tasks.
+    """
+    f = F.col(flag).cast("int")
+    day_agg = df.groupBy(key, day).agg(F.count(F.lit(1)).alias("_n"), F.sum(f).alias("_f"))
+    before = Window.partitionBy(key).orderBy(day).rowsBetween(Window.unboundedPreceding, -1)
+    day_agg = day_agg.select(key, day, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_n0"),
+                             F.coalesce(F.sum("_f").over(before), F.lit(0)).alias("_f0"))
+    within = Window.partitionBy(key, day).orderBy(*tie)
+    g = (df.withColumn("_r", F.row_number().over(within))
+           .withColumn("_cf", F.sum(f).over(within.rowsBetween(Window.unboundedPreceding, 0))))
+    return (g.join(day_agg, [key, day])
+             .withColumn("_pos", F.col("_n0") + F.col("_r"))
+             .withColumn("_cnt", F.col("_f0") + F.col("_cf"))
+             .drop("_n0", "_f0", "_r", "_cf"))
+
+
+def fold_steps(state: DataFrame, periods: Iterable, step: Callable[[DataFrame, object], DataFrame],
+               cut_every: int = 1) -> DataFrame:
+    """Apply a period step repeatedly (yesterday's table -> today's table).
+
+    Every ``cut_every`` steps the state is checkpointed into the folder set
+    by ``spark.checkpoint.dir``: the lineage stays one step long, a lost
+    executor recomputes at most ``cut_every`` steps, and the plan does not
+    grow with the number of periods.
+    """
+    for i, p in enumerate(periods, start=1):
+        state = step(state, p)
+        if cut_every and i % cut_every == 0:
+            state = state.checkpoint(eager=True)
+    return state
+

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from dimforge.operators.common import sequence_positions
+
 ACTIVE_STATES = ("Retained", "Resurrected", "New")
 
 # fixed value: our own web hosts count as on-site referrers
@@ -200,37 +202,26 @@ def window_trend(daily: DataFrame, part: Sequence[str], date: str, count: str, m
 def rolling_max_wins(team_games: DataFrame, team: str, date: str, game: str, win: str, n: int) -> DataFrame:
     """Most wins in any ``n`` consecutive games per team, without a per-team window over all games.
 
-    Game i's position and its prefix win count are built from (team, day)
-    aggregates (a window over days, not games) plus a rank inside the day;
-    wins in games (i-n, i] = prefix(i) - prefix(i-n), found by an equi-join
-    on (team, position - n). Every shuffle is keyed finer than the team, so
-    a team with a third of all games is still spread over many tasks.
+    Wins in games (i-n, i] = prefix(i) - prefix(i-n); positions and prefix
+    counts come from ``sequence_positions`` and the lagged prefix is found by
+    an equi-join on (team, position - n).
     """
-    day = team_games.groupBy(team, date).agg(F.count(F.lit(1)).alias("_n"), F.sum(win).alias("_w"))
-    wd = Window.partitionBy(team).orderBy(date).rowsBetween(Window.unboundedPreceding, -1)
-    day = (day.withColumn("_n0", F.coalesce(F.sum("_n").over(wd), F.lit(0)))
-              .withColumn("_w0", F.coalesce(F.sum("_w").over(wd), F.lit(0))))
-    wg = Window.partitionBy(team, date).orderBy(game)
-    g = (team_games.withColumn("_r", F.row_number().over(wg))
-                   .withColumn("_cw", F.sum(win).over(wg.rowsBetween(Window.unboundedPreceding, 0))))
-    g = g.join(day.select(team, date, "_n0", "_w0"), [team, date])
-    pref = g.select(team, (F.col("_n0") + F.col("_r")).alias("_i"), (F.col("_w0") + F.col("_cw")).alias("_W"))
+    pref = sequence_positions(team_games, team, date, [game], win).select(
+        team, F.col("_pos").alias("_i"), F.col("_cnt").alias("_W"))
     back = pref.select(team, (F.col("_i") + n).alias("_i"), F.col("_W").alias("_Wb"))
     r = pref.join(back, [team, "_i"], "left")
-    return r.groupBy(team).agg(F.max(F.col("_W") - F.coalesce(F.col("_Wb"), F.lit(0))).alias(f"max_wins_{n}"))
+    return r.groupBy(team).agg(F.max(F.col("_W") - F.coalesce(F.col("_Wb"), F.lit(0))).cast("bigint")
+                               .alias(f"max_wins_{n}"))
 
 
-def longest_streak(df: DataFrame, key: str, order: Sequence[str], cond: Column) -> DataFrame:
+def longest_streak(df: DataFrame, key: str, day: str, tie: Sequence[str], cond: Column) -> DataFrame:
     """Longest run of consecutive rows meeting ``cond`` per entity (gaps and islands).
 
-    Island id = row index - index among qualifying rows; the windows run
-    over one entity's games.
+    Island id = position - running count of qualifying rows; both come from
+    ``sequence_positions`` (no window over all of an entity's rows).
     """
-    w = Window.partitionBy(key).orderBy(*order)
-    d = (df.withColumn("_ok", cond)
-           .withColumn("_i", F.row_number().over(w))
-           .withColumn("_j", F.sum(F.col("_ok").cast("int")).over(w.rowsBetween(Window.unboundedPreceding, 0))))
-    runs = (d.filter("_ok").groupBy(key, (F.col("_i") - F.col("_j")).alias("_island"))
+    d = sequence_positions(df.withColumn("_ok", cond), key, day, tie, "_ok")
+    runs = (d.filter("_ok").groupBy(key, (F.col("_pos") - F.col("_cnt")).alias("_island"))
               .agg(F.count(F.lit(1)).alias("_len")))
     ents = df.select(key).distinct()
     best = runs.groupBy(key).agg(F.max("_len").alias("longest_streak"))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dimforge.operators import cumulation as cu
+from dimforge.operators.common import fold_steps
 from dimforge.plans import query
 from dimforge.sources import tables as tb
 from dimforge.sources.oracle_views import with_views
@@ -134,10 +135,9 @@ def q_enum_check(spark, sf):
 def films_chain(spark, sf, first: int = STEP - 1, last: int = STEP) -> DataFrame:
     fl = tb.films(spark, sf)
     snap = cu.empty_multi_snapshot(fl, "actorid", "year", F_STRUCT, ["actor"])
-    for yr in range(first, last + 1):
-        snap = cu.cumulate_step_multi(snap, fl, "actorid", "year", yr, "filmid", F_STRUCT, ["actor"],
-                                      "rating", tb.FILM_TIERS)
-    return snap
+    return fold_steps(snap, range(first, last + 1),
+                      lambda s, yr: cu.cumulate_step_multi(s, fl, "actorid", "year", yr, "filmid", F_STRUCT,
+                                                           ["actor"], "rating", tb.FILM_TIERS))
 
 
 @query("cumulate_step_multi", with_views("films") + f"""

@@ -135,8 +135,9 @@ def details_grouping_sets(fct: DataFrame, games: DataFrame) -> DataFrame:
                           "player_id", "team_id", "season")
             .agg(F.sum("m_pts").alias("total_points"), F.countDistinct("_won_game").alias("total_wins"),
                  F.grouping_id().alias("_gid")))
-    level = (F.when(F.col("season").isNull() & F.col("player_id").isNotNull(), F.lit("player_team"))
-              .when(F.col("player_id").isNotNull(), F.lit("player_season"))
+    # grouping_id bits over (player_id, team_id, season): 1 = rolled up
+    level = (F.when(F.col("_gid") == 1, F.lit("player_team"))
+              .when(F.col("_gid") == 2, F.lit("player_season"))
               .otherwise(F.lit("team")))
     agg = agg.withColumn("aggregation_level", level)
     metric = F.when(F.col("aggregation_level") == "team", F.col("total_wins")).otherwise(F.col("total_points"))
@@ -242,4 +243,4 @@ GROUP BY p.dim_player_id""")
 def q_longest_streak(spark, sf):
     f = conform(spark, sf)
     return pa.longest_streak(f.select("dim_player_id", "dim_game_date", "dim_game_id", "m_pts"), "dim_player_id",
-                             ["dim_game_date", "dim_game_id"], F.col("m_pts") > STREAK_PTS)
+                             "dim_game_date", ["dim_game_id"], F.col("m_pts") > STREAK_PTS)

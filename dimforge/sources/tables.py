@@ -42,11 +42,12 @@ def web_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def web_events_of(ev: DataFrame) -> DataFrame:
     """The web-events projection of an `events`-shaped frame (batch or streaming)."""
-    k = F.get_json_object("props", "$.k").cast("int")
+    # parse the JSON once; later expressions read the column, not the parse
+    k = F.col("k")
     ref = F.when(k % 7 == 0, F.lit(REFERRERS[0]))
     for i in range(1, 6):
         ref = ref.when(k % 7 == i, F.lit(REFERRERS[i]))
-    return (ev.withColumn("k", k)
+    return (ev.withColumn("k", F.get_json_object("props", "$.k").cast("int"))
               .select(
                   "event_id",
                   F.col("ts").alias("event_time"),

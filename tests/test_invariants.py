@@ -14,6 +14,7 @@ from dimforge.operators import experiments as ex
 from dimforge.operators import facts as fa
 from dimforge.operators import patterns as pa
 from dimforge.operators import scd
+from dimforge.operators.common import fold_steps
 from dimforge.plans.cumulation import S_STATIC, S_STRUCT, season_backfill
 from dimforge.sources import tables as tb
 
@@ -27,10 +28,9 @@ def test_step_chain_equals_backfill(spark):
     seasons = tb.seasons(spark, SF_SMALL)
     snap = cu.empty_snapshot(seasons, "player_id", "season", S_STRUCT, S_STATIC).withColumn(
         "current_season", F.lit(1994))
-    for yr in range(1995, 1999):
-        snap = cu.cumulate_step(snap, seasons, "player_id", "season", yr, S_STRUCT, S_STATIC, "pts",
-                                tb.SEASON_TIERS)
-        snap = snap.checkpoint(eager=True)
+    snap = fold_steps(snap, range(1995, 1999),
+                      lambda s, yr: cu.cumulate_step(s, seasons, "player_id", "season", yr, S_STRUCT, S_STATIC,
+                                                     "pts", tb.SEASON_TIERS))
     back = season_backfill(spark, SF_SMALL, 1998).filter(F.col("current_season") == 1998)
     assertDataFrameEqual(_flat(snap), _flat(back))
 
@@ -88,9 +88,7 @@ def test_growth_chain_equals_one_pass(spark):
     empty = spark.createDataFrame([], "user_id bigint, first_active_date date, last_active_date date, "
                                       "daily_active_state string, weekly_active_state string, "
                                       "dates_active array<date>, date date")
-    state = empty
-    for ds in days:
-        state = pa.growth_accounting_step(state, ev, "user_id", "event_time", ds).checkpoint(eager=True)
+    state = fold_steps(empty, days, lambda s, ds: pa.growth_accounting_step(s, ev, "user_id", "event_time", ds))
     one = pa.growth_accounting(ev, "user_id", "event_time", days[-1]).filter(F.col("date") == F.lit(days[-1]).cast("date"))
     chain = state.select("user_id", "first_active_date", "last_active_date", "daily_active_state",
                          "weekly_active_state", F.size("dates_active").alias("n_dates"), "date")

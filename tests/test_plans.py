@@ -37,9 +37,11 @@ def test_range_filter_reaches_the_scan(spark):
     assert "ReadSchema: struct<o_orderkey:bigint,o_custkey:bigint,o_orderdate:timestamp_ntz>" in p
 
 
-def test_dedup_is_partially_aggregated(spark):
+def test_dedup_is_limited_before_the_shuffle(spark):
     p = plan_of(REG["fact_dedup"][0](spark, SF_SMALL))
-    assert "partial_min" in p
+    # partial WindowGroupLimit below the Exchange: one row per key leaves each map task
+    below = p[p.index("Exchange hashpartitioning"):]
+    assert "WindowGroupLimit" in below
 
 
 def test_grouping_sets_single_aggregation(spark):
