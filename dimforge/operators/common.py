@@ -69,27 +69,61 @@ def tier(col: Column | str, thresholds: Sequence[float],
     return out.otherwise(F.lit(labels[len(thresholds)]))
 
 
-def sequence_positions(df: DataFrame, key: str, day: str, tie: Sequence[str], flag: str) -> DataFrame:
-    """Add ``_pos`` (1-based position in the key's (day, tie) order) and ``_cnt`` (running
-    count of ``flag`` rows up to and including this one).
-
-    Built from (key, day) aggregates -- a prefix sum over days, whose table is
-    bounded by the calendar -- plus a rank inside each day, so no window ever
-    spans all rows of a key and a key holding a third of the data is still
-    spread over many tasks.
+def null_safe_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi-join on ``on`` where NULL matches NULL (``<=>``), keeping one copy of the key columns."""
+    r = right.select(*[F.col(c).alias(f"_rk_{c}") for c in on], *[c for c in right.columns if c not in on])
+    cond = [left[c].eqNullSafe(r[f"_rk_{c}"]) for c in on]
+    return left.join(r, cond, how).drop(*[f"_rk_{c}" for c in on])
+
+
+def sequence_positions(df: DataFrame, key: str | Sequence[str], day: str | Column, tie: Sequence[str],
+                       flag: str | None = None) -> DataFrame:
+    """Add ``_pos`` (1-based position in the key's (day, tie) order) and, with ``flag``,
+    ``_cnt`` (running count of flagged rows up to and including this one).
+
+    ``day`` is any coarse column that is monotone in the order (a date, an
+    hour). Built from (key, day) aggregates -- a prefix sum over days, whose
+    table is bounded by the calendar -- plus a rank inside each day, so no
+    window spans all rows of a key and a key holding a third of the data is
+    still spread over many tasks.
     """
-    f = F.col(flag).cast("int")
-    day_agg = df.groupBy(key, day).agg(F.count(F.lit(1)).alias("_n"), F.sum(f).alias("_f"))
-    before = Window.partitionBy(key).orderBy(day).rowsBetween(Window.unboundedPreceding, -1)
-    day_agg = day_agg.select(key, day, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_n0"),
+    keys = cols(key)
+    d = df.withColumn("_day", F.col(day) if isinstance(day, str) else day)
+    f = F.col(flag).cast("int") if flag is not None else F.lit(0)
+    day_agg = d.groupBy(*keys, "_day").agg(F.count(F.lit(1)).alias("_n"), F.sum(f).alias("_f"))
+    before = Window.partitionBy(*keys).orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
+    day_agg = day_agg.select(*keys, "_day", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_n0"),
                              F.coalesce(F.sum("_f").over(before), F.lit(0)).alias("_f0"))
-    within = Window.partitionBy(key, day).orderBy(*tie)
-    g = (df.withColumn("_r", F.row_number().over(within))
-           .withColumn("_cf", F.sum(f).over(within.rowsBetween(Window.unboundedPreceding, 0))))
-    return (g.join(day_agg, [key, day])
-             .withColumn("_pos", F.col("_n0") + F.col("_r"))
-             .withColumn("_cnt", F.col("_f0") + F.col("_cf"))
-             .drop("_n0", "_f0", "_r", "_cf"))
+    within = Window.partitionBy(*keys, "_day").orderBy(*tie)
+    g = (d.withColumn("_r", F.row_number().over(within))
+          .withColumn("_cf", F.sum(f).over(within.rowsBetween(Window.unboundedPreceding, 0))))
+    out = (null_safe_join(g, day_agg, [*keys, "_day"])
+            .withColumn("_pos", F.col("_n0") + F.col("_r"))
+            .withColumn("_cnt", F.col("_f0") + F.col("_cf"))
+            .drop("_n0", "_f0", "_r", "_cf", "_day"))
+    return out if flag is not None else out.drop("_cnt")
+
+
+def number_islands(df: DataFrame, part: Sequence[str], chunk: Column, order: Sequence[str],
+                   carry: Sequence[str], starts: Callable[[dict[str, Column], dict[str, Column]], Column],
+                   name: str = "_island") -> DataFrame:
+    """Gaps and islands without a window over a whole partition.
+
+    Each row learns its predecessor (same ``part``, previous in ``order``)
+    through an equi-join on (part, position - 1); ``starts(prev, cur)`` --
+    dicts of the ``carry`` columns -- says whether the row opens a new
+    island (the first row always does); the island number is the running
+    count of openings. Positions and counts come from ``sequence_positions``.
+    """
+    p = sequence_positions(df, part, chunk, order)
+    prev = p.select(*part, (F.col("_pos") + 1).alias("_pos"), F.lit(True).alias("_has_prev"),
+                    *[F.col(c).alias(f"_prev_{c}") for c in carry])
+    j = null_safe_join(p, prev, [*part, "_pos"], "left")
+    new = F.col("_has_prev").isNull() | starts({c: F.col(f"_prev_{c}") for c in carry},
+                                               {c: F.col(c) for c in carry})
+    j = j.withColumn("_new", new).drop("_pos", "_has_prev", *[f"_prev_{c}" for c in carry])
+    return (sequence_positions(j, part, chunk, order, "_new")
+            .withColumnRenamed("_cnt", name).drop("_pos", "_new"))
 
 
 def fold_steps(state: DataFrame, periods: Iterable, step: Callable[[DataFrame, object], DataFrame],

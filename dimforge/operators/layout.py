@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from dimforge.operators.common import number_islands
 from dimforge.session import scratch_path
 
 # fixed value: default referrer of the typed enrich job (spelling kept as in the original job)
@@ -112,15 +113,19 @@ def layout_size_report(spark: SparkSession, variants: dict[str, DataFrame]) -> D
     return out
 
 
-def rle_runs(df: DataFrame, part: Sequence[str], order: Sequence[str], col: str) -> DataFrame:
-    """Run-length encode ``col`` inside each partition in ``order``: (value, run start, run length)."""
-    w = Window.partitionBy(*part).orderBy(*order)
-    prev = F.lag(col).over(w)
-    d = (df.withColumn("_new", (prev.isNull() | ~prev.eqNullSafe(F.col(col))).cast("int"))
-           .withColumn("_run", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0))))
-    return (d.groupBy(*part, "_run", col)
-             .agg(F.min(order[0]).alias("run_start"), F.count(F.lit(1)).alias("run_length"))
-             .drop("_run"))
+def rle_runs(df: DataFrame, part: Sequence[str], order: Sequence[str], col: str, chunk: Column) -> DataFrame:
+    """Run-length encode ``col`` inside each partition in ``order``: (value, run start, run length).
+
+    ``chunk`` is a coarse column monotone in the order (e.g. the hour); runs
+    are numbered by ``number_islands`` (a new run wherever the value differs
+    from the previous row), so no window covers a whole partition and a hot
+    partition is still split by chunk.
+    """
+    runs = number_islands(df.select(*part, *order, col), part, chunk, order, [col],
+                          lambda prev, cur: ~prev[col].eqNullSafe(cur[col]), name="_run")
+    return (runs.groupBy(*part, "_run", col)
+                .agg(F.min(order[0]).alias("run_start"), F.count(F.lit(1)).alias("run_length"))
+                .drop("_run"))
 
 
 def write_bucketed(spark: SparkSession, df: DataFrame, n: int, key: str, name: str) -> str:

@@ -97,7 +97,8 @@ SELECT host, event_date, url, min(event_time) AS run_start, count(*) AS run_leng
 FROM y GROUP BY host, event_date, run, url""")
 def q_rle_runs(spark, sf):
     d = tb.web_events(spark, sf).withColumn("event_date", F.to_date("event_time"))
-    return lo.rle_runs(d, ["host", "event_date"], ["event_time", "event_id"], "url")
+    return lo.rle_runs(d, ["host", "event_date"], ["event_time", "event_id"], "url",
+                       chunk=F.date_trunc("hour", "event_time"))
 
 
 @query("write_time_partitioned", """

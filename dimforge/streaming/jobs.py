@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from dimforge.operators.common import number_islands
 from dimforge.session import scratch_path
 from dimforge.sources import tables as tb
 
@@ -95,12 +96,29 @@ def stream_tumble(events: DataFrame, keys: Sequence[str], ts: str = "event_time"
 
 
 def stream_session(events: DataFrame, keys: Sequence[str], ts: str = "event_time", gap: str = SESSION_GAP,
-                   watermark: str = WATERMARK) -> DataFrame:
-    """Sessions per key: a new one starts when the gap to the previous event exceeds ``gap``."""
-    e = _event_ts(events, ts).withWatermark(ts, watermark)
-    g = e.groupBy(F.session_window(ts, gap).alias("s"), *keys).agg(F.count(F.lit(1)).alias("num_events"))
-    return g.select(*keys, F.col("s.start").cast("timestamp_ntz").alias("session_start"),
-                    F.col("s.end").cast("timestamp_ntz").alias("session_end"), "num_events")
+                   watermark: str = WATERMARK, tie: str | None = None) -> DataFrame:
+    """Sessions per key: a new one starts when the gap to the previous event exceeds ``gap``.
+
+    A stream uses ``session_window`` (state store, closed by the watermark).
+    A static frame is sessionised without funnelling a key into one task:
+    ``number_islands`` numbers sessions from (key, hour) chunks, so one
+    visitor with a third of all events is still spread over many tasks.
+    Both give the same sessions: events exactly ``gap`` apart share one.
+    """
+    e = _event_ts(events, ts)
+    if e.isStreaming:
+        g = (e.withWatermark(ts, watermark)
+              .groupBy(F.session_window(ts, gap).alias("s"), *keys).agg(F.count(F.lit(1)).alias("num_events")))
+        return g.select(*keys, F.col("s.start").cast("timestamp_ntz").alias("session_start"),
+                        F.col("s.end").cast("timestamp_ntz").alias("session_end"), "num_events")
+    gap_i = F.expr(f"INTERVAL {gap}")
+    order = [ts] + ([tie] if tie else [])
+    s = number_islands(e.select(*keys, *order), list(keys), F.date_trunc("hour", ts), order, [ts],
+                       lambda prev, cur: cur[ts] > prev[ts] + gap_i, name="_session")
+    g = s.groupBy(*keys, "_session").agg(F.min(ts).alias("_start"), F.max(ts).alias("_last"),
+                                         F.count(F.lit(1)).alias("num_events"))
+    return g.select(*keys, F.col("_start").cast("timestamp_ntz").alias("session_start"),
+                    (F.col("_last") + gap_i).cast("timestamp_ntz").alias("session_end"), "num_events")
 
 
 def session_avg_events(sessions: DataFrame, by: Sequence[str]) -> DataFrame:
