@@ -7,12 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from dimforge.functions.columns import MASK_LAST_7, MASK_PREV_7, WINDOW_DAYS, datelist_bits  # noqa: F401
 from dimforge.operators.common import cols
 
-WINDOW_DAYS = 32
-# fixed values: weekly masks on the 32-bit date list (bit 31 = as-of day)
-MASK_LAST_7 = 0xFE000000      # days 0-6 before the as-of day
-MASK_PREV_7 = 0x01FC0000      # days 7-13
 
 
 def day_of(ts: str) -> Column:
@@ -66,20 +63,6 @@ def dates_active_backfill(events: DataFrame, key: str | Sequence[str], ts: str,
              .withColumn("date", F.lit(ds).cast("date")))
 
 
-def datelist_bits(dates: Column, ds: str, window: int = WINDOW_DAYS) -> Column:
-    """Date array -> bigint bitmap: bit (31 - days_since) set for each date in the window.
-
-    Row-local ``aggregate`` over the array: no join with a date series and
-    no shuffle. Today is the top bit (31), 31 days ago bit 0.
-    """
-    d0 = F.lit(ds).cast("date")
-    inside = F.filter(dates, lambda d: F.datediff(d0, d).between(0, window - 1))
-    # 2^k as a double is exact for k < 53, so the cast back to bigint is lossless
-    return F.aggregate(inside, F.lit(0).cast("bigint"),
-                       lambda acc, d: acc.bitwiseOR(F.pow(F.lit(2.0), (window - 1) - F.datediff(d0, d))
-                                                    .cast("bigint")))
-
-
 def datelist_flags(df: DataFrame, bits: str = "datelist_int") -> DataFrame:
     b = F.col(bits)
     last7 = F.bit_count(b.bitwiseAND(F.lit(MASK_LAST_7).cast("bigint")))

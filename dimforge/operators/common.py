@@ -7,6 +7,8 @@ from collections.abc import Callable, Iterable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from dimforge.functions.columns import tier  # noqa: F401  (re-exported for the operators)
+
 
 def cols(names: str | Sequence[str]) -> list[str]:
     return [names] if isinstance(names, str) else list(names)
@@ -59,16 +61,6 @@ def full_outer_step(prev: DataFrame, today: DataFrame, key: str | Sequence[str],
     return j, [F.coalesce(F.col(f"{today_alias}.{k}"), F.col(f"{prev_alias}.{k}")).alias(k) for k in keys]
 
 
-def tier(col: Column | str, thresholds: Sequence[float],
-         labels: Sequence[str] = ("star", "good", "average", "bad")) -> Column:
-    """Searched CASE: first threshold exceeded wins; the last label is the default."""
-    c = F.col(col) if isinstance(col, str) else col
-    out = F.when(c > thresholds[0], F.lit(labels[0]))
-    for th, lab in zip(thresholds[1:], labels[1:]):
-        out = out.when(c > th, F.lit(lab))
-    return out.otherwise(F.lit(labels[len(thresholds)]))
-
-
 def null_safe_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
     """Equi-join on ``on`` where NULL matches NULL (``<=>``), keeping one copy of the key columns."""
     r = right.select(*[F.col(c).alias(f"_rk_{c}") for c in on], *[c for c in right.columns if c not in on])

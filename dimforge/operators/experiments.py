@@ -4,19 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from dimforge.functions.columns import experiment_bucket
+
 # fixed value: cost proxy per unit as a share of the part's retail price
 COST_SHARE = 0.6
 
 
-def experiment_bucket(key: Column, salt: str, buckets: int = 100) -> Column:
-    """Bucket in [0, buckets) from md5(salt || key): stable across processes and engines."""
-    h = F.conv(F.substring(F.md5(F.concat(F.lit(salt), key.cast("string"))), 1, 8), 16, 10).cast("bigint")
-    return h % buckets
-
-
 def experiment_assign(users: DataFrame, key: str, salt: str, split: int = 50) -> DataFrame:
     b = experiment_bucket(F.col(key), salt)
     return users.select(key, b.alias("bucket"),

@@ -4,29 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from dimforge.functions.columns import flag_in, md5_bucket, minutes_of  # noqa: F401
 from dimforge.operators.common import cols, dedup_first
 
 
-def flag_in(text: str, token: str) -> Column:
-    """``coalesce(position(token in text), 0) > 0``."""
-    return F.coalesce(F.instr(F.col(text), token), F.lit(0)) > 0
-
-
-def minutes_of(text: str) -> Column:
-    """'mm:ss' -> minutes as a double; 'mm' alone is whole minutes; anything unparsable -> NULL."""
-    mm = F.split_part(F.col(text), F.lit(":"), F.lit(1)).try_cast("double")
-    ss = F.nullif(F.split_part(F.col(text), F.lit(":"), F.lit(2)), F.lit("")).try_cast("double")
-    return mm + F.coalesce(ss, F.lit(0.0)) / 60.0
-
-
 def fact_conform(details: DataFrame, games: DataFrame) -> DataFrame:
     """Deduped player-game facts joined to the game dimension, ``dim_*`` / ``m_*`` naming.
 
-    Dedupe first (aggregation, map-side combine), so the join shuffles the
-    reduced rows; one row per (game, team, player), earliest load wins.
+    Dedupe first (``row_number() == 1`` with a partial group limit before the
+    shuffle), so the join shuffles the reduced rows; one row per (game, team,
+    player), earliest load wins.
     """
     d = dedup_first(details, ["game_id", "team_id", "player_id"], ["loaded_at", "start_position"])
     g = games.select("game_id", "game_date_est", "season", "home_team_id")
@@ -87,12 +77,6 @@ def fact_dedup_hourly_tree(df: DataFrame, keys: Sequence[str], ts: str, values:
                       F.col("_f.first_seen").alias("first_seen"), "n_copies")
 
 
-def md5_bucket(col: str, buckets: int = 100) -> Column:
-    """Stable bucket in [0, buckets): first 32 bits of md5(text) mod buckets."""
-    h = F.conv(F.substring(F.md5(F.col(col).cast("string")), 1, 8), 16, 10).cast("bigint")
-    return h % buckets
-
-
 def fact_sample(df: DataFrame, key: str, pct: int) -> DataFrame:
     """Deterministic ``pct``% sample by key hash: every row of a sampled key is kept."""
     return df.filter(md5_bucket(key) < pct)

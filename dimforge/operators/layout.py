@@ -69,6 +69,22 @@ def events_aggregated(events: DataFrame) -> DataFrame:
                        F.array_sort(F.collect_set("host")).alias("host_array")))
 
 
+def cached_reuse(events: DataFrame, devices: DataFrame, write_users, write_devices) -> None:
+    """Build the (user, device) aggregate once, persist it, feed both reports, then release it.
+
+    ``persist`` keeps the reused aggregate (memory, spilling to disk) so the
+    second report does not rescan and re-shuffle the events; it is released
+    as soon as both writers have run.
+    """
+    from pyspark import StorageLevel
+    agg = events_aggregated(events).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        write_users(users_and_devices(agg))
+        write_devices(devices_on_events(agg, devices))
+    finally:
+        agg.unpersist()
+
+
 def users_and_devices(agg: DataFrame) -> DataFrame:
     """Per user, from the cached aggregate only: max hits on one device, and device count."""
     return agg.groupBy("user_id").agg(F.max("event_counts").alias("max_event_counts"),

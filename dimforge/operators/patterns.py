@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from dimforge.functions.columns import referrer_host
 from dimforge.operators.common import sequence_positions
 
 ACTIVE_STATES = ("Retained", "Resurrected", "New")
@@ -156,10 +157,6 @@ def dashboard_grouping_sets(df: DataFrame, dims: Sequence[str], unknown: str = "
                     *[F.coalesce(F.col(c), F.lit(overall)).alias(c) for c in dims], "number_of_hits")
 
 
-def referrer_host(col: str) -> Column:
-    return F.try_parse_url(F.col(col), F.lit("HOST"))
-
-
 def with_referrer_bucket(df: DataFrame, col: str, name: str) -> DataFrame:
     """Normalise a referrer URL on its parsed host (not a substring of the whole URL,
     which would send pinterest.com to Twitter via 't.co')."""

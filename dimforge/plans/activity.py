@@ -301,9 +301,9 @@ def q_array_snapshot_join(spark, sf):
 
 @query("dim_ever_flags", with_views("web_events") + f"""
 SELECT user_id, bool_or(event_type = 'signup') AS has_ever_signup, bool_or(event_type = 'purchase') AS has_ever_purchase,
-       date_diff('day', max(CAST(event_time AS DATE)), DATE '{DS}') AS days_since_last_active,
-       date_diff('day', min(CAST(event_time AS DATE)) FILTER (WHERE event_type = 'signup'), DATE '{DS}')
-         AS days_since_signup
+       CAST(date_diff('day', max(CAST(event_time AS DATE)), DATE '{DS}') AS INTEGER) AS days_since_last_active,
+       CAST(date_diff('day', min(CAST(event_time AS DATE)) FILTER (WHERE event_type = 'signup'), DATE '{DS}')
+            AS INTEGER) AS days_since_signup
 FROM web_events WHERE user_id IS NOT NULL AND CAST(event_time AS DATE) <= DATE '{DS}' GROUP BY user_id""")
 def q_dim_ever_flags(spark, sf):
     return ac.dim_ever_flags(events(spark, sf), "user_id", "event_time", DS, "event_type", ["signup", "purchase"])

@@ -9,10 +9,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from dimforge.functions.columns import ip_number, ip_of
 from dimforge.operators.common import number_islands
 from dimforge.session import scratch_path
 from dimforge.sources import tables as tb
@@ -34,18 +35,6 @@ RAW_SCHEMA = T.StructType([
 ])
 
 
-def ip_of(user_id: Column) -> Column:
-    """A dotted address standing for the visitor (10.a.b.c from the user number)."""
-    u = user_id.cast("bigint")
-    part = lambda d: (F.floor(u / d) % 256).cast("string")
-    return F.concat(F.lit("10."), part(65536), F.lit("."), part(256), F.lit("."), (u % 256).cast("string"))
-
-
-def ip_number(ip: Column) -> Column:
-    p = F.split(ip, r"\.")
-    return (F.get(p, 1).cast("bigint") * 65536 + F.get(p, 2).cast("bigint") * 256 + F.get(p, 3).cast("bigint"))
-
-
 def to_raw_json(web: DataFrame) -> DataFrame:
     """Web events as the JSON ``value`` strings a message bus would carry."""
     return web.select(F.to_json(F.struct(
