@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from dimforge.operators import patterns as pa
@@ -121,25 +121,32 @@ def q_dashboard_grouping_sets(spark, sf):
 def details_grouping_sets(fct: DataFrame, games: DataFrame) -> DataFrame:
     """Points and wins for (player, team), (player, season), (team); then the top row of each.
 
-    Wins are distinct games won, not joined rows. The top row per level is a
-    ``max_by`` aggregation (partial-aggregated), not a window over a level.
+    Wins are distinct games won, not joined rows. A player has one row per
+    game, so the player levels sum a won flag; for the team level one row
+    per (team, game) carries the flag, so a plain sum counts distinct games
+    -- no distinct aggregate (which would Expand every row once more) inside
+    the grouping sets. The top row per level is a ``max_by`` aggregation
+    (partial-aggregated), not a window over a level.
     """
     g = games.select(F.col("game_id").alias("dim_game_id"), "home_team_id", "visitor_team_id", "home_team_wins")
     f = fct.join(g, "dim_game_id")
     won = (((F.col("dim_team_id") == F.col("home_team_id")) & (F.col("home_team_wins") == 1)) |
            ((F.col("dim_team_id") == F.col("visitor_team_id")) & (F.col("home_team_wins") == 0)))
+    first_of_team_game = F.row_number().over(
+        Window.partitionBy("dim_team_id", "dim_game_id").orderBy("dim_player_id")) == 1
     f = f.select(F.col("dim_player_id").alias("player_id"), F.col("dim_team_id").alias("team_id"),
-                 F.col("dim_season").alias("season"), "m_pts",
-                 F.when(won, F.col("dim_game_id")).alias("_won_game"))
+                 F.col("dim_season").alias("season"), "m_pts", won.cast("int").alias("_won"),
+                 (won & first_of_team_game).cast("int").alias("_team_won"))
     agg = (f.groupingSets([["player_id", "team_id"], ["player_id", "season"], ["team_id"]],
                           "player_id", "team_id", "season")
-            .agg(F.sum("m_pts").alias("total_points"), F.countDistinct("_won_game").alias("total_wins"),
+            .agg(F.sum("m_pts").alias("total_points"), F.sum("_won").alias("_pw"), F.sum("_team_won").alias("_tw"),
                  F.grouping_id().alias("_gid")))
     # grouping_id bits over (player_id, team_id, season): 1 = rolled up
     level = (F.when(F.col("_gid") == 1, F.lit("player_team"))
               .when(F.col("_gid") == 2, F.lit("player_season"))
               .otherwise(F.lit("team")))
-    agg = agg.withColumn("aggregation_level", level)
+    agg = (agg.withColumn("aggregation_level", level)
+              .withColumn("total_wins", F.when(F.col("_gid") == 5, F.col("_tw")).otherwise(F.col("_pw"))))
     metric = F.when(F.col("aggregation_level") == "team", F.col("total_wins")).otherwise(F.col("total_points"))
     rank_key = F.struct(metric.alias("m"), (-F.coalesce(F.col("player_id"), F.lit(0))).alias("p"),
                         (-F.coalesce(F.col("team_id"), F.lit(0))).alias("t"),
