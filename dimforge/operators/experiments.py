@@ -69,7 +69,8 @@ def kpi_unit_profit(lines: DataFrame, unit: Sequence[str]) -> DataFrame:
     return (lines.groupBy(*unit).agg(F.sum("l_quantity").alias("units"), F.sum("profit").alias("_p"))
                  .select(*unit, F.round("units", 2).alias("units"),
                          F.round("_p", 2).cast("double").alias("profit"),
-                         F.round(F.try_divide(F.col("_p").cast("double"), F.col("units")), 6).alias("unit_profit")))
+                         # exact IEEE division of two exact values: no rounding tie to disagree on
+                         F.try_divide(F.col("_p").cast("double"), F.col("units")).alias("unit_profit")))
 
 
 def kpi_aggregate_profit(lines: DataFrame, ts: str) -> DataFrame:

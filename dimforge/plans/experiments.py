@@ -80,7 +80,7 @@ def lines(spark, sf) -> DataFrame:
 
 @query("kpi_unit_profit", "WITH x AS (SELECT 1)" + _PROFIT_SQL + """
 SELECT l_orderkey, round(sum(l_quantity), 2) AS units, CAST(round(sum(profit), 2) AS DOUBLE) AS profit,
-       round(CAST(sum(profit) AS DOUBLE) / sum(l_quantity), 6) AS unit_profit FROM lp GROUP BY l_orderkey""")
+       CAST(sum(profit) AS DOUBLE) / sum(l_quantity) AS unit_profit FROM lp GROUP BY l_orderkey""")
 def q_kpi_unit_profit(spark, sf):
     return ex.kpi_unit_profit(lines(spark, sf), ["l_orderkey"])
 
