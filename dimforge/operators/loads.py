@@ -67,3 +67,25 @@ def replace_table(spark: SparkSession, df: DataFrame, name: str) -> str:
     path = scratch_path(spark, name)
     df.write.mode("errorifexists").parquet(path)
     return path
+
+
+def create_table_as(spark: SparkSession, df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> str:
+    """CREATE TABLE ... AS SELECT into the session catalog, stored under the shared folder."""
+    (df.write.mode("errorifexists").partitionBy(*partition_by)
+       .option("path", scratch_path(spark, name)).saveAsTable(name))
+    return name
+
+
+def insert_overwrite(df: DataFrame, table: str) -> None:
+    """INSERT OVERWRITE into an existing partitioned table: only the partitions present in
+    ``df`` are replaced. Columns are matched by name (``insertInto`` itself is positional and
+    a partitioned table keeps its partition columns last)."""
+    spark = df.sparkSession
+    aligned = df.select(*spark.table(table).columns)
+    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        aligned.write.insertInto(table, overwrite=True)
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+

@@ -65,3 +65,16 @@ def test_cached_reuse_feeds_both_reports(spark):
     lo.cached_reuse(tb.web_events(spark, SF_SMALL), tb.web_devices(spark, SF_SMALL),
                     lambda df: out.__setitem__("u", df.count()), lambda df: out.__setitem__("d", df.count()))
     assert out["u"] > 0 and out["d"] > 0
+
+
+def test_ctas_then_insert_overwrite_one_partition(spark):
+    import uuid
+    name = f"daily_{uuid.uuid4().hex[:8]}"
+    df = (tb.web_events(spark, SF_SMALL).withColumn("d", F.to_date("event_time"))
+            .groupBy("url", "d").agg(F.count(F.lit(1)).alias("n")))
+    ld.create_table_as(spark, df, name, ["d"])
+    day = F.lit("2024-01-03").cast("date")
+    ld.insert_overwrite(df.filter(F.col("d") == day).withColumn("n", F.lit(0).cast("bigint")), name)
+    t = spark.table(name)
+    assert t.filter(F.col("d") == day).agg(F.sum("n")).collect()[0][0] == 0
+    assert t.filter(F.col("d") != day).count() == df.filter(F.col("d") != day).count()
