@@ -101,21 +101,38 @@ def number_islands(df: DataFrame, part: Sequence[str], chunk: Column, order: Seq
                    name: str = "_island") -> DataFrame:
     """Gaps and islands without a window over a whole partition.
 
-    Each row learns its predecessor (same ``part``, previous in ``order``)
-    through an equi-join on (part, position - 1); ``starts(prev, cur)`` --
-    dicts of the ``carry`` columns -- says whether the row opens a new
-    island (the first row always does); the island number is the running
-    count of openings. Positions and counts come from ``sequence_positions``.
+    Rows are processed in (part, chunk) groups, ``chunk`` being coarse and
+    monotone in ``order`` (an hour, a day). Inside a chunk the predecessor
+    comes from ``lag``; the first row of a chunk takes the last row of the
+    previous chunk from a (part, chunk) aggregate -- a table bounded by the
+    number of chunks. ``starts(prev, cur)`` (dicts of the ``carry``
+    columns) says whether a row opens a new island; the first row of a
+    partition always does. The island number is the running count of
+    openings: inside the chunk by window, across chunks by a prefix sum over
+    the chunk table. A partition holding a third of all rows is still
+    spread over its chunks.
     """
-    p = sequence_positions(df, part, chunk, order)
-    prev = p.select(*part, (F.col("_pos") + 1).alias("_pos"), F.lit(True).alias("_has_prev"),
-                    *[F.col(c).alias(f"_prev_{c}") for c in carry])
-    j = null_safe_join(p, prev, [*part, "_pos"], "left")
-    new = F.col("_has_prev").isNull() | starts({c: F.col(f"_prev_{c}") for c in carry},
-                                               {c: F.col(c) for c in carry})
-    j = j.withColumn("_new", new).drop("_pos", "_has_prev", *[f"_prev_{c}" for c in carry])
-    return (sequence_positions(j, part, chunk, order, "_new")
-            .withColumnRenamed("_cnt", name).drop("_pos", "_new"))
+    keys = [*part, "_chunk"]
+    d = df.withColumn("_chunk", chunk)
+    w_in = Window.partitionBy(*keys).orderBy(*order)
+    w_ch = Window.partitionBy(*part).orderBy("_chunk")
+    d = d.withColumn("_rn", F.row_number().over(w_in))
+    for c in carry:
+        d = d.withColumn(f"_lag_{c}", F.lag(c).over(w_in))
+    last = d.groupBy(*keys).agg(F.max_by(F.struct(*carry), F.struct(*order)).alias("_last"))
+    last = last.select(*keys, F.lag("_last").over(w_ch).alias("_prev_last"))
+    d = null_safe_join(d, last, keys)
+    first = F.col("_rn") == 1
+    prev = {c: F.when(first, F.col("_prev_last")[c]).otherwise(F.col(f"_lag_{c}")) for c in carry}
+    has_prev = ~first | F.col("_prev_last").isNotNull()
+    d = (d.withColumn("_new", (~has_prev) | F.coalesce(starts(prev, {c: F.col(c) for c in carry}), F.lit(False)))
+          .drop("_rn", "_prev_last", *[f"_lag_{c}" for c in carry]))
+    d = d.withColumn("_cin", F.sum(F.col("_new").cast("int")).over(w_in.rowsBetween(Window.unboundedPreceding, 0)))
+    per = d.groupBy(*keys).agg(F.sum(F.col("_new").cast("int")).alias("_k"))
+    per = per.select(*keys, F.coalesce(F.sum("_k").over(w_ch.rowsBetween(Window.unboundedPreceding, -1)),
+                                       F.lit(0)).alias("_k0"))
+    d = null_safe_join(d, per, keys)
+    return d.withColumn(name, F.col("_k0") + F.col("_cin")).drop("_new", "_cin", "_k0", "_chunk")
 
 
 def fold_steps(state: DataFrame, periods: Iterable, step: Callable[[DataFrame, object], DataFrame],

@@ -133,3 +133,21 @@ def test_chain_guard_refuses_gap(spark):
     with pytest.raises(cu.MissingPeriodError):
         cu.cumulate_chain_guard(prev, "current_season", 2000, first_period=1995)
     cu.cumulate_chain_guard(prev, "current_season", 1999, first_period=1995)
+
+
+def test_islands_cross_chunk_boundaries(spark):
+    from dimforge.operators import layout as lo
+    from dimforge.streaming import jobs as st
+    t = TS(2024, 1, 1, 10, 58)
+    ev = spark.createDataFrame([("ip", "h", t), ("ip", "h", t + dt.timedelta(minutes=4)),       # spans 11:00
+                                ("ip", "h", t + dt.timedelta(minutes=9)),                       # 5 min later: same
+                                ("ip", "h", t + dt.timedelta(hours=3)),                         # new session
+                                ("ip", "h", t + dt.timedelta(hours=3, minutes=5, seconds=1))],  # > 5 min: new
+                               "ip string, host string, event_time timestamp_ntz")
+    got = sorted((r.session_start, r.num_events) for r in st.stream_session(ev, ["ip", "host"]).collect())
+    assert [n for _, n in got] == [3, 1, 1]
+    runs = spark.createDataFrame([("h", TS(2024, 1, 1, 10, 59), 1, "a"), ("h", TS(2024, 1, 1, 11, 1), 2, "a"),
+                                  ("h", TS(2024, 1, 1, 13, 0), 3, "a"), ("h", TS(2024, 1, 1, 13, 1), 4, "b")],
+                                 "host string, ts timestamp_ntz, id int, v string")
+    r = lo.rle_runs(runs, ["host"], ["ts", "id"], "v", F.date_trunc("hour", "ts"))
+    assert sorted((x.v, x.run_length) for x in r.collect()) == [("a", 3), ("b", 1)]
