@@ -63,12 +63,17 @@ def fact_dedup_hourly_tree(df: DataFrame, keys: Sequence[str], ts: str, values:
     written as a union-then-group so it stays a single partial+final
     aggregate). After ``levels`` merges (2**5 = 32 > 24 hours) one row per
     key and day remains; a last merge across days gives the one-shot answer.
+    Two exchanges in all: the hourly aggregation, then one hash on the key
+    that every later level reuses.
     """
     keys = cols(keys)
     hour = (F.unix_timestamp(F.col(ts).cast("timestamp")) / 3600).cast("bigint")
     first = F.min(F.struct(F.col(ts).alias("first_seen"), *[F.col(v) for v in values]))
     cur = (df.withColumn("_b", hour)
              .groupBy("_b", *keys).agg(first.alias("_f"), F.count(F.lit(1)).alias("n_copies")))
+    # after the hourly level a key has at most one row per hour; hash it by key once so every
+    # merge level (grouped by bucket + key) runs in place with no further exchange
+    cur = cur.repartition(*keys)
     for _ in range(levels):
         cur = (cur.withColumn("_b", F.floor(F.col("_b") / 2).cast("bigint"))
                   .groupBy("_b", *keys).agg(F.min("_f").alias("_f"), F.sum("n_copies").alias("n_copies")))

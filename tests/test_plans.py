@@ -64,3 +64,8 @@ def test_no_cartesian_or_unbounded_single_task(spark, key):
         # a window without a partition key funnels its whole input into one task
         unpartitioned = [ln for ln in p.splitlines() if "Window [" in ln and "], [], [" in ln]
         assert not unpartitioned
+
+
+def test_hourly_tree_merges_without_reshuffling(spark):
+    p = plan_of(REG["fact_dedup_hourly_tree"][0](spark, SF_SMALL))
+    assert p.count("Exchange") == 2
