@@ -74,25 +74,30 @@ def sequence_positions(df: DataFrame, key: str | Sequence[str], day: str | Colum
     ``_cnt`` (running count of flagged rows up to and including this one).
 
     ``day`` is any coarse column that is monotone in the order (a date, an
-    hour). Built from (key, day) aggregates -- a prefix sum over days, whose
-    table is bounded by the calendar -- plus a rank inside each day, so no
-    window spans all rows of a key and a key holding a third of the data is
-    still spread over many tasks.
+    hour). One window pass over (key, day) gives the rank and running count
+    inside the day plus the day totals; the day totals (a table bounded by
+    the calendar) get a prefix sum over days and are joined back. No window
+    spans all rows of a key, so a key holding a third of the data is still
+    spread over many tasks; the input is shuffled once.
     """
     keys = cols(key)
-    d = df.withColumn("_day", F.col(day) if isinstance(day, str) else day)
     f = F.col(flag).cast("int") if flag is not None else F.lit(0)
-    day_agg = d.groupBy(*keys, "_day").agg(F.count(F.lit(1)).alias("_n"), F.sum(f).alias("_f"))
-    before = Window.partitionBy(*keys).orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
-    day_agg = day_agg.select(*keys, "_day", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_n0"),
-                             F.coalesce(F.sum("_f").over(before), F.lit(0)).alias("_f0"))
     within = Window.partitionBy(*keys, "_day").orderBy(*tie)
-    g = (d.withColumn("_r", F.row_number().over(within))
-          .withColumn("_cf", F.sum(f).over(within.rowsBetween(Window.unboundedPreceding, 0))))
-    out = (null_safe_join(g, day_agg, [*keys, "_day"])
-            .withColumn("_pos", F.col("_n0") + F.col("_r"))
-            .withColumn("_cnt", F.col("_f0") + F.col("_cf"))
-            .drop("_n0", "_f0", "_r", "_cf", "_day"))
+    whole_day = Window.partitionBy(*keys, "_day")
+    w = (df.withColumn("_day", F.col(day) if isinstance(day, str) else day)
+           .withColumn("_fl", f)
+           .withColumn("_r", F.row_number().over(within))
+           .withColumn("_cf", F.sum("_fl").over(within.rowsBetween(Window.unboundedPreceding, 0)))
+           .withColumn("_dn", F.count(F.lit(1)).over(whole_day))
+           .withColumn("_df", F.sum("_fl").over(whole_day)))
+    days = w.select(*keys, "_day", "_dn", "_df").distinct()
+    before = Window.partitionBy(*keys).orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
+    days = days.select(*keys, "_day", F.coalesce(F.sum("_dn").over(before), F.lit(0)).alias("_n0"),
+                       F.coalesce(F.sum("_df").over(before), F.lit(0)).alias("_f0"))
+    out = (null_safe_join(w, days, [*keys, "_day"])
+           .withColumn("_pos", F.col("_n0") + F.col("_r"))
+           .withColumn("_cnt", F.col("_f0") + F.col("_cf"))
+           .drop("_n0", "_f0", "_r", "_cf", "_dn", "_df", "_fl", "_day"))
     return out if flag is not None else out.drop("_cnt")
 
 
