@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from dimforge.operators.common import cols, full_outer_step, tier
 
+# fixed values: class labels, best first (the last one is the default)
 LABELS = ("star", "good", "average", "bad")
 
 

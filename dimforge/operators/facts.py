@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 from dimforge.functions.columns import flag_in, md5_bucket, minutes_of  # noqa: F401
 from dimforge.operators.common import cols, dedup_first
 
+# fixed values: comment codes for did-not-play, did-not-dress, not-with-team
+COMMENT_FLAGS = ("DNP", "DND", "NWT")
+
 
 def fact_conform(details: DataFrame, games: DataFrame) -> DataFrame:
     """Deduped player-game facts joined to the game dimension, ``dim_*`` / ``m_*`` naming.
@@ -28,9 +31,8 @@ def fact_conform(details: DataFrame, games: DataFrame) -> DataFrame:
         F.col("player_id").alias("dim_player_id"),
         F.col("player_name").alias("dim_player_name"),
         F.col("start_position").alias("dim_start_position"),
-        flag_in("comment", "DNP").alias("dim_did_not_play"),
-        flag_in("comment", "DND").alias("dim_did_not_dress"),
-        flag_in("comment", "NWT").alias("dim_not_with_team"),
+        *[flag_in("comment", code).alias(name) for code, name in
+          zip(COMMENT_FLAGS, ("dim_did_not_play", "dim_did_not_dress", "dim_not_with_team"))],
         (F.col("team_id") == F.col("home_team_id")).alias("dim_is_playing_at_home"),
         F.round(minutes_of("min"), 4).alias("m_minutes"),
         F.col("pts").alias("m_pts"),

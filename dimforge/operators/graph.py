@@ -15,6 +15,13 @@ from pyspark.sql import functions as F
 
 from dimforge.operators.common import dedup_first
 
+# fixed values: vertex types and edge types
+VERTEX_TYPES = ("player", "team", "game")
+EDGE_TYPES = ("plays_against", "shares_team", "plays_in", "plays_on")
+
+PLAYER, TEAM, GAME = VERTEX_TYPES
+PLAYS_AGAINST, _SHARES_TEAM, PLAYS_IN, PLAYS_ON = EDGE_TYPES
+
 
 def props_json(**fields: Column) -> Column:
     return F.to_json(F.struct(*[c.alias(k) for k, c in fields.items()]))
@@ -22,7 +29,7 @@ def props_json(**fields: Column) -> Column:
 
 def vertex_event(games: DataFrame) -> DataFrame:
     winner = F.when(F.col("home_team_wins") == 1, F.col("home_team_id")).otherwise(F.col("visitor_team_id"))
-    return games.select(F.col("game_id").alias("identifier"), F.lit("game").alias("type"),
+    return games.select(F.col("game_id").alias("identifier"), F.lit(GAME).alias("type"),
                         props_json(pts_home=F.col("pts_home"), pts_away=F.col("pts_away"),
                                    winning_team=winner).alias("properties"))
 
@@ -32,7 +39,7 @@ def vertex_agg(details: DataFrame) -> DataFrame:
     a = details.groupBy("player_id").agg(
         F.max("player_name").alias("player_name"), F.count(F.lit(1)).alias("number_of_games"),
         F.sum("pts").alias("total_points"), F.array_sort(F.collect_set("team_id")).alias("teams"))
-    return a.select(F.col("player_id").alias("identifier"), F.lit("player").alias("type"),
+    return a.select(F.col("player_id").alias("identifier"), F.lit(PLAYER).alias("type"),
                     props_json(player_name=F.col("player_name"), number_of_games=F.col("number_of_games"),
                                total_points=F.col("total_points"), teams=F.col("teams")).alias("properties"))
 
@@ -43,16 +50,16 @@ def vertex_dedup(teams: DataFrame, order: str) -> DataFrame:
     props = F.create_map(F.lit("abbreviation"), F.col("abbreviation"), F.lit("nickname"), F.col("nickname"),
                          F.lit("city"), F.col("city"), F.lit("arena"), F.col("arena"),
                          F.lit("year_founded"), F.col("yearfounded").cast("string"))
-    return t.select(F.col("team_id").alias("identifier"), F.lit("team").alias("type"), props.alias("properties"))
+    return t.select(F.col("team_id").alias("identifier"), F.lit(TEAM).alias("type"), props.alias("properties"))
 
 
 def edge_entity_event(details: DataFrame, order: str) -> DataFrame:
     """``plays_in``: one edge per (player, game), duplicates collapsed first."""
     d = dedup_first(details.select("player_id", "game_id", "start_position", "pts", "team_id", order),
                     ["player_id", "game_id"], [order, "start_position"])
-    return d.select(F.col("player_id").alias("subject_identifier"), F.lit("player").alias("subject_type"),
-                    F.col("game_id").alias("object_identifier"), F.lit("game").alias("object_type"),
-                    F.lit("plays_in").alias("edge_type"),
+    return d.select(F.col("player_id").alias("subject_identifier"), F.lit(PLAYER).alias("subject_type"),
+                    F.col("game_id").alias("object_identifier"), F.lit(GAME).alias("object_type"),
+                    F.lit(PLAYS_IN).alias("edge_type"),
                     props_json(start_position=F.col("start_position"), pts=F.col("pts"),
                                team_id=F.col("team_id")).alias("properties"))
 
@@ -60,9 +67,9 @@ def edge_entity_event(details: DataFrame, order: str) -> DataFrame:
 def edge_member_of(details: DataFrame) -> DataFrame:
     """``plays_on``: distinct (player, team) with the number of distinct games together."""
     a = details.groupBy("player_id", "team_id").agg(F.countDistinct("game_id").alias("num_games"))
-    return a.select(F.col("player_id").alias("subject_identifier"), F.lit("player").alias("subject_type"),
-                    F.col("team_id").alias("object_identifier"), F.lit("team").alias("object_type"),
-                    F.lit("plays_on").alias("edge_type"),
+    return a.select(F.col("player_id").alias("subject_identifier"), F.lit(PLAYER).alias("subject_type"),
+                    F.col("team_id").alias("object_identifier"), F.lit(TEAM).alias("object_type"),
+                    F.lit(PLAYS_ON).alias("edge_type"),
                     props_json(num_games=F.col("num_games")).alias("properties"))
 
 
@@ -74,9 +81,9 @@ def edge_team_team(games: DataFrame) -> DataFrame:
     a = g.groupBy("a", "b").agg(F.count(F.lit(1)).alias("num_games"),
                                 F.count_if(F.col("w") == F.col("a")).alias("subject_wins"),
                                 F.count_if(F.col("w") == F.col("b")).alias("object_wins"))
-    return a.select(F.col("a").alias("subject_identifier"), F.lit("team").alias("subject_type"),
-                    F.col("b").alias("object_identifier"), F.lit("team").alias("object_type"),
-                    F.lit("plays_against").alias("edge_type"),
+    return a.select(F.col("a").alias("subject_identifier"), F.lit(TEAM).alias("subject_type"),
+                    F.col("b").alias("object_identifier"), F.lit(TEAM).alias("object_type"),
+                    F.lit(PLAYS_AGAINST).alias("edge_type"),
                     props_json(num_games=F.col("num_games"), subject_wins=F.col("subject_wins"),
                                object_wins=F.col("object_wins")).alias("properties"))
 

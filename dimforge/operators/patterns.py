@@ -10,26 +10,30 @@ from pyspark.sql import functions as F
 from dimforge.functions.columns import referrer_host
 from dimforge.operators.common import sequence_positions
 
+# fixed values: growth-accounting states, player league states, referrer labels
+GROWTH_STATES = ("New", "Retained", "Resurrected", "Churned", "Stale")
+PLAYER_STATES = ("New", "Retired", "Continued Playing", "Returned from Retirement", "Stayed Retired")
+REFERRER_LABELS = ("Linkedin", "Twitter", "Google", "On Site")
 ACTIVE_STATES = ("Retained", "Resurrected", "New")
-
-# fixed value: our own web hosts count as on-site referrers
 OWN_HOST_PATTERN = "^host[0-9]+$"     # our own web hosts -> 'On Site'
 
+NEW, RETAINED, RESURRECTED, CHURNED, STALE = GROWTH_STATES
+
 
 def _daily_state(y_exists: Column, y_last: Column, y_date: Column, today: Column) -> Column:
-    return (F.when(~y_exists, F.lit("New"))
-             .when(y_last == F.date_sub(today, 1), F.lit("Retained"))
-             .when(y_last < F.date_sub(today, 1), F.lit("Resurrected"))
-             .when(today.isNull() & (y_last == y_date), F.lit("Churned"))
-             .otherwise(F.lit("Stale")))
+    return (F.when(~y_exists, F.lit(NEW))
+             .when(y_last == F.date_sub(today, 1), F.lit(RETAINED))
+             .when(y_last < F.date_sub(today, 1), F.lit(RESURRECTED))
+             .when(today.isNull() & (y_last == y_date), F.lit(CHURNED))
+             .otherwise(F.lit(STALE)))
 
 
 def _weekly_state(y_exists: Column, y_last: Column, y_date: Column, today: Column) -> Column:
-    return (F.when(~y_exists, F.lit("New"))
-             .when(y_last < F.date_sub(today, 7), F.lit("Resurrected"))
-             .when(today.isNull() & (y_last == F.date_sub(y_date, 7)), F.lit("Churned"))
-             .when(F.date_add(F.coalesce(today, y_last), 7) >= y_date, F.lit("Retained"))
-             .otherwise(F.lit("Stale")))
+    return (F.when(~y_exists, F.lit(NEW))
+             .when(y_last < F.date_sub(today, 7), F.lit(RESURRECTED))
+             .when(today.isNull() & (y_last == F.date_sub(y_date, 7)), F.lit(CHURNED))
+             .when(F.date_add(F.coalesce(today, y_last), 7) >= y_date, F.lit(RETAINED))
+             .otherwise(F.lit(STALE)))
 
 
 def growth_accounting_step(prev: DataFrame, events: DataFrame, key: str, ts: str, ds: str) -> DataFrame:
@@ -103,12 +107,13 @@ def state_change(snapshots: DataFrame, key: str, period: str, active: str = "is_
     """New / Retired / Continued Playing / Returned from Retirement / Stayed Retired."""
     w = Window.partitionBy(key).orderBy(period)
     prev = F.lag(active).over(w)
-    st = (F.when(prev.isNull() & F.col(active), F.lit("New"))
-           .when(prev.isNull(), F.lit("Stayed Retired"))
-           .when(prev & ~F.col(active), F.lit("Retired"))
-           .when(prev & F.col(active), F.lit("Continued Playing"))
-           .when(~prev & F.col(active), F.lit("Returned from Retirement"))
-           .otherwise(F.lit("Stayed Retired")))
+    new, retired, playing, returned, stayed = PLAYER_STATES
+    st = (F.when(prev.isNull() & F.col(active), F.lit(new))
+           .when(prev.isNull(), F.lit(stayed))
+           .when(prev & ~F.col(active), F.lit(retired))
+           .when(prev & F.col(active), F.lit(playing))
+           .when(~prev & F.col(active), F.lit(returned))
+           .otherwise(F.lit(stayed)))
     return snapshots.select(key, period, st.alias("player_state"))
 
 
@@ -161,10 +166,11 @@ def with_referrer_bucket(df: DataFrame, col: str, name: str) -> DataFrame:
     """Normalise a referrer URL on its parsed host (not a substring of the whole URL,
     which would send pinterest.com to Twitter via 't.co')."""
     h = F.col("_ref_host")
-    rule = (F.when((h == "lnkd.in") | h.endswith("linkedin.com"), F.lit("Linkedin"))
-             .when(h == "t.co", F.lit("Twitter"))
-             .when(h.contains("google."), F.lit("Google"))
-             .when(h.rlike(OWN_HOST_PATTERN), F.lit("On Site"))
+    linkedin, twitter, google, on_site = REFERRER_LABELS
+    rule = (F.when((h == "lnkd.in") | h.endswith("linkedin.com"), F.lit(linkedin))
+             .when(h == "t.co", F.lit(twitter))
+             .when(h.contains("google."), F.lit(google))
+             .when(h.rlike(OWN_HOST_PATTERN), F.lit(on_site))
              .otherwise(F.col(col)))
     return df.withColumn("_ref_host", referrer_host(col)).withColumn(name, rule).drop("_ref_host")
 
