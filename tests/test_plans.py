@@ -69,3 +69,10 @@ def test_no_cartesian_or_unbounded_single_task(spark, key):
 def test_hourly_tree_merges_without_reshuffling(spark):
     p = plan_of(REG["fact_dedup_hourly_tree"][0](spark, SF_SMALL))
     assert p.count("Exchange") == 2
+
+
+def test_partition_filter_prunes_the_partitioned_read(spark):
+    df = REG["write_ds_partitioned"][0](spark, SF_SMALL)
+    p = df._jdf.queryExecution().explainString(
+        spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    assert "PartitionFilters: [isnotnull(ds" in p
