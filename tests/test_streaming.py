@@ -83,3 +83,43 @@ def test_sink_rerun_is_idempotent(spark):
     out = st.run_available_now(s, spark, "sink-test")
     n = spark.read.parquet(out).count()
     assert n == spark.read.parquet(f"{SF_SMALL}/events.parquet").count()
+
+
+def test_stream_dedup_within_watermark(spark):
+    src, ckpt = tempfile.mkdtemp(prefix="dimforge-src-"), tempfile.mkdtemp(prefix="dimforge-ck-")
+    t0 = dt.datetime(2024, 1, 1, 0, 0, 0)
+    schema = "event_id bigint, event_time timestamp"
+    spark.createDataFrame([(1, t0), (1, t0), (2, t0 + dt.timedelta(minutes=1))], schema).write.parquet(src + "/a")
+    sink = []
+
+    def collect(b, _id):
+        sink.extend(tuple(r) for r in b.collect())
+
+    def run(sub):
+        s = spark.readStream.schema(schema).parquet(src + "/" + sub)
+        q = (st.stream_dedup(s, ["event_id"], watermark="10 minutes").writeStream.outputMode("append")
+               .option("checkpointLocation", ckpt + "/" + sub).foreachBatch(collect)
+               .trigger(availableNow=True).start())
+        q.awaitTermination()
+
+    run("a")
+    assert sorted(r[0] for r in sink) == [1, 2]
+
+
+def test_tumble_by_host_and_referrer_on_a_stream(spark):
+    src, ckpt = tempfile.mkdtemp(prefix="dimforge-src-"), tempfile.mkdtemp(prefix="dimforge-ck-")
+    t0 = dt.datetime(2024, 1, 1, 0, 0, 0)
+    schema = "event_time timestamp, host string, referrer string"
+    spark.createDataFrame([(t0, "h", "r1"), (t0 + dt.timedelta(minutes=1), "h", "r1"), (t0, "h", None),
+                           (t0 + dt.timedelta(hours=1), "h", "r1")], schema).write.parquet(src + "/in")
+    sink = []
+
+    def collect(b, _id):
+        sink.extend(tuple(r) for r in b.collect())
+
+    s = spark.readStream.schema(schema).parquet(src + "/in")
+    q = (st.stream_tumble(s, ["host", "referrer"]).writeStream.outputMode("append")
+           .option("checkpointLocation", ckpt).foreachBatch(collect).trigger(availableNow=True).start())
+    q.awaitTermination()
+    got = {(r[1], r[2]): r[3] for r in sink if r[0] == t0}
+    assert got == {("h", "r1"): 2, ("h", None): 1}
