@@ -210,11 +210,13 @@ SELECT referrer, url, event_date, n_hits, CAST(wk AS BIGINT) AS weekly_rolling_c
        round(n_hits / mcs, 6) AS pct_of_month, round(n_hits / tcs, 6) AS pct_of_total
 FROM w WHERE tcs > {TREND_MIN_TOTAL} AND referrer IS NOT NULL""")
 def q_window_trend(spark, sf):
-    e = pa.with_referrer_bucket(events_dev(spark, sf), "referrer", "referrer_b")
+    # the bucket is NULL exactly when the raw referrer is: filter the raw column up front, so the
+    # optimizer does not push a copy of the whole URL-parsing expression down into the scan filter
+    ev = events_dev(spark, sf).filter(F.col("referrer").isNotNull())
+    e = pa.with_referrer_bucket(ev, "referrer", "referrer_b")
     daily = (e.groupBy("url", F.col("referrer_b").alias("referrer"), F.to_date("event_time").alias("event_date"))
               .agg(F.count(F.lit(1)).alias("n_hits")))
-    out = pa.window_trend(daily, ["referrer", "url"], "event_date", "n_hits", TREND_MIN_TOTAL)
-    return out.filter(F.col("referrer").isNotNull())
+    return pa.window_trend(daily, ["referrer", "url"], "event_date", "n_hits", TREND_MIN_TOTAL)
 
 
 def team_games(games: DataFrame) -> DataFrame:

@@ -42,11 +42,10 @@ def web_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def web_events_of(ev: DataFrame) -> DataFrame:
     """The web-events projection of an `events`-shaped frame (batch or streaming)."""
-    # parse the JSON once; later expressions read the column, not the parse
+    # every derived column reads ``k`` once (the optimizer copies derived expressions into pushed
+    # filters, so a CASE with one branch per referrer would re-parse the JSON per branch)
     k = F.col("k")
-    ref = F.when(k % 7 == 0, F.lit(REFERRERS[0]))
-    for i in range(1, 6):
-        ref = ref.when(k % 7 == i, F.lit(REFERRERS[i]))
+    ref = F.get(F.array(*[F.lit(r) for r in REFERRERS]), k % 7)     # index 6 (or negative) -> NULL
     return (ev.withColumn("k", F.get_json_object("props", "$.k").cast("int"))
               .select(
                   "event_id",
