@@ -78,3 +78,24 @@ def test_ctas_then_insert_overwrite_one_partition(spark):
     t = spark.table(name)
     assert t.filter(F.col("d") == day).agg(F.sum("n")).collect()[0][0] == 0
     assert t.filter(F.col("d") != day).count() == df.filter(F.col("d") != day).count()
+
+
+def test_checked_broadcast_falls_back_above_the_bound(spark):
+    nation = tb.read(spark, SF_SMALL, "nation")
+    orders = tb.read(spark, SF_SMALL, "orders").join(tb.read(spark, SF_SMALL, "customer"),
+                                                    F.col("o_custkey") == F.col("c_custkey"))
+    small = orders.join(lo.checked_broadcast(nation), F.col("c_nationkey") == F.col("n_nationkey"))
+    assert "ResolvedHint" in small._jdf.queryExecution().analyzed().toString() or \
+        "BroadcastHashJoin" in small._jdf.queryExecution().executedPlan().toString()
+    none = lo.checked_broadcast(nation, max_bytes=1)
+    assert none is nation
+
+
+def test_experiment_buckets_are_stable_and_balanced(spark):
+    from dimforge.operators import experiments as ex
+    users = spark.range(0, 20000).withColumnRenamed("id", "user_id")
+    a = ex.experiment_assign(users, "user_id", "salt-a")
+    b = ex.experiment_assign(users, "user_id", "salt-a")
+    assert a.exceptAll(b).count() == 0
+    share = a.filter(F.col("cell") == "treatment").count() / 20000
+    assert 0.47 < share < 0.53
