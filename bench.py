@@ -39,14 +39,18 @@ def main() -> None:
         reg[k][0](spark, sf_dir).write.format("noop").mode("overwrite").save()
         return time.perf_counter() - t0
 
+    errors: dict[str, str] = {}
     for k in keys:
-        cold[k] = round(run(k), 3)
-        times[k] = round(statistics.median(run(k) for _ in range(runs)), 3)
+        try:
+            cold[k] = round(run(k), 3)
+            times[k] = round(statistics.median(run(k) for _ in range(runs)), 3)
+        except Exception as e:  # noqa: BLE001 - one failing query must not hide the others' timings
+            errors[k] = f"{type(e).__name__}: {str(e)[:200]}"
     m = re.search(r"sf([0-9.]+)", sf_dir)
     print(json.dumps({"metric": "total_sec", "value": round(sum(times.values()), 3), "unit": "sec",
                       "queries": times, "sf": float(m.group(1)) if m else sf_dir, "cpus": cpus,
                       "n_queries": len(times), "timed_runs": runs, "statistic": "median_warm",
-                      "cold_total_sec": round(sum(cold.values()), 3)}))
+                      "cold_total_sec": round(sum(cold.values()), 3), "errors": errors}))
     spark.stop()
 
 
