@@ -151,3 +151,12 @@ def test_islands_cross_chunk_boundaries(spark):
                                  "host string, ts timestamp_ntz, id int, v string")
     r = lo.rle_runs(runs, ["host"], ["ts", "id"], "v", F.date_trunc("hour", "ts"))
     assert sorted((x.v, x.run_length) for x in r.collect()) == [("a", 3), ("b", 1)]
+
+
+def test_asof_join_open_row_matches_later_facts(spark):
+    s = spark.createDataFrame([(1, "a", 2000, 2001), (1, "b", 2002, 2003)],
+                              "k int, c string, start_season int, end_season int")
+    facts = spark.createDataFrame([(1, 2000), (1, 2002), (1, 2010), (2, 2002)], "fk int, yr int")
+    got = {(r.fk, r.yr): r.c for r in scd.scd_asof_join(facts, s, "fk", "k", "yr", current_end=2003).collect()}
+    # point in time, never "latest"; the open row (end = current period) stays valid for later facts
+    assert got == {(1, 2000): "a", (1, 2002): "b", (1, 2010): "b", (2, 2002): None}
