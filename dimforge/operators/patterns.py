@@ -224,8 +224,8 @@ def longest_streak(df: DataFrame, key: str, day: str, tie: Sequence[str], cond:
     ``sequence_positions`` (no window over all of an entity's rows).
     """
     d = sequence_positions(df.withColumn("_ok", cond), key, day, tie, "_ok")
-    runs = (d.filter("_ok").groupBy(key, (F.col("_pos") - F.col("_cnt")).alias("_island"))
-              .agg(F.count(F.lit(1)).alias("_len")))
-    ents = df.select(key).distinct()
-    best = runs.groupBy(key).agg(F.max("_len").alias("longest_streak"))
-    return ents.join(best, key, "left").fillna(0, ["longest_streak"])
+    # rows that do not qualify fall into one (key, NULL) group of length 0, so every entity is
+    # kept without a second pass over the input
+    island = F.when(F.col("_ok"), F.col("_pos") - F.col("_cnt"))
+    runs = d.groupBy(key, island.alias("_island")).agg(F.count_if(F.col("_ok")).alias("_len"))
+    return runs.groupBy(key).agg(F.max("_len").alias("longest_streak"))
