@@ -16,6 +16,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
+from dimforge.llm.common import ship
+
 # Element names of HTML.
 BLOCK = frozenset("""address article aside blockquote body button caption center dd details dialog dir div dl dt
 fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hr html label legend li main menu nav ol optgroup
@@ -254,6 +256,7 @@ def main_text(page: str | None, tree: tuple | int) -> str:
 
 
 def main_text_column(page: Column) -> Column:
+    ship()
     tree = trained_tree()
 
     @F.pandas_udf("string")

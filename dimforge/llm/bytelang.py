@@ -16,6 +16,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from dimforge.llm.common import ship
+
 WINDOW = 256
 WIDTHS = (2, 3, 4)
 FILTERS = 12
@@ -174,6 +176,8 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", label
 
 def predict_column(net: ByteNet, text: Column) -> Column:
     """struct(lang, score) of whole texts."""
+    ship()
+
     @F.pandas_udf("lang string, score double")
     def language(texts: pd.Series) -> pd.DataFrame:
         found = []

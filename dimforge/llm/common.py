@@ -2,11 +2,27 @@
 
 from __future__ import annotations
 
+import shutil
+import tempfile
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+import dimforge
 from dimforge.session import scratch_path
 
 
+def ship(spark: SparkSession | None = None) -> None:
+    """Hand this package to the executors' Python workers, once per context,
+    so that they import it wherever they run (and keep what its modules cache
+    from one task to the next)."""
+    context = (spark or SparkSession.active()).sparkContext
+    if not getattr(context, "_dimforge_shipped", False):
+        root = Path(dimforge.__file__).parent
+        context.addPyFile(shutil.make_archive(f"{tempfile.mkdtemp()}/dimforge", "zip", root.parent, root.name))
+        context._dimforge_shipped = True
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once below ``spark.checkpoint.dir`` and read it back.
 

@@ -20,12 +20,13 @@ import struct
 import zlib
 from array import array
 from collections.abc import Iterable, Iterator
+from functools import cache
 
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from dimforge.llm.common import materialise
+from dimforge.llm.common import materialise, ship
 
 WINDOW = 2048
 OPEN_WINDOWS = 64
@@ -123,6 +124,12 @@ class ChunkEncoder(dict):
         return [head + b"".join(map(self.__getitem__, words[1:])) for head, words in zip(heads, cut)]
 
 
+@cache
+def chunk_encoder(path: str) -> ChunkEncoder:
+    """One per worker process, kept from task to task."""
+    return ChunkEncoder(path)
+
+
 class _Sink:
     """Collects piece rows of finished sequences."""
 
@@ -243,7 +250,7 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
     are packed like any other row; a text longer than a window fills windows of
     its own. Other columns are not read. An empty table gives no piece.
     """
-    spark = docs.sparkSession
+    ship(docs.sparkSession)
     docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     kind = docs.schema["doc_id"].dataType
     ddl = PIECES.format(id=kind.simpleString())
@@ -253,7 +260,7 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
         from pyspark import TaskContext
 
         part = TaskContext.get().partitionId()
-        encoder, schema, left = ChunkEncoder(tokenizer_path), None, []
+        encoder, schema, left = chunk_encoder(tokenizer_path), None, []
         sink = _Sink(part << 32, part, keep_ids)
         windows = OpenWindows(sink, window, open_windows, max_gap)
         for batch in batches:

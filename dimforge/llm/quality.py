@@ -17,7 +17,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from dimforge.llm.common import materialise, row_key, salted
+from dimforge.llm.common import materialise, row_key, salted, ship
 
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
@@ -96,6 +96,7 @@ def profile(text: str) -> tuple:
 
 def _profiles(rows: DataFrame) -> DataFrame:
     """``text`` of ``rows`` replaced by the fields of PROFILE."""
+    ship(rows.sparkSession)
     names = [c for c in rows.columns if c != "text"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -167,6 +168,8 @@ def line_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def strip_lines(text: Column, lines: Column) -> Column:
     """``text`` without the lines whose hash is in ``lines`` (null: as it is)."""
+    ship()
+
     @F.pandas_udf("string")
     def strip(texts: pd.Series, gone: pd.Series) -> pd.Series:
         def one(t: str | None, g: object) -> str | None:

@@ -176,7 +176,7 @@ def _canonical_sql(text: str) -> str:
     for old, new in licences.EQUIVALENT:
         t = f"replace({t}, ' {old} ', ' {new} ')"
     t = f"regexp_replace(regexp_replace({t}, ' {{2,}}', ' ', 'g'), ' ?\\n ?', chr(10), 'g')"
-    return (f"list_filter(string_split(trim({t}, ' '), chr(10)), x -> x <> '' AND (NOT regexp_matches(x, "
+    return (f"list_filter(string_split(trim({t}, ' '), chr(10)), lambda x: x <> '' AND (NOT regexp_matches(x, "
             f"'{licences.COPYRIGHT_LINE}') OR regexp_matches(x, '{licences.COPYRIGHT_TERMS}')))")
 
 

@@ -17,7 +17,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from dimforge.llm.common import materialise, row_key
+from dimforge.llm.common import materialise, row_key, ship
 from dimforge.llm.components import components
 
 SHINGLE_WORDS = 4
@@ -65,6 +65,8 @@ def fingerprint(text: str | None, n: int = SHINGLE_WORDS) -> int:
 
 def fingerprint_column(text: Column, n: int = SHINGLE_WORDS) -> Column:
     """The fingerprint as a signed long, whole texts in Arrow batches."""
+    ship()
+
     @F.pandas_udf("long")
     def simhash(texts: pd.Series) -> pd.Series:
         return pd.Series(np.array([fingerprint(t, n) for t in texts], np.uint64).view(np.int64))

@@ -18,7 +18,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from dimforge.llm.common import materialise
+from dimforge.llm.common import materialise, ship
 from dimforge.llm.components import components
 
 MIN_COSINE = 0.9
@@ -159,6 +159,7 @@ def embedding_components(vectors: DataFrame, id_col: str = "vec_id", vector_col:
     their length only. Other columns are not read; an empty table gives an
     empty result.
     """
+    ship(vectors.sparkSession)
     v = F.col(vector_col)
     wide = F.transform(v, lambda e: e.cast("double"))
     good = F.coalesce((F.size(v) > 0) & ~F.exists(wide, lambda e: e.isNull() | F.isnan(e) | (F.abs(e) == float("inf")))
