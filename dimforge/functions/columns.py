@@ -69,12 +69,14 @@ def referrer_host(col: str) -> Column:
 
 
 def ip_of(user_id: Column) -> Column:
-    """A dotted address standing for the visitor (10.a.b.c from the user number)."""
+    """A dotted address standing for the visitor: the user number's three low bytes after a first
+    part that starts at 10 and is not bounded, so no two visitors share an address."""
     u = user_id.cast("bigint")
     part = lambda d: (F.floor(u / d) % 256).cast("string")
-    return F.concat(F.lit("10."), part(65536), F.lit("."), part(256), F.lit("."), (u % 256).cast("string"))
+    first = (F.floor(u / 16777216) + 10).cast("string")
+    return F.concat(first, F.lit("."), part(65536), F.lit("."), part(256), F.lit("."), (u % 256).cast("string"))
 
 
 def ip_number(ip: Column) -> Column:
     p = F.split(ip, r"\.")
-    return (F.get(p, 1).cast("bigint") * 65536 + F.get(p, 2).cast("bigint") * 256 + F.get(p, 3).cast("bigint"))
+    return ((F.get(p, 0).cast("bigint") - 10) * 16777216 + F.get(p, 1).cast("bigint") * 65536 + F.get(p, 2).cast("bigint") * 256 + F.get(p, 3).cast("bigint"))

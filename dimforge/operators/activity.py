@@ -112,33 +112,51 @@ def metric_array_backfill(events: DataFrame, key: str | Sequence[str], ts: str,
     return m.select(*keys, month_start_of(ds).alias("month_start"), arr.alias(name))
 
 
+def until_day(arr: Column, n: Column, fill: Column) -> Column:
+    """``arr`` as exactly ``n`` elements: cut, or filled up with ``fill``; NULL counts as empty."""
+    fill = fill.cast("bigint")
+    return F.transform(F.filter(F.sequence(F.lit(0), n), lambda i: i < n),
+                       lambda i: F.coalesce(F.get(arr, i).cast("bigint"), fill))
+
+
 def metric_array_step(prev: DataFrame, events: DataFrame, key: str, ts: str, ds: str,
                       metric_name: str = "site_hits") -> DataFrame:
-    """Append today's count (0 when absent); a key first seen today gets leading zeros."""
+    """Put today's count (0 when absent) on its day of the month.
+
+    A shorter predecessor (a missed day, a key first seen today) is filled
+    with zeros up to yesterday, one that holds today already (a rerun) is cut
+    before it, so each value stands on its own day.
+    """
     ms = month_start_of(ds)
     y = prev.filter((F.col("month_start") == ms) & (F.col("metric_name") == metric_name)).alias("y")
     t = daily_activity(events, key, ts, ds).alias("t")
     j = y.join(t, F.col(f"y.{key}") == F.col(f"t.{key}"), "full_outer")
     today = F.array(F.coalesce(F.col("t.n_events"), F.lit(0)).cast("bigint"))
-    lead = F.array_repeat(F.lit(0).cast("bigint"), F.datediff(F.lit(ds).cast("date"), ms))
+    n = F.datediff(F.lit(ds).cast("date"), ms)
     return j.select(
         F.coalesce(F.col(f"t.{key}"), F.col(f"y.{key}")).alias(key),
         F.coalesce(F.col("y.month_start"), ms).alias("month_start"),
         F.lit(metric_name).alias("metric_name"),
-        F.when(F.col("y.metric_array").isNotNull(), F.concat(F.col("y.metric_array"), today))
-         .otherwise(F.concat(lead, today)).alias("metric_array"))
+        F.concat(until_day(F.col("y.metric_array"), n, F.lit(0)), today).alias("metric_array"))
 
 
 def hit_array_step(prev: DataFrame, events: DataFrame, key: str, ts: str, ds: str) -> DataFrame:
-    """NULL-filled month array; ``first_found_date`` kept for keys absent today (``least`` skips NULL)."""
+    """NULL-filled month array; ``first_found_date`` kept for keys absent today (``least`` skips NULL).
+
+    The predecessor is the newest partition of the same month before ``ds``:
+    a new month starts afresh, a missed day is filled with NULL, a rerun of
+    ``ds`` never reads its own result.
+    """
     ms = month_start_of(ds)
-    y = prev.filter(F.col("date_partition") == F.date_sub(F.lit(ds).cast("date"), 1)).alias("y")
+    older = prev.filter((F.col("month_start") == ms) & (F.col("date_partition") < F.lit(ds).cast("date")))
+    y = older.groupBy(key).agg(F.max_by(F.struct("hit_array", "first_found_date"), "date_partition").alias("_p"))
+    y = y.select(key, "_p.hit_array", "_p.first_found_date").alias("y")
     t = daily_activity(events, key, ts, ds).alias("t")
     j = y.join(t, F.col(f"y.{key}") == F.col(f"t.{key}"), "full_outer")
-    lead = F.array_repeat(F.lit(None).cast("bigint"), F.datediff(F.lit(ds).cast("date"), ms))
+    n = F.datediff(F.lit(ds).cast("date"), ms)
     return j.select(
         F.coalesce(F.col(f"t.{key}"), F.col(f"y.{key}")).alias(key),
-        F.concat(F.coalesce(F.col("y.hit_array"), lead), F.array(F.col("t.n_events").cast("bigint"))).alias("hit_array"),
+        F.concat(until_day(F.col("y.hit_array"), n, F.lit(None)), F.array(F.col("t.n_events").cast("bigint"))).alias("hit_array"),
         ms.alias("month_start"),
         F.least(F.col("y.first_found_date"), F.col("t.date")).alias("first_found_date"),
         F.lit(ds).cast("date").alias("date_partition"))

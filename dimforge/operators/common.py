@@ -78,26 +78,29 @@ def sequence_positions(df: DataFrame, key: str | Sequence[str], day: str | Colum
     inside the day plus the day totals; the day totals (a table bounded by
     the calendar) get a prefix sum over days and are joined back. No window
     spans all rows of a key, so a key holding a third of the data is still
-    spread over many tasks; the input is shuffled once.
+    spread over many tasks. Window and join use one struct as key (NULLs in it
+    compare as equal), so the input is shuffled once.
     """
     keys = cols(key)
     f = F.col(flag).cast("int") if flag is not None else F.lit(0)
-    within = Window.partitionBy(*keys, "_day").orderBy(*tie)
-    whole_day = Window.partitionBy(*keys, "_day")
+    within = Window.partitionBy("_key").orderBy(*tie)
+    whole_day = Window.partitionBy("_key")
     w = (df.withColumn("_day", F.col(day) if isinstance(day, str) else day)
+           .withColumn("_key", F.struct(*keys, "_day"))
            .withColumn("_fl", f)
            .withColumn("_r", F.row_number().over(within))
            .withColumn("_cf", F.sum("_fl").over(within.rowsBetween(Window.unboundedPreceding, 0)))
            .withColumn("_dn", F.count(F.lit(1)).over(whole_day))
            .withColumn("_df", F.sum("_fl").over(whole_day)))
-    days = w.select(*keys, "_day", "_dn", "_df").distinct()
-    before = Window.partitionBy(*keys).orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
-    days = days.select(*keys, "_day", F.coalesce(F.sum("_dn").over(before), F.lit(0)).alias("_n0"),
+    days = w.groupBy("_key").agg(F.max("_dn").alias("_dn"), F.max("_df").alias("_df"))
+    before = (Window.partitionBy(*[F.col("_key")[k] for k in keys]).orderBy(F.col("_key")["_day"])
+              .rowsBetween(Window.unboundedPreceding, -1))
+    days = days.select("_key", F.coalesce(F.sum("_dn").over(before), F.lit(0)).alias("_n0"),
                        F.coalesce(F.sum("_df").over(before), F.lit(0)).alias("_f0"))
-    out = (null_safe_join(w, days, [*keys, "_day"])
+    out = (w.join(days, "_key")
            .withColumn("_pos", F.col("_n0") + F.col("_r"))
            .withColumn("_cnt", F.col("_f0") + F.col("_cf"))
-           .drop("_n0", "_f0", "_r", "_cf", "_dn", "_df", "_fl", "_day"))
+           .drop("_n0", "_f0", "_r", "_cf", "_dn", "_df", "_fl", "_day", "_key"))
     return out if flag is not None else out.drop("_cnt")
 
 
@@ -117,27 +120,27 @@ def number_islands(df: DataFrame, part: Sequence[str], chunk: Column, order: Seq
     the chunk table. A partition holding a third of all rows is still
     spread over its chunks.
     """
-    keys = [*part, "_chunk"]
-    d = df.withColumn("_chunk", chunk)
-    w_in = Window.partitionBy(*keys).orderBy(*order)
-    w_ch = Window.partitionBy(*part).orderBy("_chunk")
+    # one struct as key of windows and joins: NULLs in it compare as equal, and no join moves the rows again
+    d = df.withColumn("_key", F.struct(*part, chunk.alias("_chunk")))
+    w_in = Window.partitionBy("_key").orderBy(*order)
+    w_ch = Window.partitionBy(*[F.col("_key")[c] for c in part]).orderBy(F.col("_key")["_chunk"])
     d = d.withColumn("_rn", F.row_number().over(w_in))
     for c in carry:
         d = d.withColumn(f"_lag_{c}", F.lag(c).over(w_in))
-    last = d.groupBy(*keys).agg(F.max_by(F.struct(*carry), F.struct(*order)).alias("_last"))
-    last = last.select(*keys, F.lag("_last").over(w_ch).alias("_prev_last"))
-    d = null_safe_join(d, last, keys)
+    last = d.groupBy("_key").agg(F.max_by(F.struct(*carry), F.struct(*order)).alias("_last"))
+    last = last.select("_key", F.lag("_last").over(w_ch).alias("_prev_last"))
+    d = d.join(last, "_key")
     first = F.col("_rn") == 1
     prev = {c: F.when(first, F.col("_prev_last")[c]).otherwise(F.col(f"_lag_{c}")) for c in carry}
     has_prev = ~first | F.col("_prev_last").isNotNull()
     d = (d.withColumn("_new", (~has_prev) | F.coalesce(starts(prev, {c: F.col(c) for c in carry}), F.lit(False)))
           .drop("_rn", "_prev_last", *[f"_lag_{c}" for c in carry]))
     d = d.withColumn("_cin", F.sum(F.col("_new").cast("int")).over(w_in.rowsBetween(Window.unboundedPreceding, 0)))
-    per = d.groupBy(*keys).agg(F.sum(F.col("_new").cast("int")).alias("_k"))
-    per = per.select(*keys, F.coalesce(F.sum("_k").over(w_ch.rowsBetween(Window.unboundedPreceding, -1)),
+    per = d.groupBy("_key").agg(F.sum(F.col("_new").cast("int")).alias("_k"))
+    per = per.select("_key", F.coalesce(F.sum("_k").over(w_ch.rowsBetween(Window.unboundedPreceding, -1)),
                                        F.lit(0)).alias("_k0"))
-    d = null_safe_join(d, per, keys)
-    return d.withColumn(name, F.col("_k0") + F.col("_cin")).drop("_new", "_cin", "_k0", "_chunk")
+    d = d.join(per, "_key")
+    return d.withColumn(name, F.col("_k0") + F.col("_cin")).drop("_new", "_cin", "_k0", "_key")
 
 
 def fold_steps(state: DataFrame, periods: Iterable, step: Callable[[DataFrame, object], DataFrame],

@@ -107,5 +107,6 @@ def dash_filtered_facts(df: DataFrame, dims: Sequence[str], value: str, all_labe
     told apart from a real NULL by the label alone.
     """
     d = df.select(*[F.coalesce(F.col(c).cast("string"), F.lit("unknown")).alias(c) for c in dims], value)
-    c = d.cube(*dims).agg(F.count(F.lit(1)).alias("hits"), F.round(F.sum(value), 2).alias("total_value"))
+    d = d.groupBy(*dims).agg(F.count(F.lit(1)).alias("_n"), F.sum(value).alias("_v"))  # Expand copies groups, not rows
+    c = d.cube(*dims).agg(F.sum("_n").alias("hits"), F.round(F.sum("_v"), 2).alias("total_value"))
     return c.select(*[F.coalesce(F.col(x), F.lit(all_label)).alias(x) for x in dims], "hits", "total_value")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from dimforge.operators.common import number_islands
@@ -51,14 +51,11 @@ def enrich_typed(events: DataFrame, devices: DataFrame) -> DataFrame:
 
 def enrich_typed_sql(spark: SparkSession, events: DataFrame, devices: DataFrame) -> DataFrame:
     """The same join through a temp view and SQL text (third form of the original job)."""
-    tag = scratch_path(spark, "v").rsplit("-", 1)[-1]
-    ev, dv = f"filtered_events_{tag}", f"devices_{tag}"
-    events.filter("user_id IS NOT NULL AND device_id IS NOT NULL").createOrReplaceTempView(ev)
-    devices.createOrReplaceTempView(dv)
     return spark.sql(f"""
-        SELECT fe.user_id, d.device_id, upper(d.browser_type) AS browser_type, d.os_type, d.device_type,
-               coalesce(fe.referrer, '{MISSING_REFERRER}') AS referrer, fe.host, fe.url, fe.event_time
-        FROM {ev} fe JOIN {dv} d ON fe.device_id = d.device_id""")
+        WITH known AS (SELECT * FROM {{ev}} WHERE isnotnull(user_id) AND isnotnull(device_id))
+        SELECT user_id, device_id, ucase(browser_type) AS browser_type, os_type, device_type,
+               nvl(referrer, '{MISSING_REFERRER}') AS referrer, host, url, event_time
+        FROM known INNER JOIN {{dev}} USING (device_id)""", ev=events, dev=devices)
 
 
 def events_aggregated(events: DataFrame) -> DataFrame:
@@ -98,24 +95,34 @@ def devices_on_events(agg: DataFrame, devices: DataFrame) -> DataFrame:
                .select("device_id", "device_type", "user_id", "event_counts"))
 
 
-def layout_global_sort(df: DataFrame, n: int, part: str, order: Sequence[str]) -> DataFrame:
+def layout_global_sort(df: DataFrame, n: int, part: Sequence[str], order: Sequence[str]) -> DataFrame:
     """Hash-repartition then a total order: a second (range) exchange."""
-    return df.repartition(n, F.col(part)).orderBy(*order)
+    return df.repartition(n, *part).orderBy(*order)
 
 
-def layout_local_sort(df: DataFrame, n: int, part: str, order: Sequence[str]) -> DataFrame:
+def layout_local_sort(df: DataFrame, n: int, part: Sequence[str], order: Sequence[str]) -> DataFrame:
     """Hash-repartition then sort inside each partition: one exchange, good run lengths per file."""
-    return df.repartition(n, F.col(part)).sortWithinPartitions(*order)
+    return df.repartition(n, *part).sortWithinPartitions(*order)
 
 
 def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> str:
     w = df.write.mode("overwrite")
     if partition_by:
-        w = w.partitionBy(*partition_by)
+        w = df.hint("rebalance", *partition_by).write.mode("overwrite").partitionBy(*partition_by)
     w.parquet(path)
     return path
 
 
+def out_of_order(stored: DataFrame, order: Sequence[str]) -> DataFrame:
+    """Rows of a stored table, and those that sort before their predecessor in the same file."""
+    w = Window.partitionBy("_f").orderBy("_i")
+    r = stored.select(F.struct(*order).alias("_k"), F.col("_metadata.file_path").alias("_f"),
+                      F.col("_metadata.row_index").alias("_i"))
+    back = F.coalesce(F.col("_k") < F.lag("_k").over(w), F.lit(False))
+    return r.select(back.cast("bigint").alias("_b")).agg(F.count(F.lit(1)).alias("n_rows"),
+                                                          F.coalesce(F.sum("_b"), F.lit(0)).alias("n_out_of_order"))
+
+
 def layout_size_report(spark: SparkSession, variants: dict[str, DataFrame]) -> DataFrame:
     """Write each variant to a fresh path and report file count and bytes from ``_metadata``."""
     out = None

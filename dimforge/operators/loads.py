@@ -14,20 +14,31 @@ from dimforge.session import scratch_path
 def load_partition_overwrite(df: DataFrame, path: str, part_cols: Sequence[str]) -> str:
     """DELETE period + INSERT as one rerun-safe write: only the partitions present in ``df``
     are replaced (dynamic partition overwrite), the others are left alone."""
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    # clustered first (AQE splits a large partition), or every task would write into every folder
+    (df.hint("rebalance", *part_cols).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
        .partitionBy(*part_cols).parquet(path))
     return path
 
 
+def one_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The greatest row of each key, values compared in column order; combined map-side, and
+    hashed on the keys as the join that follows needs it."""
+    vals = [c for c in df.columns if c not in keys]
+    if not vals:
+        return df.distinct()
+    return df.groupBy(*keys).agg(F.max(F.struct(*vals)).alias("_v")).select(*keys, *[f"_v.{c}" for c in vals])
+
+
 def load_merge_upsert(target: DataFrame, source: DataFrame, keys: str | Sequence[str]) -> DataFrame:
     """MERGE: matched keys take the source row, unmatched rows of either side are kept.
 
     A source-present flag (not ``coalesce`` of values) decides, so a NULL in
-    the source still overwrites the target value. One full outer join on the keys.
+    the source still overwrites the target value. One full outer join on the keys;
+    of source rows with one key the greatest (values compared in column order) counts.
     """
     keys = cols(keys)
     vals = [c for c in target.columns if c not in keys]
-    s = source.select(*keys, *vals).withColumn("_in_src", F.lit(True)).alias("s")
+    s = one_per_key(source.select(*keys, *vals), keys).select(*keys, *vals).withColumn("_in_src", F.lit(True)).alias("s")
     t = target.select(*keys, *vals).alias("t")
     j = t.join(s, [F.col(f"t.{k}") == F.col(f"s.{k}") for k in keys], "full_outer")
     src = F.coalesce(F.col("s._in_src"), F.lit(False))
@@ -36,9 +47,10 @@ def load_merge_upsert(target: DataFrame, source: DataFrame, keys: str | Sequence
 
 
 def load_insert_absent(target: DataFrame, source: DataFrame, keys: str | Sequence[str]) -> DataFrame:
-    """INSERT ... ON CONFLICT DO NOTHING: source rows whose key is already present are ignored."""
+    """INSERT ... ON CONFLICT DO NOTHING: source rows whose key is already present are ignored,
+    and of those with one new key the greatest is inserted."""
     keys = cols(keys)
-    new = source.select(*target.columns).join(target.select(*keys), keys, "left_anti")
+    new = one_per_key(source.select(*target.columns), keys).join(target.select(*keys), keys, "left_anti")
     return target.unionByName(new)
 
 

@@ -151,9 +151,10 @@ def dashboard_grouping_sets(df: DataFrame, dims: Sequence[str], unknown: str = "
     ``grouping()``.
     """
     d = df.select(*[F.coalesce(F.col(c), F.lit(unknown)).alias(c) for c in dims])
+    d = d.groupBy(*dims).agg(F.count(F.lit(1)).alias("_n"))  # so that Expand copies groups, not rows
     sets = [list(dims)] + [[c] for c in dims]
     g = d.groupingSets(sets, *dims).agg(
-        F.count(F.lit(1)).alias("number_of_hits"),
+        F.sum("_n").alias("number_of_hits"),
         *[F.grouping(c).alias(f"_g_{c}") for c in dims])
     level = F.when(sum(F.col(f"_g_{c}") for c in dims) == 0, F.lit("__".join(dims)))
     for c in dims:

@@ -246,11 +246,11 @@ def host_reduced_step(prev: DataFrame, e: DataFrame, ds: str) -> DataFrame:
               .groupBy("host").agg(F.count(F.lit(1)).alias("hits"), F.countDistinct("user_id").alias("visitors")))
     y = prev.filter(F.col("month_start") == ms).alias("y")
     j = y.join(today.alias("t"), F.col("y.host") == F.col("t.host"), "full_outer")
-    lead = F.array_repeat(F.lit(0).cast("bigint"), F.datediff(d0, ms))
+    n = F.datediff(d0, ms)
 
     def grow(arr: str, v: str):
         item = F.array(F.coalesce(F.col(f"t.{v}"), F.lit(0)).cast("bigint"))
-        return F.concat(F.coalesce(F.col(f"y.{arr}"), lead), item)
+        return F.concat(ac.until_day(F.col(f"y.{arr}"), n, F.lit(0)), item)
     return j.select(F.coalesce(F.col("t.host"), F.col("y.host")).alias("host"), ms.alias("month_start"),
                     grow("hit_array", "hits").alias("hit_array"),
                     grow("unique_visitors", "visitors").alias("unique_visitors"))

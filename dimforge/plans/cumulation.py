@@ -132,8 +132,11 @@ def q_enum_check(spark, sf):
     return bad.groupBy("scoring_class").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
-def films_chain(spark, sf, first: int = STEP - 1, last: int = STEP) -> DataFrame:
+def films_chain(spark, sf, first: int | None = None, last: int = STEP) -> DataFrame:
+    """All steps from the first year there is (or ``first``) to ``last``."""
     fl = tb.films(spark, sf)
+    if first is None:
+        first = fl.agg(F.min("year")).first()[0] or last
     snap = cu.empty_multi_snapshot(fl, "actorid", "year", F_STRUCT, ["actor"])
     return fold_steps(snap, range(first, last + 1),
                       lambda s, yr: cu.cumulate_step_multi(s, fl, "actorid", "year", yr, "filmid", F_STRUCT,
@@ -141,15 +144,15 @@ def films_chain(spark, sf, first: int = STEP - 1, last: int = STEP) -> DataFrame
 
 
 @query("cumulate_step_multi", with_views("films") + f"""
-, win AS (SELECT * FROM films WHERE year BETWEEN {STEP - 1} AND {STEP}),
-cur AS (SELECT actorid, avg(rating) AS a FROM films WHERE year = {STEP} GROUP BY actorid),
-prv AS (SELECT actorid, avg(rating) AS a FROM films WHERE year = {STEP - 1} GROUP BY actorid)
+, win AS (SELECT * FROM films WHERE year <= {STEP}),
+newest AS (SELECT actorid, max(year) AS y FROM win GROUP BY actorid),
+rated AS (SELECT w.actorid, n.y, avg(w.rating) AS a FROM win w JOIN newest n ON n.actorid = w.actorid AND n.y = w.year
+          GROUP BY w.actorid, n.y)
 SELECT w.actorid, max(w.actor) AS actor, CAST(count(*) AS INTEGER) AS n_films,
        string_agg(CAST(w.filmid AS VARCHAR), ',' ORDER BY w.year, w.filmid) AS film_ids,
-       CASE WHEN max(cur.a) IS NOT NULL THEN {_FTIER_SQL.format(c='max(cur.a)')}
-            ELSE {_FTIER_SQL.format(c='max(prv.a)')} END AS quality_class,
-       max(cur.a) IS NOT NULL AS is_active, {STEP} AS current_year
-FROM win w LEFT JOIN cur ON w.actorid = cur.actorid LEFT JOIN prv ON w.actorid = prv.actorid
+       {_FTIER_SQL.format(c='max(r.a)')} AS quality_class,
+       max(r.y) = {STEP} AS is_active, {STEP} AS current_year
+FROM win w JOIN rated r ON r.actorid = w.actorid
 GROUP BY w.actorid""")
 def q_cumulate_step_multi(spark, sf):
     snap = films_chain(spark, sf)

@@ -13,7 +13,6 @@ from dimforge.sources import tables as tb
 from dimforge.sources.oracle_views import with_views
 
 RENAMES = {"browser_type": "browser", "os_type": "os", "device_type": "device"}
-N_BUCKETS = 16
 DS = "2024-01-30"
 
 
@@ -60,6 +59,17 @@ def q_devices_on_events(spark, sf):
     return lo.devices_on_events(lo.events_aggregated(tb.web_events(spark, sf)), tb.web_devices(spark, sf))
 
 
+def n_parts(spark) -> int:
+    """Partitions of a layout: what the session shuffles into."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def n_buckets(spark) -> int:
+    """Buckets of a bucketed table: ``dimforge.buckets`` of the session, else 16; set it to the
+    table's size divided by what one task should sort."""
+    return int(spark.conf.get("dimforge.buckets", "16"))
+
+
 def _dated(spark, sf) -> DataFrame:
     return tb.web_events(spark, sf).select("event_id", F.to_date("event_time").alias("event_date"), "host", "url",
                                            "user_id")
@@ -71,20 +81,20 @@ SELECT event_id, CAST(event_time AS DATE) AS event_date, host, url, user_id FROM
 
 @query("layout_global_sort", _DATED_SQL)
 def q_layout_global_sort(spark, sf):
-    return lo.layout_global_sort(_dated(spark, sf), 8, "event_date", ["event_date", "host", "url"])
+    return lo.layout_global_sort(_dated(spark, sf), n_parts(spark), ["event_date", "host"], ["event_date", "host", "url"])
 
 
 @query("layout_local_sort", _DATED_SQL)
 def q_layout_local_sort(spark, sf):
-    return lo.layout_local_sort(_dated(spark, sf), 8, "event_date", ["event_date", "host", "url"])
+    return lo.layout_local_sort(_dated(spark, sf), n_parts(spark), ["event_date", "host"], ["event_date", "host", "url"])
 
 
 @query("layout_size_report")
 def q_layout_size_report(spark, sf):
     d = _dated(spark, sf)
     return lo.layout_size_report(spark, {
-        "unsorted": d.repartition(8, "event_date"),
-        "sorted": lo.layout_local_sort(d, 8, "event_date", ["event_date", "host", "url"])})
+        "unsorted": d.repartition(n_parts(spark), "event_date", "host"),
+        "sorted": lo.layout_local_sort(d, n_parts(spark), ["event_date", "host"], ["event_date", "host", "url"])})
 
 
 @query("rle_runs", with_views("web_events") + """,
@@ -126,7 +136,7 @@ def q_write_ds_partitioned(spark, sf):
 @query("write_bucketed", "SELECT o_orderkey, o_custkey, o_totalprice, o_orderdate FROM orders")
 def q_write_bucketed(spark, sf):
     o = tb.read(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
-    return spark.table(lo.write_bucketed(spark, o, N_BUCKETS, "o_orderkey", "orders_bucketed"))
+    return spark.table(lo.write_bucketed(spark, o, n_buckets(spark), "o_orderkey", "orders_bucketed"))
 
 
 _JOIN_SQL = """
@@ -140,17 +150,10 @@ def _order_lines(o: DataFrame, li: DataFrame) -> DataFrame:
              .agg(F.count(F.lit(1)).alias("n_lines"), F.round(F.sum("l_quantity"), 2).alias("sum_qty")))
 
 
-# bucketed copies are a layout step: written once per (session, input folder), then joined many times
-_BUCKETED: dict[tuple, str] = {}
-
-
 def bucketed_table(spark, sf, table: str, cols: list[str], key: str) -> DataFrame:
-    tag = (spark.sparkContext.applicationId, sf.rstrip("/"), table)
-    name = _BUCKETED.get(tag)
-    if name is None or not spark.catalog.tableExists(name):
-        name = lo.write_bucketed(spark, tb.read(spark, sf, table).select(*cols), N_BUCKETS, key, f"{table}_b")
-        _BUCKETED[tag] = name
-    return spark.table(name)
+    """A new version of the bucketed copy; a load step writes it, the joins of the run read it."""
+    return spark.table(lo.write_bucketed(spark, tb.read(spark, sf, table).select(*cols), n_buckets(spark), key,
+                                         f"{table}_b"))
 
 
 def bucketed_order_lines(spark, sf) -> DataFrame:
@@ -232,3 +235,65 @@ def q_match_top_medal_map(spark, sf):
     a = j.groupBy("mapid").agg(F.sum("_k").alias("killing_sprees"))
     return top1(a.join(lo.checked_broadcast(tb.maps(spark, sf)), "mapid").select("mapid", "name", "killing_sprees"),
                 "killing_sprees", "name")
+
+
+@query("cached_reuse", _AGG_SQL + """
+SELECT 'users' AS report, count(*) AS n_rows, CAST(sum(n) AS BIGINT) AS total_events
+FROM (SELECT user_id, sum(event_counts) AS n FROM agg GROUP BY user_id) u
+UNION ALL
+SELECT 'devices', count(*), CAST(sum(a.event_counts) AS BIGINT) FROM agg a JOIN web_devices d ON a.device_id = d.device_id""")
+def q_cached_reuse(spark, sf):
+    """One persisted aggregate feeds two written reports; what was written is counted."""
+    users, devices = scratch_path(spark, "users-report"), scratch_path(spark, "devices-report")
+    lo.cached_reuse(tb.web_events(spark, sf), tb.web_devices(spark, sf),
+                    lambda df: df.write.parquet(users), lambda df: df.write.parquet(devices))
+    out = [spark.read.parquet(p).agg(F.lit(n).alias("report"), F.count(F.lit(1)).alias("n_rows"),
+                                     F.sum(c).alias("total_events"))
+           for n, p, c in (("users", users, "total_events"), ("devices", devices, "event_counts"))]
+    return out[0].unionByName(out[1])
+
+
+@query("match_bucket_join", with_views("matches", "match_details", "medals", "medal_rows", "maps") + """,
+won AS (SELECT match_id, player_gamertag, CAST(sum("count") AS BIGINT) AS n FROM medal_rows
+        WHERE medal_id IN (SELECT medal_id FROM medals) GROUP BY ALL)
+SELECT m.playlist_id, p.name AS map_name, count(*) AS n_players, CAST(sum(d.player_total_kills) AS BIGINT) AS kills,
+       CAST(coalesce(sum(w.n), 0) AS BIGINT) AS n_medals
+FROM match_details d JOIN matches m ON m.match_id = d.match_id JOIN maps p ON p.mapid = m.mapid
+LEFT JOIN won w ON w.match_id = d.match_id AND w.player_gamertag = d.player_gamertag
+GROUP BY m.playlist_id, p.name""")
+def q_match_bucket_join(spark, sf):
+    """Three match tables bucketed on the match joined without an exchange, small dimensions broadcast."""
+    def bucketed(name: str, df: DataFrame) -> DataFrame:
+        return spark.table(lo.write_bucketed(spark, df, n_buckets(spark), "match_id", f"{name}_b"))
+
+    return match_join(bucketed("matches", tb.matches(spark, sf)), bucketed("details", tb.match_details(spark, sf)),
+                      bucketed("medal_rows", tb.medal_rows(spark, sf)), tb.medals(spark, sf), tb.maps(spark, sf))
+
+
+def match_join(matches: DataFrame, details: DataFrame, medal_rows: DataFrame, medals: DataFrame,
+               maps: DataFrame) -> DataFrame:
+    known = lo.checked_broadcast(medals.select("medal_id").distinct())
+    won = (medal_rows.join(known, "medal_id", "left_semi")
+           .groupBy("match_id", "player_gamertag").agg(F.sum("count").alias("n")))
+    j = (details.join(matches.hint("merge"), "match_id").join(won.hint("merge"), ["match_id", "player_gamertag"], "left")
+         .join(lo.checked_broadcast(maps), "mapid"))
+    return j.groupBy("playlist_id", F.col("name").alias("map_name")).agg(
+        F.count(F.lit(1)).alias("n_players"), F.sum("player_total_kills").alias("kills"),
+        F.coalesce(F.sum("n"), F.lit(0)).alias("n_medals"))
+
+
+@query("layout_sort_check", with_views("web_events") + """
+SELECT l.layout, count(*) AS n_rows, CAST(0 AS BIGINT) AS n_out_of_order
+FROM web_events, (VALUES ('by_time'), ('by_host'), ('global')) l(layout) GROUP BY l.layout""")
+def q_layout_sort_check(spark, sf):
+    """Three sort orders written and read back: rows, and rows that stand before their predecessor in a file."""
+    d, n = _dated(spark, sf), n_parts(spark)
+    orders = {"by_time": ["event_date", "host", "url"], "by_host": ["host", "url", "event_date"],
+              "global": ["event_date", "host", "url"]}
+    out = None
+    for name, order in orders.items():
+        laid = (lo.layout_global_sort if name == "global" else lo.layout_local_sort)(d, n, ["event_date", "host"], order)
+        r = lo.out_of_order(spark.read.parquet(lo.write_parquet(laid, scratch_path(spark, f"sorted-{name}"))), order)
+        r = r.select(F.lit(name).alias("layout"), "n_rows", "n_out_of_order")
+        out = r if out is None else out.unionByName(r)
+    return out

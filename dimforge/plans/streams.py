@@ -13,7 +13,7 @@ from dimforge.streaming import jobs as st
 
 WIDE_GAP = "2 hours"
 
-_IP_SQL = ("CASE WHEN user_id IS NOT NULL THEN '10.' || CAST((user_id // 65536) % 256 AS VARCHAR) || '.' || "
+_IP_SQL = ("CASE WHEN user_id IS NOT NULL THEN CAST(10 + user_id // 16777216 AS VARCHAR) || '.' || CAST((user_id // 65536) % 256 AS VARCHAR) || '.' || "
            "CAST((user_id // 256) % 256 AS VARCHAR) || '.' || CAST(user_id % 256 AS VARCHAR) END")
 _EV_SQL = with_views("web_events", "ip_ranges") + f""",
 ev AS (SELECT *, {_IP_SQL} AS ip FROM web_events),

@@ -52,6 +52,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     current = sc.getCheckpointDir() if hasattr(sc, "getCheckpointDir") else None
     if not current:
         current = spark.conf.get("spark.checkpoint.dir", None)
+    if not current and not sc.master.startswith("local[") and sc.master != "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
     if not current:
         current = tempfile.mkdtemp(prefix="dimforge-ckpt-", dir="/tmp")
     if not (sc.getCheckpointDir() if hasattr(sc, "getCheckpointDir") else None):

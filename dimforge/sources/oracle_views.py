@@ -26,7 +26,7 @@ VIEWS: dict[str, str] = {
     "web_devices": """
         SELECT p_partkey AS device_id, p_brand AS browser_type,
                NULLIF(p_type, 'ECONOMY') AS device_type, 'os' || CAST(p_size % 4 AS VARCHAR) AS os_type
-        FROM part WHERE p_partkey BETWEEN 0 AND 99""",
+        FROM part""",
     "seasons": """
         SELECT a.*, c.c_name AS player_name, c.c_nationkey AS country, c.c_mktsegment AS college
         FROM (SELECT o_custkey AS player_id, CAST(year(o_orderdate) AS INTEGER) AS season,

@@ -69,11 +69,10 @@ def web_events_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def web_devices(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = read(spark, sf_dir, "part")
-    return (p.filter(F.col("p_partkey").between(0, 99))
-             .select(F.col("p_partkey").alias("device_id"),
-                     F.col("p_brand").alias("browser_type"),
-                     F.when(F.col("p_type") != "ECONOMY", F.col("p_type")).alias("device_type"),
-                     F.concat(F.lit("os"), (F.col("p_size") % 4).cast("string")).alias("os_type")))
+    return p.select(F.col("p_partkey").alias("device_id"),
+                    F.col("p_brand").alias("browser_type"),
+                    F.when(F.col("p_type") != "ECONOMY", F.col("p_type")).alias("device_type"),
+                    F.concat(F.lit("os"), (F.col("p_size") % 4).cast("string")).alias("os_type"))
 
 
 def seasons(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -202,17 +201,15 @@ def maps(spark: SparkSession, sf_dir: str) -> DataFrame:
 def ip_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Geo dimension: ranges of 10 user ids up to max(user_id), last range left out.
 
-    The range count grows with the user population; the lookup side of
-    ``stream_geo_enrich`` joins on the range number (an equi-join), so it is
-    never a broadcast of unbounded size.
+    The range count grows with the user population, so the ranges are made
+    in parallel up to a bound that one small aggregation finds; the lookup
+    side of ``stream_geo_enrich`` joins on the range number (an equi-join),
+    so it is never a broadcast of unbounded size.
     """
-    ev = read(spark, sf_dir, "events")
+    top = read(spark, sf_dir, "events").agg(F.max("user_id")).first()[0]
     n = read(spark, sf_dir, "nation")
     r = read(spark, sf_dir, "region")
-    top = ev.agg(F.max("user_id").alias("mx"))
-    last = (F.floor(F.col("mx") / 10) - 1).cast("bigint")
-    rng = top.select(F.explode(F.when(last >= 0, F.sequence(F.lit(0).cast("bigint"), last)))
-                     .alias("range_no"))
+    rng = spark.range(max(0, (top or 0) // 10)).withColumnRenamed("id", "range_no")
     geo = n.join(r, n.n_regionkey == r.r_regionkey).select("n_nationkey", "n_name", "r_name")
     return (rng.withColumn("n_nationkey", (F.col("range_no") % 25).cast("int"))
                .join(geo, "n_nationkey")

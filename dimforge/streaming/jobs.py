@@ -58,9 +58,12 @@ def stream_geo_enrich(events: DataFrame, ranges: DataFrame, ip: str = "ip") -> D
     r = ranges.select(F.col("range_no").alias("_rn"), "ip_lo", "ip_hi", "country", "state", "city")
     n = ip_number(F.col(ip))
     e = events.withColumn("_ipn", n).withColumn("_rn", F.floor(F.col("_ipn") / 10).cast("bigint"))
-    j = e.join(r, (e["_rn"] == r["_rn"]) & F.col("_ipn").between(F.col("ip_lo"), F.col("ip_hi")), "left")
+    # rows without an address pass round the join: they would all hash to one task
+    known, unknown = e.filter("_rn IS NOT NULL"), events.filter(n.isNull())
+    j = known.join(r, (known["_rn"] == r["_rn"]) & F.col("_ipn").between(F.col("ip_lo"), F.col("ip_hi")), "left")
     geo = F.when(F.col("country").isNotNull(), F.to_json(F.struct("country", "state", "city"))).otherwise(F.lit("{}"))
-    return j.select(*[e[c] for c in events.columns], geo.alias("geodata"))
+    found = j.select(*[known[c] for c in events.columns], geo.alias("geodata"))
+    return found.unionByName(unknown.withColumn("geodata", F.lit("{}")))
 
 
 def stream_process(raw: DataFrame, ranges: DataFrame) -> DataFrame:
@@ -100,6 +103,7 @@ def stream_session(events: DataFrame, keys: Sequence[str], ts: str = "event_time
               .groupBy(F.session_window(ts, gap).alias("s"), *keys).agg(F.count(F.lit(1)).alias("num_events")))
         return g.select(*keys, F.col("s.start").cast("timestamp_ntz").alias("session_start"),
                         F.col("s.end").cast("timestamp_ntz").alias("session_end"), "num_events")
+    e = e.filter(F.col(ts).isNotNull())  # as the stream does: no event time, no session
     gap_i = F.expr(f"INTERVAL {gap}")
     order = [ts] + ([tie] if tie else [])
     s = number_islands(e.select(*keys, *order), list(keys), F.date_trunc("hour", ts), order, [ts],
