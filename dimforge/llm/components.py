@@ -14,7 +14,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from dimforge.llm.common import materialise
+from dimforge.llm.common import materialise, salted
+
+SALTS = 16
 
 
 def _mark(links: DataFrame) -> tuple:
@@ -48,3 +50,20 @@ def components(links: DataFrame) -> DataFrame:
         mark = new
     return (cur.select(F.col("u").alias("node"), F.col("v").alias("root"))
             .unionByName(cur.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()))
+
+
+def with_heads(nodes: DataFrame, label: DataFrame) -> DataFrame:
+    """``nodes(node, first, ...)`` with ``head``, the smallest ``first`` of each
+    node's component; ``label`` is the result of ``components``.
+
+    Nodes without links are their own head. Heads are joined salted: a
+    component of a third of all nodes is read by ``SALTS`` tasks, and as every
+    component in ``label`` has two nodes at least, the salted heads are at most
+    half of ``SALTS`` times the linked nodes.
+    """
+    named = nodes.join(label, "node", "left")
+    linked = named.filter("root is not null")
+    heads = linked.groupBy("root").agg(F.min("first").alias("head"))
+    linked, heads = salted(linked, F.col("node"), heads, SALTS)
+    linked = linked.join(heads, ["root", "__salt"]).drop("root", "__salt")
+    return linked.unionByName(named.filter("root is null").drop("root").withColumn("head", F.col("first")))

@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from dimforge.llm.common import materialise, row_key, ship
-from dimforge.llm.components import components
+from dimforge.llm.components import components, with_heads
 
 SHINGLE_WORDS = 4
 MAX_BITS = 4
@@ -168,10 +168,7 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     first = F.min(F.struct(F.col("id").isNull(), "id", "k1", "k2")).alias("first")
     fps = materialise(rows.groupBy("fp").agg(first), "distinct-fingerprints")
     label = components(_links(fps.select("fp"), max_bits))
-    named = (fps.join(label, F.col("fp") == F.col("node"), "left")
-             .select("fp", "first", F.coalesce("root", "fp").alias("root")))
-    heads = named.groupBy("root").agg(F.min("first").alias("head"))
-    named = named.join(heads, "root").select("fp", "head")
+    named = with_heads(fps.withColumnRenamed("fp", "node"), label).select(F.col("node").alias("fp"), "head")
     return rows.join(named, "fp").select(
         F.col("id").alias(id_col), "fp", F.col("head.id").alias("component_id"), "k1", "k2",
         ((F.col("k1") == F.col("head.k1")) & (F.col("k2") == F.col("head.k2"))).alias("keeper"))

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from dimforge.llm.common import materialise, ship
-from dimforge.llm.components import components
+from dimforge.llm.components import components, with_heads
 
 MIN_COSINE = 0.9
 # Bound of the sample that the centroids are fitted on, rounds and cells.
@@ -179,10 +179,8 @@ def embedding_components(vectors: DataFrame, id_col: str = "vec_id", vector_col:
     found = materialise(found, "vector-links")
     counts = found.filter("v is null").groupBy(F.col("u").alias("node")).agg(F.sum("links").alias("links"))
     label = components(found.filter("v is not null").select("u", "v"))
-    named = (nodes.select("node", "n", "first", "k1", "k2").join(counts, "node", "left").join(label, "node", "left")
-             .withColumn("root", F.coalesce("root", "node")))
-    heads = named.groupBy("root").agg(F.min("first").alias("head"))
-    named = named.join(heads, "root").select("k1", "k2", "n", "links", F.col("head.id").alias("head"))
+    named = with_heads(nodes.select("node", "n", "first", "k1", "k2").join(counts, "node", "left"), label)
+    named = named.select("k1", "k2", "n", "links", F.col("head.id").alias("head"))
     return (rows.withColumn("k1", F.when(F.col("good"), F.col("k1"))).drop("v").join(named, ["k1", "k2"], "left")
             .select(F.col("id").alias(id_col),
                     F.when(F.col("good"), F.coalesce("links", F.lit(0)) + F.col("n") - 1).otherwise(0).cast("long").alias("n_links"),
