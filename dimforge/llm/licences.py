@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from dimforge.llm.common import literal_rows, row_key
+from dimforge.llm.common import literal_rows, materialise, row_key
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 # Everything in ASCII but letters, digits and the line feed, and typographic
@@ -131,12 +131,17 @@ def scan_licences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     k1, k2 = row_key(F.col(id_col), F.col(text_col))
     rows = docs.select(F.col(id_col).alias("id"), k1.alias("k1"), k2.alias("k2"),
                        canonical_lines(F.col(text_col)).alias("lines"))
+    # Written once: both look-ups below need the costly canonical form.
+    rows = materialise(rows.select("id", "k1", "k2", F.md5(_whole(F.col("lines"))).alias("digest"),
+                                   F.array_distinct(F.transform("lines", lambda x: F.unhex(F.md5(x)))).alias("lines")),
+                       "licence-digests")
     known = known_digests(docs.sparkSession)
     texts = F.broadcast(known.filter("kind = 'text'").select("digest", "license"))
-    notices = F.broadcast(known.filter("kind = 'notice'").select("digest", F.col("license").alias("notice")))
-    units = rows.select("k1", "k2", F.explode("lines").alias("line")).select("k1", "k2", F.md5("line").alias("digest"))
-    found = units.join(notices, "digest").groupBy("k1", "k2").agg(F.collect_set("notice").alias("notices"))
-    whole = rows.select("id", "k1", "k2", F.md5(_whole(F.col("lines"))).alias("digest")).join(texts, "digest", "left")
+    notices = F.broadcast(known.filter("kind = 'notice'").select(F.unhex("digest").alias("line"),
+                                                                    F.col("license").alias("notice")))
+    found = (rows.select("k1", "k2", F.explode("lines").alias("line")).join(notices, "line")
+             .groupBy("k1", "k2").agg(F.collect_set("notice").alias("notices")))
+    whole = rows.select("id", "k1", "k2", "digest").join(texts, "digest", "left")
     names = F.coalesce(F.array_sort("notices"), F.array().cast("array<string>"))
     return (whole.join(found, ["k1", "k2"], "left")
             .select(F.col("id").alias(id_col), "digest", "license",
