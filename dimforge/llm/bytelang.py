@@ -160,6 +160,10 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", label
                             + 1).cast("int"), F.lit(WINDOW)) for i in range(TRAIN_WINDOWS)]
     sample = (docs.filter(text.isNotNull() & (text != "") & label.isNotNull() & ~held_out(F.col(id_col)))
               .select(label.cast("string").alias("label"), h.alias("h"), F.array(*cuts).alias("cuts"))
+              # first per part of a language, so that no task gathers every task's candidates
+              .withColumn("part", F.pmod("h", F.lit(64)))
+              .withColumn("n", F.row_number().over(Window.partitionBy("label", "part").orderBy("h", "cuts")))
+              .filter(F.col("n") <= TRAIN_DOCS)
               .withColumn("n", F.row_number().over(Window.partitionBy("label").orderBy("h", "cuts")))
               .filter(F.col("n") <= TRAIN_DOCS).orderBy("label", "n").select("label", "cuts").collect())
     languages = sorted({r["label"] for r in sample})
