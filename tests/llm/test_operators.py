@@ -328,6 +328,17 @@ def test_pieces(docs):
     assert model.decode(some.encode(text)) == model.decode(other.encode(text)) == text
     long = "ab" * 400
     assert pieces.merge_short(long, model.order, 5, 1 << 29) == pieces.merge_long(long, model.order, 5, 1 << 29)
+    letters = ["a", "b", "th", "ing", "é", "中", "😀", "▁", "\0", "\udfff", "er", "st", "\n"]
+    words = list({"".join(rng.choices(letters, k=rng.randrange(30))) for _ in range(2000)} | {"", long})
+    for dropout in (0, 0.1, 0.5, 1):
+        assert dict(model.segment_many(words, dropout, 5)) == {w: model.segment(w, dropout, 5) for w in words}
+    # A cache that turns over and a text longer than a group change nothing.
+    texts = [" ".join(rng.choices(words, k=40)) for _ in range(60)] + ["the end. " * (pieces.GROUP_CHARS // 8), ""]
+    want = [some.encode(t) for t in texts]
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(pieces, "CACHE_WORDS", 50)
+        patch.setattr(pieces, "GROUP_CHARS", 900)
+        assert list(pieces.WordEncoder(model, 0.3, 1).encode_many(texts)) == want
     rows = pieces.encode_texts(docs, PIECES).collect()
     assert all(r["lossless"] is (None if r["ids"] is None else True) for r in rows) and len(rows) == docs.count()
 
