@@ -2,10 +2,14 @@
 
 Equal vectors are one row with a count. Centroids come from k-means on the
 unit sphere over a bounded sample; every vector is assigned to its home cell
-and visits the cells that are nearly as close. In a cell its own vectors are
-compared with all vectors that visit it, in blocks, by matrix products in
-double precision. A block returns link counts and a spanning forest of its
-links, never its pairs.
+and visits every other cell that may be home to a vector it links with, as a
+bound on angles proves: no link is lost, whatever the data and the centroids.
+In a cell its own vectors are compared with all vectors that visit it, in
+blocks, by matrix products in double precision. A block returns link counts and
+a spanning forest of its links, never its pairs.
+
+The bound spares comparisons where the data form clusters. Vectors spread
+evenly over many dimensions are compared nearly all with all.
 """
 
 from __future__ import annotations
@@ -27,12 +31,12 @@ SAMPLE = 20_000
 ROUNDS = 8
 MAX_CELLS = 8192
 SEED = 7
-# A vector visits a cell whose centroid is at most MARGIN less similar than its
-# home's, the nearest MAX_VISITS of them.
-MARGIN = 0.18
-MAX_VISITS = 24
 BLOCK = 4096
 STRIP = 512
+# Similarities of vectors and centroids that are held at a time.
+HELD = 1 << 21
+# Far above the rounding errors of the bound.
+ROUNDING = 1e-7
 
 
 def spherical_kmeans(x: np.ndarray, k: int, rounds: int = ROUNDS) -> np.ndarray:
@@ -60,22 +64,37 @@ def _unit(raw: list[bytes], kind: str) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def _assign(nodes: DataFrame, kind: str, centroids: np.ndarray, margin: float, max_visits: int) -> DataFrame:
-    """``node, n, raw, home, cells``: the cells a vector visits, home first."""
-    width = min(max_visits, len(centroids))
+def _visits(x: np.ndarray, centroids: np.ndarray, min_cosine: float) -> tuple[np.ndarray, np.ndarray]:
+    """Home cells of unit rows ``x`` and, as a matrix, the cells each is sent
+    to, its home among them.
+
+    The vectors nearer to b than to a lie beyond the plane through the origin
+    with the normal a - b. A row at home in a is asin(x (a - b) / |a - b|) away
+    from it, so no vector beyond it is within acos(min_cosine) if that is less.
+    Of two cells one is sent the other's rows: the lower one if the sum of
+    their numbers is even, else the higher.
+    """
+    sim = x @ centroids.T
+    home = sim.argmax(1)
+    square = np.einsum("kd,kd->k", centroids, centroids)
+    gap = np.sqrt(np.maximum(square[home, None] + square - 2 * (centroids[home] @ centroids.T), 0))
+    sine = math.sqrt(max(0.0, 1 - min_cosine * min_cosine)) if min_cosine > 0 else math.inf
+    cell, own = np.arange(len(centroids)), home[:, None]
+    near = np.take_along_axis(sim, own, 1) - sim <= sine * (gap + ROUNDING) + ROUNDING
+    return home, near & ((cell < own) == ((cell + own) % 2 == 0)) | (cell == own)
+
+
+def _assign(nodes: DataFrame, kind: str, centroids: np.ndarray, min_cosine: float) -> DataFrame:
+    """``node, n, raw, home, cells``: the cells a vector is sent to."""
+    step = max(1, HELD // len(centroids))
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             homes, cells = [], []
-            for at in range(0, batch.num_rows, 2048):
-                sim = _unit(batch.column("raw").slice(at, 2048).to_pylist(), kind) @ centroids.T
-                near = np.argpartition(-sim, width - 1, axis=1)[:, :width]
-                own = np.take_along_axis(sim, near, 1)
-                order = np.lexsort((near, -own), axis=1)
-                near, own = np.take_along_axis(near, order, 1), np.take_along_axis(own, order, 1)
-                for row, close in zip(near, own >= own[:, :1] - margin):
-                    homes.append(int(row[0]))
-                    cells.append(row[close].tolist())
+            for at in range(0, batch.num_rows, step):
+                home, sent = _visits(_unit(batch.column("raw").slice(at, step).to_pylist(), kind), centroids, min_cosine)
+                homes += home.tolist()
+                cells += [np.flatnonzero(row).tolist() for row in sent]
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(c) for c in ("node", "n", "raw")), pa.array(homes, pa.int32()),
                  pa.array(cells, pa.list_(pa.int32()))], names=["node", "n", "raw", "home", "cells"])
@@ -115,8 +134,9 @@ def _forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def compare(cell: int, part: pd.DataFrame, kind: str, min_cosine: float) -> pd.DataFrame:
     """Links of two blocks of a cell: rows at home there against its visitors.
 
-    A pair at home in different cells may meet in both; the one with the lower
-    number counts it. Result rows: (node, null, copies linked), (node, root, 0).
+    A pair at home in different cells meets in one of them; a pair at home here
+    meets both ways round. Result rows: (node, null, copies linked),
+    (node, root, 0).
     """
     home, part = part[part["side"] == 0], part[part["side"] == 1]
     if home.empty or part.empty:
@@ -124,15 +144,12 @@ def compare(cell: int, part: pd.DataFrame, kind: str, min_cosine: float) -> pd.D
     x, y = _unit(home["raw"].tolist(), kind), _unit(part["raw"].tolist(), kind)
     a, b = home["node"].to_numpy(), part["node"].to_numpy()
     na, nb, hb = home["n"].to_numpy(), part["n"].to_numpy(), part["home"].to_numpy()
-    visits = [frozenset(c.tolist()) for c in home["cells"]]
     links_a, links_b = np.zeros(len(a), np.int64), np.zeros(len(b), np.int64)
     trees: list[tuple[np.ndarray, np.ndarray]] = []
     for at in range(0, len(a), STRIP):
         i, j = np.nonzero(x[at:at + STRIP] @ y.T >= min_cosine)
         i += at
         good = a[i] != b[j]
-        for p in np.flatnonzero(good & (hb[j] < cell)):
-            good[p] = int(hb[j[p]]) not in visits[i[p]]
         i, j = i[good], j[good]
         away = hb[j] != cell
         np.add.at(links_a, i, nb[j])
@@ -148,8 +165,7 @@ def compare(cell: int, part: pd.DataFrame, kind: str, min_cosine: float) -> pd.D
 
 
 def embedding_components(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding",
-                         min_cosine: float = MIN_COSINE, margin: float = MARGIN,
-                         max_visits: int = MAX_VISITS, cells: int | None = None) -> DataFrame:
+                         min_cosine: float = MIN_COSINE, cells: int | None = None) -> DataFrame:
     """``id, n_links, component_id, kept`` for every row of ``vectors``.
 
     Vectors that are null, empty, zero or hold a null or a non-finite component
@@ -171,7 +187,7 @@ def embedding_components(vectors: DataFrame, id_col: str = "vec_id", vector_col:
                         .withColumn("node", F.monotonically_increasing_id()), "vectors")
     found = None
     for (length,) in nodes.select(F.size("v")).distinct().collect():  # the few lengths that vectors have
-        one = _linked(nodes.filter(F.size("v") == length), min_cosine, margin, max_visits, cells)
+        one = _linked(nodes.filter(F.size("v") == length), min_cosine, cells)
         found = one if found is None else found.unionByName(one)
     if found is None:
         return rows.select(F.col("id").alias(id_col), F.lit(0).cast("long").alias("n_links"),
@@ -188,14 +204,16 @@ def embedding_components(vectors: DataFrame, id_col: str = "vec_id", vector_col:
             .withColumn("kept", F.col(id_col).eqNullSafe(F.col("component_id"))))
 
 
-def _linked(nodes: DataFrame, min_cosine: float, margin: float, max_visits: int, cells: int | None) -> DataFrame:
+def _linked(nodes: DataFrame, min_cosine: float, cells: int | None) -> DataFrame:
     """Result rows of ``compare`` for distinct vectors of one length."""
     kind = "<f4" if nodes.schema["v"].dataType.elementType.typeName() == "float" else "<f8"
     total = nodes.count()
-    k = max(1, min(cells or math.isqrt(total), MAX_CELLS, total))
+    # More cells than blocks would only send every vector to more of them where
+    # the bound spares little, as inside a dense cluster.
+    k = max(1, min(cells or math.ceil(total / BLOCK), MAX_CELLS, total))
     sample = nodes.orderBy("k1", "k2").limit(max(SAMPLE, k)).select("v").collect()
     centroids = spherical_kmeans(_unit([np.asarray(r["v"], kind).tobytes() for r in sample], kind), k)
-    placed = materialise(_assign(_packed(nodes, kind), kind, centroids, margin, max_visits), "cells")
+    placed = materialise(_assign(_packed(nodes, kind), kind, centroids, min_cosine), "cells")
     seen = placed.withColumn("cell", F.explode("cells"))
     # At most k rows: into how many blocks a cell's own rows and visitors go.
     sizes = seen.groupBy("cell").agg(
@@ -205,7 +223,7 @@ def _linked(nodes: DataFrame, min_cosine: float, margin: float, max_visits: int,
 
     def side(rows: DataFrame, number: int, i: Column, j: Column) -> DataFrame:
         return (rows.withColumn("i", i).withColumn("j", j)
-                .select("cell", "i", "j", F.lit(number).alias("side"), "node", "n", "raw", "home", "cells"))
+                .select("cell", "i", "j", F.lit(number).alias("side"), "node", "n", "raw", "home"))
 
     at_home = seen.filter(F.col("home") == F.col("cell"))
     pairs = side(at_home, 0, F.pmod(F.xxhash64("node"), "own"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("all") - 1))

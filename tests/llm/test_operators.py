@@ -294,6 +294,24 @@ def test_embedding_links(spark):
     assert [r["n_links"] for r in got if r["vec_id"] in (905, 906)] == [2, 2, 2] and mine[906]["component_id"] == 905
 
 
+def test_no_embedding_link_is_lost(spark):
+    rng = np.random.default_rng(4)
+    centre = rng.normal(size=64)
+    centre /= np.linalg.norm(centre)
+    hot = centre + rng.normal(size=(1200, 64)) * 0.33 / 8  # mean cosine about 0.9
+    x = np.concatenate([hot, rng.normal(size=(600, 64)), rng.normal(size=(300, 64)) + 12 * centre])
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    near = u @ u.T >= 0.9
+    group, low = np.arange(len(u)), None
+    while low is None or (low != group).any():
+        low, group = group, np.where(near, group, len(u)).min(1)
+    df = spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(x)], "vec_id long, embedding array<double>")
+    for cells in (None, 400):
+        got = {r["vec_id"]: r for r in sphere.embedding_components(df, cells=cells).collect()}
+        assert [got[i]["n_links"] for i in range(len(u))] == (near.sum(1) - 1).tolist()
+        assert [got[i]["component_id"] for i in range(len(u))] == group.tolist()
+
+
 def test_language(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     got = bytelang.identify(docs).join(docs.select("doc_id", "lang"), "doc_id").toPandas()
