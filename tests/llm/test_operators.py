@@ -116,6 +116,28 @@ def test_common_lines_go_but_copies_stay(spark):
     assert kept[3] == own[3] and kept[101] == copy and 201 not in kept and len(kept) == 91
 
 
+def test_copies_and_boilerplate_do_not_keep_a_line(spark):
+    rng = random.Random(7)
+    names = ["w%d" % i for i in range(3000)]
+
+    def words(n):
+        return " ".join(rng.choices(names, k=n))
+
+    # A footer in 15 documents and in 40 copies of one more.
+    rows = [(f"{words(40)}\nfooter of the copied", "a") for _ in range(15)]
+    rows += [(f"{words(40)}\nfooter of the copied", "a")] * 40
+    # Hosts whose documents are mostly boilerplate.
+    for host in range(12):
+        shared = words(60)
+        rows += [(f"{words(20)}\n{shared}", f"b{host}") for _ in range(40)]
+    # Near copies stay: each has two words of its own.
+    body = "\n".join(words(20) for _ in range(8))
+    rows += [(body.replace("\n", f" x{i}\n", 1), "c") for i in range(60)]
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "doc_id long, text string, source string")
+    removed = {r["doc_id"]: r["removed_words"] for r in quality.line_rules(df).collect()}
+    assert [removed[i] for i in range(len(rows))] == [4] * 55 + [60] * 480 + [0] * 60
+
+
 def test_url_rules_match_brute_force(spark):
     rng = random.Random(3)
     hosts = ["example.net", "a.example.net", "EXAMPLE.com", "x.org", "org", "net", ".net", "spam.example", "badnet", "a.net:80"]
