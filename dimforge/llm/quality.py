@@ -32,9 +32,11 @@ SIGNATURE_WINDOW = 3
 BANDS = 4
 BAND_ROWS = 12
 # A line is above the limit of a host if more distinct documents hold it than
-# MIN_LINE_DOCS and than LINE_SHARE of the host's documents.
+# MIN_LINE_DOCS and than LINE_SHARE of the host's distinct documents, or than
+# MAX_LINE_DOCS on a host of any size.
 MIN_LINE_DOCS = 10
 LINE_SHARE = 0.01
+MAX_LINE_DOCS = 1000
 MIN_WORDS_LEFT = 10
 MIN_SHARE_LEFT = 0.3
 SALTS = 16
@@ -137,7 +139,8 @@ def copies(nodes: DataFrame) -> DataFrame:
     return components(held.join(heads, ["i", "band", "__salt"]).select(F.col("node").alias("u"), F.col("head").alias("v")))
 
 
-def common_lines(profiles: DataFrame, min_docs: int = MIN_LINE_DOCS, share: float = LINE_SHARE) -> DataFrame:
+def common_lines(profiles: DataFrame, min_docs: int = MIN_LINE_DOCS, share: float = LINE_SHARE,
+                 max_docs: int = MAX_LINE_DOCS) -> DataFrame:
     """Hashes (``line``) of the lines above the limit of some host.
 
     ``profiles`` has ``host`` (a hash; null is a host of its own), ``bands``
@@ -146,16 +149,18 @@ def common_lines(profiles: DataFrame, min_docs: int = MIN_LINE_DOCS, share: floa
     named = profiles.withColumn("node", F.xxhash64("bands"))
     label = copies(named.select("node", "bands").dropDuplicates(["node"]))
     doc = F.coalesce("root", "node").alias("doc")
-    hosts = profiles.groupBy("host").agg(F.count("*").alias("host_docs"))
+    hosts = (named.select("host", "node").distinct().join(label, "node", "left").select("host", doc).distinct()
+             .groupBy("host").agg(F.count("*").alias("host_docs")))
     per_line = (named.select("host", "node", F.explode("lines.line").alias("line")).distinct()
                 .join(label, "node", "left").select("line", "host", doc).distinct()
                 .groupBy("line", "host").agg(F.count("*").alias("n_docs")).filter(F.col("n_docs") > min_docs))
-    return (per_line.join(hosts, "host").filter(F.col("n_docs") > F.col("host_docs") * F.lit(share))
+    limit = F.least(F.col("host_docs") * F.lit(share), F.lit(max_docs).cast("double"))
+    return (per_line.join(hosts, "host").filter(F.col("n_docs") > limit)
             .select("line").distinct())
 
 
 def line_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source",
-               min_docs: int = MIN_LINE_DOCS, share: float = LINE_SHARE,
+               min_docs: int = MIN_LINE_DOCS, share: float = LINE_SHARE, max_docs: int = MAX_LINE_DOCS,
                min_words_left: int = MIN_WORDS_LEFT, min_share_left: float = MIN_SHARE_LEFT) -> DataFrame:
     """One row per row of ``docs``: the id, the base figures, ``base_failed``,
     ``removed_words`` and ``removed_lines`` (hashes of its lines above the
@@ -171,7 +176,7 @@ def line_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                        F.xxhash64(F.col(host_col).isNull(), F.col(host_col)).alias("host"),
                        k1.alias("k1"), k2.alias("k2"), F.col(text_col).alias("text"))
     prof = materialise(_profiles(rows), "line-profiles")
-    common = common_lines(prof, min_docs, share)
+    common = common_lines(prof, min_docs, share, max_docs)
     # A line above a limit stands in more than MIN_LINE_DOCS rows, so its
     # SALTS copies are at most about as many as those rows.
     held, common = salted(prof.select("row", F.explode("lines").alias("l")).select("row", "l.line", "l.words"),

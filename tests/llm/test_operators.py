@@ -138,6 +138,22 @@ def test_copies_and_boilerplate_do_not_keep_a_line(spark):
     assert [removed[i] for i in range(len(rows))] == [4] * 55 + [60] * 480 + [0] * 60
 
 
+def test_line_limit_counts_distinct_documents(spark):
+    rng = random.Random(9)
+    names = ["w%d" % i for i in range(3000)]
+
+    def words(n):
+        return " ".join(rng.choices(names, k=n))
+
+    rows = [f"{words(40)}\nline of fifteen documents" for _ in range(15)] + [words(40)] * 2000
+    df = spark.createDataFrame([(i, t, "a") for i, t in enumerate(rows)], "doc_id long, text string, source string")
+    assert quality.line_rules(df).filter("removed_words = 4").count() == 15
+    rows = [f"{words(40)}\nline of fifteen documents" for _ in range(15)] + [words(40) for _ in range(100)]
+    df = spark.createDataFrame([(i, t, "a") for i, t in enumerate(rows)], "doc_id long, text string, source string")
+    assert quality.line_rules(df, share=0.5).filter("removed_words > 0").count() == 0
+    assert quality.line_rules(df, share=0.5, max_docs=14).filter("removed_words = 4").count() == 15
+
+
 def test_url_rules_match_brute_force(spark):
     rng = random.Random(3)
     hosts = ["example.net", "a.example.net", "EXAMPLE.com", "x.org", "org", "net", ".net", "spam.example", "badnet", "a.net:80"]
