@@ -42,6 +42,8 @@ promotion rail recommended recommendations related replies reply respond respons
 skip social sponsor sponsored subscribe subscription taboola teaser toolbar topbar warning widget widgets""".split())
 # Only outside the article; within it they hold its title.
 TOP_NAMES = frozenset("header masthead".split())
+# Compound names that begin so say what a page has, not what an element is.
+ABOUT_PAGE = frozenset("has have no not with without".split())
 MAIN_TAGS = frozenset(("article", "main"))
 MAIN_NAMES = frozenset("article articlebody content entry maincontent post postbody story storybody".split())
 
@@ -149,9 +151,11 @@ def decide(tree: tuple | int, row: tuple) -> bool:
     return bool(tree)
 
 
-def _names(attributes: str) -> tuple[frozenset[str], set[str], bool]:
-    """Words of class and id, whole and joined; roles; whether it is hidden."""
+def _names(attributes: str) -> tuple[set[str], set[str], set[str], bool]:
+    """Words of class and id, split and joined; joined only; roles; whether it
+    is hidden."""
     words: set[str] = set()
+    whole: set[str] = set()
     roles: set[str] = set()
     hidden = False
     for m in ATTRIBUTE.finditer(attributes):
@@ -159,15 +163,16 @@ def _names(attributes: str) -> tuple[frozenset[str], set[str], bool]:
         if name in ("class", "id"):
             for v in value.split():
                 parts = re.split(r"[^a-z0-9]+", v)
-                words.update(p for p in parts if p)
-                words.add("".join(parts))
+                whole.add("".join(parts))
+                if parts[0] not in ABOUT_PAGE:
+                    words.update(p for p in parts if p)
         elif name == "role":
             roles.add(value)
         elif name == "hidden" or name == "aria-hidden" and value == "true":
             hidden = True
         elif name == "style" and "display:none" in value.replace(" ", ""):
             hidden = True
-    return frozenset(words), roles, hidden
+    return words | whole, whole, roles, hidden
 
 
 def blocks(page: str) -> list[Block]:
@@ -230,9 +235,12 @@ def blocks(page: str) -> list[Block]:
                     in_link = False
                 elif not attributes.endswith("/"):
                     _, inside, around = stack[-1]
-                    words, roles, hidden = _names(attributes) if attributes.strip() else (frozenset(), set(), False)
+                    words, whole, roles, hidden = _names(attributes) if attributes.strip() else (set(), set(), set(), False)
                     main = name in MAIN_TAGS or "main" in roles or bool(words & MAIN_NAMES)
                     inside |= main
+                    # A part of a compound name does not make these surroundings.
+                    if name == "body" or name in MAIN_TAGS or "main" in roles:
+                        words = whole
                     around |= (name in AROUND_TAGS or hidden or bool(roles & AROUND_ROLES) or bool(words & AROUND_NAMES)
                                or not inside and (name == "header" or bool(words & TOP_NAMES)))
                     stack.append((name, inside, around))

@@ -205,6 +205,20 @@ def test_main_text():
     assert [blocks.main_text(p, tree) for p in (None, "", "<p", "<!-- x", "<script>a")] == [""] * 5
 
 
+def test_compound_names_do_not_lose_the_article():
+    tree = blocks.trained_tree()
+    story = "<h1>Head of the story told here</h1><p>" + "word " * 30 + "</p>"
+    want = "Head of the story told here\n" + ("word " * 30).strip()
+    for page in (f"<body class='no-sidebar'><article>{story}</article></body>",
+                 f"<body class='left-sidebar'><article>{story}</article></body>",
+                 f"<div class='has-sidebar'><article>{story}</article></div>",
+                 f"<article class='post related-post'>{story}</article>", f"<main id='search-content'>{story}</main>"):
+        assert blocks.main_text(page, tree) == want
+        around = page.replace(story, f"<div class='cookie-notice'>{story}</div>{story}<div class=sidebar-box>{story}</div>")
+        assert blocks.main_text(around, tree) == want
+    assert blocks.main_text(f"<article class='comment'>{story}</article>", tree) == ""
+
+
 def brute_fingerprint(text):
     words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m.group().lower(), text or ""))
     grams = [" ".join(words[i:i + 4]) for i in range(max(1, len(words) - 3))] if words else []
