@@ -105,14 +105,34 @@ REPEATED = (
     (0, 0, 1, 0, 4, 0.0, 0), (0, 0, 1, 0, 25, 0.0, 0), (0, 0, 1, 0, 90, 0.0, 0), (0, 0, 1, 0, 3, 1.0, 0),
     (1, 0, 1, 0, 8, 0.0, 0), (1, 0, 1, 0, 60, 0.0, 0), (1, 1, 1, 0, 6, 0.0, 0), (1, 1, 1, 0, 60, 0.0, 0),
     (1, 0, 0, 0, 60, 0.0, 0), (1, 0, 0, 0, 6, 0.0, 0),
-    (0, 0, 0, 0, 18, 0.0, 1), (0, 0, 0, 0, 40, 0.2, 1), (0, 0, 0, 0, 90, 0.1, 1), (0, 0, 0, 0, 3, 1.0, 0),
-    (0, 0, 0, 0, 25, 0.8, 0),
+    (0, 0, 0, 0, 90, 0.1, 1), (0, 0, 0, 0, 3, 1.0, 0), (0, 0, 0, 0, 25, 0.8, 0),
+)
+# On a page without a named article the same block is main text or not by its
+# neighbours: per pair of them, (words of a block, label) each.
+NONE, MENU, SHORT_TEXT, PROSE = NEIGHBOURS
+BETWEEN = (
+    (PROSE, PROSE, ((3, 1), (4, 1), (8, 1), (12, 1), (18, 1), (40, 1))),
+    (MENU, PROSE, ((3, 0), (8, 1), (12, 1), (18, 1), (40, 1))),
+    (SHORT_TEXT, PROSE, ((3, 0), (8, 1), (12, 1), (18, 1), (40, 1))),
+    (NONE, PROSE, ((3, 0), (8, 1), (12, 1), (18, 1), (40, 1))),
+    (PROSE, MENU, ((3, 0), (8, 1), (12, 1), (18, 1), (40, 1))),
+    (PROSE, SHORT_TEXT, ((3, 0), (8, 1), (12, 1), (18, 1), (40, 1))),
+    (PROSE, NONE, ((3, 0), (8, 1), (12, 1), (18, 1), (40, 1))),
+    (MENU, MENU, ((3, 0), (8, 0), (12, 0), (18, 0), (60, 1))),
+    (MENU, SHORT_TEXT, ((3, 0), (8, 0), (12, 0), (18, 0), (60, 1))),
+    (MENU, NONE, ((3, 0), (8, 0), (12, 0), (18, 0), (60, 1))),
+    (SHORT_TEXT, MENU, ((3, 0), (8, 0), (12, 0), (40, 1))),
+    (SHORT_TEXT, SHORT_TEXT, ((3, 0), (8, 0), (12, 0), (40, 1))),
+    (SHORT_TEXT, NONE, ((3, 0), (8, 0), (12, 0), (40, 1))),
+    (NONE, MENU, ((3, 0), (8, 0), (12, 0), (40, 1))),
 )
 
 
 def labelled_table() -> np.ndarray:
     rows = [*LABELLED, *((*r[:-1], *before, *after, r[-1])
-                         for r in REPEATED for before in NEIGHBOURS for after in NEIGHBOURS)]
+                         for r in REPEATED for before in NEIGHBOURS for after in NEIGHBOURS),
+            *((0, 0, 0, 0, words, 0.0, *before, *after, label)
+              for before, after, own in BETWEEN for words, label in own)]
     return np.array(rows, np.float64)
 
 

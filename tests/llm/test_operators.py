@@ -205,6 +205,20 @@ def test_main_text():
     assert [blocks.main_text(p, tree) for p in (None, "", "<p", "<!-- x", "<script>a")] == [""] * 5
 
 
+def test_neighbours_decide_where_no_names_do():
+    tree = blocks.trained_tree()
+    prose, menu = "<p>" + "word " * 50 + "</p>", "<p><a href=x>Home page</a></p>"
+    for own in ("Eight words that stand between two other blocks.", "Twelve words that may be one more line of some article or not."):
+        line = f"<p>{own}</p>"
+        assert own in blocks.main_text(prose + line + prose, tree)
+        assert own not in blocks.main_text(menu + line + menu, tree)
+
+    def used(t):
+        return set() if isinstance(t, int) else {blocks.FEATURES[t[0]]} | used(t[2]) | used(t[3])
+
+    assert {"words_before", "words_after", "density_before"} <= used(tree)
+
+
 def test_compound_names_do_not_lose_the_article():
     tree = blocks.trained_tree()
     story = "<h1>Head of the story told here</h1><p>" + "word " * 30 + "</p>"
