@@ -6,7 +6,7 @@ import shutil
 import tempfile
 from pathlib import Path
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 import dimforge
 from dimforge.session import scratch_path
@@ -31,7 +31,29 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     """
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.written_to = path
+    return out
+
+
+def drop_written(*tables: DataFrame) -> None:
+    """Delete the files of tables that ``materialise`` wrote and nothing reads
+    any more."""
+    for df in tables:
+        spark = df.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(df.written_to)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def first_rows(rows: DataFrame, group: list[str], order: list[str], n: int) -> DataFrame:
+    """The ``n`` rows of each group that come first by ``order``, found in a
+    tree: the first of 64 parts of a group, of 8, then of the group, so that no
+    task reads more than ``8 * n`` rows of a group beyond its own part."""
+    spread = F.xxhash64(*order)
+    for parts in (64, 8, 1):
+        within = Window.partitionBy(*group, F.pmod(spread, F.lit(parts))).orderBy(*order)
+        rows = rows.withColumn("__n", F.row_number().over(within)).filter(F.col("__n") <= n).drop("__n")
+    return rows
 
 
 def row_key(*cols: Column) -> tuple[Column, Column]:

@@ -5,9 +5,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from dimforge.llm import blocks, bytelang, licences, packing, pieces, quality, ring, simhash, sphere, urlrules
+from dimforge.llm import blocks, bytelang, codes, crf, licences, manifest, packing, pieces, quality, ring, simhash, sphere, urlrules
 from dimforge.llm.common import table
 
 SHARDS = 40
@@ -74,6 +74,30 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.lit(None).cast("int").alias("grown_shard"), "home_shard")
 
 
+def _tampered(id_col: Column) -> Column:
+    """Rows whose text is checked in lower case: 3 divides the crc32 of the id."""
+    return F.coalesce(F.crc32(id_col.cast("string").cast("binary")) % 3 == 0, F.lit(False))
+
+
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lower = F.translate("text", licences.UPPER, licences.LOWER)
+    text = F.when(_tampered(F.col("doc_id")), lower).otherwise(F.col("text"))
+    found = manifest.manifest(table(spark, sf_dir, "documents"),
+                              claim=manifest.leaf(*map(F.col, ("doc_id", "source", "lang", "n_chars")), text))
+    folded = found.select("doc_id", "leaf", "subroot", "root", manifest.proof_digest(F.col("steps")).alias("proof_sha256"),
+                          manifest.folded_root(F.col("steps"), F.col("claim")).alias("folded_root"))
+    return folded.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+def op12_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return crf.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found, books = codes.compress(table(spark, sf_dir, "embeddings"))
+    return found.withColumn("codebooks_sha256", F.lit(codes.books_digest(books)))
+
+
 WORDS = r"[^\x20\x09-\x0D]+"
 SPACES = r"[\x20\x09-\x0D]+"
 FOLD = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ123456789', 'abcdefghijklmnopqrstuvwxyz000000000')"
@@ -200,6 +224,98 @@ SELECT doc_id, md5(array_to_string(lines, ' ')) AS digest, license, coalesce(not
 FROM d LEFT JOIN known_text ON array_to_string(lines, ' ') = c LEFT JOIN hit USING (r)
 """
 
+_FIELDS = ("doc_id", "source", "lang", "n_chars")
+
+
+def _leaf_sql(text: str) -> str:
+    parts = [f"coalesce(strlen({c}::VARCHAR) || ':' || {c}::VARCHAR, '-')" for c in (*_FIELDS, text)]
+    return f"sha256({' || '.join(parts)})"
+
+
+# crc32 of decimal digits, bit by bit (fixed value: its polynomial).
+_CRC32_SQL = """xor(4294967295, list_reduce(list_prepend(4294967295::UBIGINT, list_transform(string_split({}, ''),
+    lambda d: ascii(d)::UBIGINT)), lambda c, b: list_reduce(list_prepend(xor(c, b), list_transform(range(8), lambda i: i::UBIGINT)),
+    lambda x, i: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384::UBIGINT) ELSE x >> 1 END)))"""
+
+OP11_SQL = f"""
+WITH RECURSIVE d AS (
+  SELECT *, coalesce({_CRC32_SQL.format('doc_id::VARCHAR')} % 3 = 0, false) AS other FROM documents
+), leaves AS (
+  SELECT doc_id, lang, {_leaf_sql('text')} AS leaf,
+         {_leaf_sql(f"CASE WHEN other THEN translate(text, '{licences.UPPER}', '{licences.LOWER}') ELSE text END")} AS claim FROM d
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+         count(*) OVER (PARTITION BY lang) AS n, dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS grp FROM leaves
+), tree AS (
+  SELECT grp, 0 AS level, pos AS i, n, leaf AS digest FROM ranked
+  UNION ALL
+  SELECT grp, level + 1, i // 8, (any_value(n) + 7) // 8, sha256(string_agg(digest, '' ORDER BY i))
+  FROM tree WHERE n > 1 GROUP BY grp, level, i // 8
+), top AS (
+  SELECT 0 AS level, grp AS i, (SELECT count(DISTINCT grp) FROM ranked) AS n, digest FROM tree WHERE n = 1
+  UNION ALL
+  SELECT level + 1, i // 8, (any_value(n) + 7) // 8, sha256(string_agg(digest, '' ORDER BY i)) FROM top WHERE n > 1 GROUP BY level, i // 8
+), above AS (
+  SELECT grp, level, i, n, digest FROM tree
+  UNION ALL
+  SELECT g.grp, 1000 + level, i, n, digest FROM top, (SELECT DISTINCT grp FROM ranked) g
+), runs AS (
+  SELECT grp, level, i // 8 AS run, list({{'i': i, 'd': digest}} ORDER BY i) AS kids FROM above WHERE n > 1 GROUP BY ALL
+), paths AS (
+  SELECT r.grp, r.pos, x.level, list_transform(list_filter(kids, lambda k: k.i < p.i), lambda k: k.d) AS b,
+         list_transform(list_filter(kids, lambda k: k.i > p.i), lambda k: k.d) AS a
+  FROM ranked r JOIN runs x ON x.grp = r.grp
+  CROSS JOIN LATERAL (SELECT CASE WHEN x.level < 1000 THEN r.pos // (8::BIGINT ** x.level)::BIGINT
+                                  ELSE r.grp // (8::BIGINT ** (x.level - 1000))::BIGINT END AS i) p
+  WHERE x.run = p.i // 8
+), proofs AS (
+  SELECT grp, pos, list({{'b': array_to_string(b, ''), 'a': array_to_string(a, '')}} ORDER BY level) AS steps FROM paths GROUP BY ALL
+), out AS (
+  SELECT r.doc_id, r.leaf, s.digest AS subroot, (SELECT digest FROM top WHERE n = 1) AS root,
+         sha256(coalesce(array_to_string(list_transform(steps, lambda x: x.b || x.a), ''), '')) AS proof_sha256,
+         list_reduce(list_prepend({{'b': r.claim, 'a': ''}}, coalesce(steps, [])),
+                     lambda x, y: {{'b': sha256(y.b || x.b || y.a), 'a': ''}}).b AS folded_root
+  FROM ranked r LEFT JOIN proofs USING (grp, pos) JOIN tree s ON s.grp = r.grp AND s.n = 1
+)
+SELECT *, folded_root = root AS verified FROM out
+"""
+
+def _lloyd_sql() -> str:
+    """Every round as a pair of common table expressions."""
+    assign = """a{r} AS MATERIALIZED (
+  SELECT p, rid, x, arg_min(e, (dist, e)) AS e, min(dist) AS dist FROM (
+    SELECT parts.p, rid, x, e, list_sum(list_transform(list_zip(x, c), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS dist
+    FROM parts JOIN c{r} USING (p)) GROUP BY p, rid, x
+)"""
+    update = """s{r} AS (
+  SELECT p, e, i, sum(x[i])::BIGINT AS s, count(*) AS n FROM (SELECT p, e, x, unnest(range(1, len(x) + 1)) AS i FROM a{r}) GROUP BY p, e, i
+), c{next} AS MATERIALIZED (
+  SELECT p, e, coalesce(m.c, c{r}.c) AS c FROM c{r}
+  LEFT JOIN (SELECT p, e, list((s - ((s % n) + n) % n) // n ORDER BY i) AS c FROM s{r} GROUP BY p, e) m USING (p, e)
+)"""
+    steps = [step.format(r=r, next=r + 1) for r in range(codes.ROUNDS) for step in (assign, update)]
+    return ", ".join([*steps, assign.format(r=codes.ROUNDS)])
+
+
+OP13_SQL = f"""
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY vec_id) - 1 AS rid, vec_id, label,
+         list_transform(embedding, lambda x: floor({codes.SCALE} * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), parts AS MATERIALIZED (
+  SELECT rid, p, v[p * (len(v) // {codes.PARTS}) + 1 : (p + 1) * (len(v) // {codes.PARTS})] AS x
+  FROM (SELECT rid, v, unnest(range({codes.PARTS})) AS p FROM kept)
+), c0 AS (
+  SELECT p, rid AS e, x AS c FROM parts WHERE rid < {codes.ENTRIES}
+), {_lloyd_sql()}, books AS (
+  SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY p, e)) AS codebooks_sha256 FROM c{codes.ROUNDS}
+), coded AS (
+  SELECT rid, string_agg(printf('%02x', e), '' ORDER BY p) AS code, sum(dist)::BIGINT AS error FROM a{codes.ROUNDS} GROUP BY rid
+)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256
+FROM coded JOIN kept USING (rid), books
+"""
+
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op1_quality_rules": (op1_quality_rules, OP1_SQL),
     "op2_url_filters": (op2_url_filters, OP2_SQL),
@@ -211,4 +327,7 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op8_language_id": (op8_language_id, None),
     "op9_pieces": (op9_pieces, None),
     "op10_sharding": (op10_sharding, None),
+    "op11_merkle_manifest": (op11_merkle_manifest, OP11_SQL),
+    "op12_line_quality": (op12_line_quality, None),
+    "op13_vector_codes": (op13_vector_codes, OP13_SQL),
 }
