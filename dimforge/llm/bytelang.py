@@ -14,9 +14,9 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from dimforge.llm.common import ship
+from dimforge.llm.common import free_names, sampled, ship
 
 WINDOW = 256
 WIDTHS = (2, 3, 4)
@@ -24,8 +24,10 @@ FILTERS = 12
 EMBEDDING = 8
 # Windows overlap so that every run of max(WIDTHS) bytes lies in one of them.
 STRIDE = WINDOW - max(WIDTHS) + 1
-# Bound of the training sample: documents per language, windows per document.
+# Bound of the training sample: documents per language, the languages learned
+# (the most frequent ones) and windows per document.
 TRAIN_DOCS = 300
+LANGUAGES = 100
 TRAIN_WINDOWS = 3
 EPOCHS = 10
 BATCH = 64
@@ -151,21 +153,23 @@ def held_out(id_col: Column) -> Column:
 
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "lang") -> ByteNet:
-    """Fit on the ``TRAIN_DOCS`` rows per language that come first by hash, a
-    bounded sample of ``TRAIN_WINDOWS`` windows each, held-out rows excluded.
-    Rows with a null or empty text or a null language are not learned from."""
+    """Fit on a sample by hash of ``TRAIN_DOCS`` rows of each of the
+    ``LANGUAGES`` most frequent languages, ``TRAIN_WINDOWS`` windows each,
+    held-out rows excluded. Rows with a null or empty text or a null language
+    are not learned from, repeated rows once."""
     text, label = F.col(text_col), F.col(label_col)
     h = F.xxhash64(F.col(id_col), text)
-    cuts = [F.substr(text, (F.pmod(F.shiftright(h, 16 * i), F.greatest(F.length(text) - WINDOW // 2, F.lit(1)))
+    cuts = [F.substr(text, (F.pmod(F.shiftright("h", 16 * i), F.greatest(F.length(text) - WINDOW // 2, F.lit(1)))
                             + 1).cast("int"), F.lit(WINDOW)) for i in range(TRAIN_WINDOWS)]
-    sample = (docs.filter(text.isNotNull() & (text != "") & label.isNotNull() & ~held_out(F.col(id_col)))
-              .select(label.cast("string").alias("label"), h.alias("h"), F.array(*cuts).alias("cuts"))
-              # first per part of a language, so that no task gathers every task's candidates
-              .withColumn("part", F.pmod("h", F.lit(64)))
-              .withColumn("n", F.row_number().over(Window.partitionBy("label", "part").orderBy("h", "cuts")))
-              .filter(F.col("n") <= TRAIN_DOCS)
-              .withColumn("n", F.row_number().over(Window.partitionBy("label").orderBy("h", "cuts")))
-              .filter(F.col("n") <= TRAIN_DOCS).orderBy("label", "n").select("label", "cuts").collect())
+    rows = (docs.filter(text.isNotNull() & (text != "") & label.isNotNull() & ~held_out(F.col(id_col)))
+            .select(label.cast("string").alias("label"), text, h.alias("h")))
+    taken, _ = sampled(rows, "label", F.col("h"), TRAIN_DOCS, LANGUAGES)
+    taken = taken.select("label", "h", F.array(*cuts).alias("cuts")).distinct().collect()
+    sample, held = [], {}
+    for r in sorted(taken, key=lambda r: (r["label"], r["h"] & (1 << 64) - 1, r["cuts"])):
+        held[r["label"]] = held.get(r["label"], 0) + 1
+        if held[r["label"]] <= TRAIN_DOCS:
+            sample.append(r)
     languages = sorted({r["label"] for r in sample})
     net = ByteNet.fresh(languages)
     if not sample:
@@ -212,7 +216,12 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
 def drop_unidentified(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "lang",
                       min_score: float = 0.3) -> DataFrame:
     """``docs`` without the rows whose language is unknown or found with a
-    score below ``min_score``; all columns kept."""
+    score below ``min_score``; all columns kept, whatever their names.
+
+    Null, empty and letterless texts go; null ids stay; very long texts are
+    read whole; repeated rows are treated alike; an empty table stays empty.
+    """
+    (name,) = free_names(docs, "found")
     found = predict_column(train(docs, id_col, text_col, label_col), F.col(text_col))
-    return (docs.withColumn("__found", found)
-            .filter((F.col("__found.lang") != UNKNOWN) & (F.col("__found.score") >= min_score)).drop("__found"))
+    return (docs.withColumn(name, found)
+            .filter((F.col(f"{name}.lang") != UNKNOWN) & (F.col(f"{name}.score") >= min_score)).drop(name))

@@ -6,7 +6,7 @@ import shutil
 import tempfile
 from pathlib import Path
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 import dimforge
 from dimforge.session import scratch_path
@@ -45,15 +45,33 @@ def drop_written(*tables: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def first_rows(rows: DataFrame, group: list[str], order: list[str], n: int) -> DataFrame:
-    """The ``n`` rows of each group that come first by ``order``, found in a
-    tree: the first of 64 parts of a group, of 8, then of the group, so that no
-    task reads more than ``8 * n`` rows of a group beyond its own part."""
-    spread = F.xxhash64(*order)
-    for parts in (64, 8, 1):
-        within = Window.partitionBy(*group, F.pmod(spread, F.lit(parts))).orderBy(*order)
-        rows = rows.withColumn("__n", F.row_number().over(within)).filter(F.col("__n") <= n).drop("__n")
-    return rows
+def sampled(rows: DataFrame, group: str, spread: Column, n: int, groups: int) -> tuple[DataFrame, dict]:
+    """About ``n`` rows (a quarter more) of each of the ``groups`` most frequent
+    values of ``group``, and the number of rows of each.
+
+    ``spread`` is a hash that decides alone which rows are taken, so nothing is
+    shuffled but counts; the rows taken are bounded by ``n * groups``, and the
+    caller cuts each group to ``n``.
+    """
+    most = rows.groupBy(group).count().orderBy(F.col("count").desc(), group).limit(groups).collect()
+    counts = {r[group]: r["count"] for r in most}
+    if not counts:
+        return rows.filter("false"), counts
+    share = F.create_map(*[F.lit(x) for k, c in counts.items() for x in (k, min(1.0, 1.25 * n / c))])
+    place = F.shiftrightunsigned(spread, 11) / F.lit(float(1 << 53))
+    return rows.filter(place < F.coalesce(F.element_at(share, F.col(group)), F.lit(0.0))), counts
+
+
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """Names like ``names`` that no column of ``df`` has."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
 
 
 def row_key(*cols: Column) -> tuple[Column, Column]:

@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from dimforge.llm.common import first_rows, ship
+from dimforge.llm.common import sampled, ship
 
 HELD_OUT, HELD_OUT_REST = 3, 1
 # Bound of the training sample: documents of each label, lines of a document.
@@ -86,6 +86,8 @@ def _counted(raw: bytes, first: int, counts: np.ndarray, mixed: np.ndarray, last
     total = np.concatenate([[np.uint64(0)], np.cumsum(data.astype(np.uint64) * POWER[:len(data)], dtype=np.uint64)])
     words = ((total[ends] - total[starts]) * INVERSE[starts] + np.uint64(1)) * ODD
     of = line[starts]
+    place = np.arange(len(words)) - np.searchsorted(of, of)
+    place[of == first] += counts[first, COUNTS.index("words")]
 
     def add(name: str, rows: np.ndarray, n: np.ndarray | None = None) -> None:
         counts[first:lines, COUNTS.index(name)] += np.bincount(rows - first, n, minlength=lines - first).astype(np.int64)
@@ -102,7 +104,7 @@ def _counted(raw: bytes, first: int, counts: np.ndarray, mixed: np.ndarray, last
     capital = np.concatenate([[0], np.cumsum(kind == UPPER)])
     small = np.concatenate([[0], np.cumsum(kind == LOWER)])
     add("shouted", of[(capital[ends] - capital[starts] > 1) & (small[ends] == small[starts])])
-    np.add.at(mixed, of, words * (np.arange(len(words), dtype=np.uint64) * np.uint64(2) + np.uint64(1)))
+    np.add.at(mixed, of, words * (place.astype(np.uint64) * np.uint64(2) + np.uint64(1)))
     tail = [int(w) for w, o in zip(words[-2:], of[-2:]) if o == lines - 1]
     return tuple([0, 0, *([] if lines > first + 1 else last), *tail][-2:])
 
@@ -271,7 +273,7 @@ def _rest(id_col: Column) -> Column:
 def _sampled_figures(rows: DataFrame) -> DataFrame:
     """``text`` replaced by the figures of at most ``TRAIN_LINES`` neighbouring
     lines, from a place that the row's hash gives."""
-    schema = T.StructType([T.StructField("quality", T.IntegerType()), T.StructField("figures", T.BinaryType())])
+    schema = T.StructType([rows.schema["quality"], rows.schema["h"], T.StructField("figures", T.BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -280,15 +282,16 @@ def _sampled_figures(rows: DataFrame) -> DataFrame:
                 figures, _, _ = line_figures([text])
                 at = h % max(1, len(figures) - TRAIN_LINES + 1)
                 out.append(figures[at:at + TRAIN_LINES].tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column("quality"), pa.array(out, pa.binary())], names=schema.names)
+            yield pa.RecordBatch.from_arrays([batch.column("quality"), batch.column("h"), pa.array(out, pa.binary())],
+                                             names=schema.names)
 
     return rows.select("quality", "text", "h").mapInArrow(run, schema)
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           label_col: str = "quality") -> LineField | None:
-    """Fit on the ``TRAIN_DOCS`` labelled documents of each label that come
-    first by hash; None without any.
+    """Fit on a sample by hash of ``TRAIN_DOCS`` labelled documents of each
+    label; None without any.
 
     Only labels 0 and 1 of rows whose id's crc32 leaves another rest than
     ``HELD_OUT_REST`` are read; texts that are null or without a word are not
@@ -297,22 +300,21 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     usable = (labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("quality"))
               .filter(F.col("quality").isin(0, 1) & F.col("id").isNotNull() & (_rest(F.col("id")) != HELD_OUT_REST))
               .withColumn("h", F.xxhash64("id", "quality")))
-    counts = {r["quality"]: r["count"] for r in usable.groupBy("quality").count().collect()}
-    # At most 2 * TRAIN_DOCS rows, for the join and for the driver.
-    some = first_rows(usable, ["quality"], ["h", "id"], TRAIN_DOCS)
-    rows = (docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).filter("text is not null")
-            .join(F.broadcast(some), "id").select("quality", "text", F.xxhash64("id", "text").alias("h")))
-    sample = first_rows(rows.withColumn("size", F.length("text")), ["quality"], ["h", "size"], TRAIN_DOCS)
+    some, counts = sampled(usable, "quality", F.col("h"), TRAIN_DOCS, 2)
+    # At most 2.5 * TRAIN_DOCS rows, for the join and for the driver.
+    some = some.select("id", "quality", "h").distinct()
+    text = F.col(text_col)
+    rows = (docs.select(F.col(id_col).alias("id"), text.alias("text"), F.xxhash64(text).alias("t")).filter("text is not null")
+            .join(F.broadcast(some), "id").groupBy("quality", "id", "h").agg(F.min_by("text", "t").alias("text")))
     chains, y = [], []
-    for r in _sampled_figures(sample).collect():
-        if r["figures"]:
+    for r in sorted(_sampled_figures(rows).collect(), key=lambda r: (r["quality"], r["h"] & (1 << 64) - 1)):
+        if r["figures"] and y.count(r["quality"]) < TRAIN_DOCS:
             chains.append(np.frombuffer(r["figures"], np.uint8).reshape(-1, FIGURES))
             y.append(r["quality"])
     if not chains:
         return None
-    order = sorted(range(len(chains)), key=lambda i: (y[i], chains[i].tobytes()))
     held = {k: y.count(k) for k in (0, 1)}
-    return fit([chains[i] for i in order], [y[i] for i in order], [counts[y[i]] / held[y[i]] for i in order])
+    return fit(chains, y, [counts[k] / held[k] for k in y])
 
 
 def score_column(field: LineField | None, text: Column) -> Column:

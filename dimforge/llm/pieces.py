@@ -2,13 +2,17 @@
 
 A merge-type model starts from single characters and merges the best-scored
 neighbours from an agenda. Here every candidate taken from the agenda is
-skipped with a given probability, decided by a hash of the seed, the text's
-variant, the word, the place and the piece: the same text always gets the same
-segmentation, another seed or variant another one, and all decode to the same
-text. Without dropout the ids are those of the plain encoder.
+skipped with a given probability, decided by a hash of the seed, the text, the
+word's place in the text, the place in the word and the piece: a word is cut
+anew wherever it stands, the same text always gets the same segmentation,
+another seed another one, and all decode to the same text. Without dropout the
+ids are those of the plain encoder.
 
 Words of ordinary length are merged many at a time: their agendas are the
-columns of one array, and every round takes the best candidate of each.
+columns of one array, and every round takes the best candidate of each. Of a
+word in use the merges without dropout are remembered; where none of them is
+skipped, the word's agenda would run the same way, so its ids are taken from
+there, and only occurrences with a skipped merge go through an agenda again.
 """
 
 from __future__ import annotations
@@ -16,9 +20,10 @@ from __future__ import annotations
 import heapq
 import re
 from array import array
-from bisect import bisect_right
+from collections import Counter
 from collections.abc import Iterable, Iterator
 from functools import cache
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -36,12 +41,9 @@ SHORT = 40
 NEVER = 1 << 60
 # 64-bit constants of a multiplicative hash.
 MIX, MASK = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F), (1 << 64) - 1
-CLOSING = ".,;:!?)|"
 DROPOUT = 0.1
 SEED = 42
-VARIANTS = 2
 CACHE_WORDS = 250_000
-CACHED_BYTES = 64
 # Words merged together have at most so many symbols, in one of these widths.
 WIDTHS = (8, 12, 18, 26, SHORT)
 PLACE_BITS = SHORT.bit_length()
@@ -52,8 +54,18 @@ GROUP_WORDS = GROUP_CHARS // 4
 BLOCK_WORDS = 1 << 14
 
 
-def word_key(word: str, key: int) -> int:
-    return xxh64_intdigest(word.encode("utf-8", "surrogatepass"), key)
+def occurrence_keys(text_key: int, first: int, n: int) -> np.ndarray:
+    """Keys of the words ``first`` to ``first + n - 1`` of a text."""
+    keys = np.uint64(text_key) + np.arange(first + 1, first + n + 1, dtype=np.uint64) * np.uint64(MIX[0])
+    keys = (keys ^ keys >> np.uint64(30)) * np.uint64(MIX[1])
+    return keys ^ keys >> np.uint64(27)
+
+
+def skipped(keys: np.ndarray, orders: np.ndarray, places: np.ndarray, limit: int) -> np.ndarray:
+    """Which candidates, given by the order of the piece and the place in the
+    word, are skipped."""
+    mixed = (keys ^ orders.astype(np.uint64) * np.uint64(MIX[0])) * (places.astype(np.uint64) + np.uint64(MIX[1]))
+    return mixed >> np.uint64(32) < np.uint64(limit)
 
 
 def merge_short(word: str, order: dict[str, int], key: int, limit: int) -> list[str]:
@@ -154,9 +166,11 @@ class PairTable:
         return out
 
 
-def merge_many(words: list[str], width: int, table: PairTable, keys: np.ndarray, limit: int) -> np.ndarray:
+def merge_many(words: list[str], width: int, table: PairTable, keys: np.ndarray, limit: int,
+               merges: list | None = None) -> np.ndarray:
     """``merge_short`` for words of at most ``width`` characters: one row of
-    symbols per word, -1 for places merged away or past the end.
+    symbols per word, -1 for places merged away or past the end. All merges
+    are added to ``merges`` as arrays of word, place and order.
 
     Place p of all words is row p + 1 of the arrays; the first and last rows
     and the places past a word's end hold a symbol that merges with nothing.
@@ -172,8 +186,7 @@ def merge_many(words: list[str], width: int, table: PairTable, keys: np.ndarray,
     def candidates(a: np.ndarray, b: np.ndarray, row: np.ndarray, key: np.ndarray) -> np.ndarray:
         at = table.lookup(a, b)
         if limit:
-            mixed = (key ^ at.astype(np.uint64) * np.uint64(MIX[0])) * ((row - 1).astype(np.uint64) + np.uint64(MIX[1]))
-            at[mixed >> np.uint64(32) < np.uint64(limit)] = -1
+            at[skipped(key, at, row - 1, limit)] = -1
         return np.where(at < 0, NONE_LEFT, at << PLACE_BITS | row.astype(np.int32))
 
     agenda = np.full((width + 2, n), NONE_LEFT, np.int32)
@@ -184,6 +197,8 @@ def merge_many(words: list[str], width: int, table: PairTable, keys: np.ndarray,
         best, key = best[live], keys[live]
         made, row = best >> PLACE_BITS, (best & ((1 << PLACE_BITS) - 1)).astype(np.int64)
         here = row * n + live
+        if merges is not None:
+            merges.append((live, (row - 1).astype(np.uint8), made))
         there = after[here] * n + live
         end, start = after[there], before[here]
         flat[here], flat[there], todo[there] = made, -1, NONE_LEFT
@@ -228,17 +243,10 @@ class PieceModel:
         # Words may be encoded one by one if no piece holds a line feed, or a
         # space sign after another character.
         self.by_word = not any(SPACE in p.lstrip(SPACE) or "\n" in p for p in self.ids)
-        # Closing marks that no piece holds after a letter: a word that ends in
-        # such marks is segmented as the word and the marks.
-        inside = {b for p in self.ids for a, b in zip(p, p[1:]) if a.isalpha()}
-        marks = "".join(re.escape(c) for c in CLOSING if c not in inside)
-        self.closed = re.compile(rf"([\s\S]*[^\W\d_])([{marks}]{{1,8}})") if marks else re.compile(r"(?!)")
 
     def segment(self, word: str, dropout: float, key: int) -> bytes:
         """Ids of a word (its space sign included), packed in 32 bits each."""
         limit = int(dropout * (1 << 32))
-        if limit:
-            key = word_key(word, key)
         return self.packed((merge_short if len(word) <= SHORT else merge_long)(word, self.order, key, limit))
 
     def packed(self, symbols: list[str]) -> bytes:
@@ -251,18 +259,28 @@ class PieceModel:
                 out.extend(self.bytes[b] for b in raw)
         return out.tobytes()
 
-    def segment_many(self, words: list[str], dropout: float, key: int) -> Iterator[tuple[str, bytes]]:
-        """Every word with what ``segment`` gives for it, in any order."""
+    def segment_many(self, words: list[str], dropout: float, keys: np.ndarray,
+                     merges: list | None = None) -> list[bytes]:
+        """What ``segment`` gives for every word under its key; ``merges`` gets
+        arrays of word, place and order of the merges of words up to ``SHORT``
+        characters."""
         limit = int(dropout * (1 << 32))
-        by_length = sorted(words, key=len)
-        ends = [bisect_right(by_length, w, key=len) for w in (0, *WIDTHS)]
-        yield from ((w, b"") for w in by_length[:ends[0]])
+        out = [b""] * len(words)
+        lengths = np.fromiter(map(len, words), np.int64, len(words))
+        by_length = np.argsort(lengths, kind="stable")
+        ends = np.searchsorted(lengths[by_length], (0, *WIDTHS), "right").tolist()
         for width, start, end in zip(WIDTHS, ends, ends[1:]):
             for at in range(start, end, BLOCK_WORDS):
-                some = by_length[at:min(at + BLOCK_WORDS, end)]
-                keys = np.array([word_key(w, key) for w in some] if limit else [key] * len(some), np.uint64)
-                yield from zip(some, self._pack_many(some, merge_many(some, width, self.table, keys, limit)))
-        yield from ((w, self.segment(w, dropout, key)) for w in by_length[ends[-1]:])
+                places = by_length[at:min(at + BLOCK_WORDS, end)]
+                some, made = [words[i] for i in places.tolist()], None if merges is None else []
+                symbols = merge_many(some, width, self.table, keys[places], limit, made)
+                for i, ids in zip(places.tolist(), self._pack_many(some, symbols)):
+                    out[i] = ids
+                if made:
+                    merges.append((places[np.concatenate([m[0] for m in made])], *(np.concatenate([m[k] for m in made]) for k in (1, 2))))
+        for i in by_length[ends[-1]:].tolist():
+            out[i] = self.segment(words[i], dropout, int(keys[i]))
+        return out
 
     def _pack_many(self, words: list[str], symbols: np.ndarray) -> list[bytes]:
         stays, spelt = symbols >= 0, (symbols >= self.table.pieces).any(1)
@@ -280,59 +298,85 @@ class PieceModel:
         return b"".join(map(self.decoded.__getitem__, ids))[1:].decode("utf-8", "surrogatepass")
 
 
-class WordEncoder:
-    """Packed ids of texts under one key. Remembers ``CACHE_WORDS`` short words
-    or a group's words more, and as many of the generation before, so that
-    words in use stay.
+class Known:
+    """Words in use: ids and merges (order, place) without dropout."""
+
+    def __init__(self) -> None:
+        self.at: dict[str, int] = {}
+        self.ids: list[bytes] = []
+        # Words that were met once and not learned.
+        self.met: set[str] = set()
+        self.first = np.zeros(1, np.int64)
+        self.orders, self.places = np.zeros(0, np.int32), np.zeros(0, np.uint8)
+
+    def add(self, words: list[str], ids: list[bytes], merges: list) -> None:
+        self.at.update(zip(words, range(len(self.ids), len(self.ids) + len(words))))
+        self.ids += ids
+        of, places, orders = (np.concatenate([m[k] for m in merges]) if merges else np.zeros(0, np.int64) for k in range(3))
+        by_word = np.argsort(of, kind="stable")
+        counts = np.bincount(of.astype(np.int64), minlength=len(words))
+        self.first = np.concatenate([self.first, self.first[-1] + np.cumsum(counts)])
+        self.orders = np.concatenate([self.orders, orders[by_word].astype(np.int32)])
+        self.places = np.concatenate([self.places, places[by_word].astype(np.uint8)])
+
+    def disturbed(self, words: np.ndarray, keys: np.ndarray, limit: int) -> np.ndarray:
+        """Which occurrences, given by the word's number and a key, have a
+        skipped merge."""
+        start = self.first[words]
+        counts = self.first[words + 1] - start
+        of = np.repeat(np.arange(len(words)), counts)
+        merge = np.arange(len(of)) + np.repeat(start - (np.cumsum(counts) - counts), counts)
+        hit = skipped(keys[of], self.orders[merge], self.places[merge], limit)
+        return np.bincount(of[hit], minlength=len(words)) > 0
+
+
+class TextEncoder:
+    """Packed ids of texts. Words that stand more than once in a group of texts,
+    or were met before, are learned; up to ``CACHE_WORDS`` are remembered.
 
     A word is named without the space sign before it; one that begins with a
     line feed has none.
     """
 
-    def __init__(self, model: PieceModel, dropout: float, key: int):
-        self.model, self.dropout, self.key = model, dropout, key
-        self.known: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-        self.marks: dict[str, bytes] = {}
-
-    def _learn(self, words: set[str]) -> list[str]:
-        """Put ids of ``words``, none of them known, into ``known``; return
-        those that are too long to stay there."""
-        known, body, marked = self.known, {}, []
-        closed = self.model.closed.fullmatch
-        for word in words:
-            if (ids := self.old.get(word)) is not None:
-                known[word] = ids
-            elif word[-1:] in CLOSING and (m := closed(word)):
-                start, marks = m.groups()
-                marked.append((word, start, marks))
-                if marks not in self.marks:
-                    self.marks[marks] = self.model.segment(marks, self.dropout, self.key)
-                if start not in words and start not in known:
-                    body[SPACE + start if start[0] != "\n" else start] = start
-            else:
-                body[SPACE + word if word[:1] != "\n" else word] = word
-        passing = []
-        for spelt, ids in self.model.segment_many(list(body), self.dropout, self.key):
-            word = body[spelt]
-            known[word] = ids
-            if len(ids) > CACHED_BYTES:
-                passing.append(word)
-        for word, start, marks in marked:
-            known[word] = known[start] + self.marks[marks]
-            if len(known[word]) > CACHED_BYTES:
-                passing.append(word)
-        return passing
-
-    def _joined(self, texts: list[list[str]]) -> list[bytes]:
-        """Ids of texts given as words."""
-        if len(self.known) >= CACHE_WORDS:
-            self.old, self.known = self.known, {}
-        passing = self._learn(set().union(*texts).difference(self.known))
-        find = self.known.__getitem__
-        out = [b"".join(map(find, words)) for words in texts]
-        for word in passing:
-            del self.known[word]
+    def __init__(self, model: PieceModel, dropout: float, seed: int):
+        self.model, self.dropout, self.seed = model, dropout, seed
+        self.known = Known()
+
+    @staticmethod
+    def _spelt(words: list[str]) -> list[str]:
+        return [SPACE + w if w[:1] != "\n" else w for w in words]
+
+    def _learn(self, words: list[str]) -> None:
+        """Remember ``words``."""
+        merges: list = []
+        ids = self.model.segment_many(self._spelt(words), 0, np.zeros(len(words), np.uint64), merges)
+        self.known.add(words, ids, merges)
+
+    def _encoded(self, words: list[str], keys: np.ndarray) -> list[bytes]:
+        """Ids of every occurrence of a word, under its key."""
+        if max(len(self.known.ids), len(self.known.met)) > CACHE_WORDS:
+            self.known = Known()
+        known, limit = self.known, int(self.dropout * (1 << 32))
+        at = list(map(known.at.get, words, repeat(-1)))
+        new = [i for i, k in enumerate(at) if k < 0]
+        if new:
+            counts = Counter([words[i] for i in new])
+            learned = [w for w, n in counts.items() if (n > 1 or w in known.met) and len(w) < SHORT]
+            known.met.update(w for w in counts if len(w) < SHORT)
+            known.met.difference_update(learned)
+            self._learn(learned)
+            for i in new:
+                at[i] = known.at.get(words[i], -1)
+        at = np.array(at, np.int64)
+        anew = at < 0
+        if limit:
+            held = np.flatnonzero(~anew)
+            anew[held] = known.disturbed(at[held], keys[held], limit)
+        anew = np.flatnonzero(anew)
+        out = list(map(known.ids.__getitem__, at.tolist())) if known.ids else [b""] * len(words)
+        spelt = self._spelt([words[i] for i in anew.tolist()])
+        for i, ids in zip(anew.tolist(), self.model.segment_many(spelt, self.dropout, keys[anew])):
+            out[i] = ids
         return out
 
     def _words(self, text: str) -> list[str]:
@@ -341,24 +385,35 @@ class WordEncoder:
             return [w if w[0] == "\n" else w[1:] for w in RUN.findall(SPACE + text.replace(" ", SPACE))]
         return text.replace("\n", " \n").split(" ")
 
+    def _joined(self, texts: list[tuple[list[str], int, int]]) -> list[bytes]:
+        """Ids of runs of words, given with the text's key and the place of the
+        first word in it."""
+        if not texts:
+            return []
+        flat = self._encoded([w for words, _, _ in texts for w in words],
+                             np.concatenate([occurrence_keys(key, first, len(words)) for words, key, first in texts]))
+        ends = np.cumsum([len(words) for words, _, _ in texts]).tolist()
+        return [b"".join(flat[a:b]) for a, b in zip([0, *ends], ends)]
+
     def encode_many(self, texts: Iterable[str]) -> Iterator[bytes]:
         """Ids of every text, in the order of ``texts``."""
-        group: list[list[str]] = []
+        group: list[tuple[list[str], int, int]] = []
         size = 0
         for text in texts:
+            key = xxh64_intdigest(text.encode("utf-8", "surrogatepass"), self.seed)
             text = text.replace(SPACE, SPACE_IN_TEXT)
             if group and (size + len(text) > GROUP_CHARS or not self.model.by_word):
                 yield from self._joined(group)
                 group, size = [], 0
             if not text:
-                group.append([])
+                group.append(([], key, 0))
             elif not self.model.by_word:
-                yield self.model.segment(SPACE + text.replace(" ", SPACE), self.dropout, self.key)
+                yield self.model.segment(SPACE + text.replace(" ", SPACE), self.dropout, key)
             elif len(text) > GROUP_CHARS:
                 words = self._words(text)
-                yield b"".join(self._joined([words[a:a + GROUP_WORDS]])[0] for a in range(0, len(words), GROUP_WORDS))
+                yield b"".join(self._joined([(words[a:a + GROUP_WORDS], key, a)])[0] for a in range(0, len(words), GROUP_WORDS))
             else:
-                group.append(self._words(text))
+                group.append((self._words(text), key, 0))
                 size += len(text)
         yield from self._joined(group)
 
@@ -373,27 +428,21 @@ def piece_model(path: str) -> PieceModel:
 
 
 @cache
-def word_encoders(path: str, dropout: float, seed: int, variants: int) -> list[WordEncoder]:
-    return [WordEncoder(piece_model(path), dropout, xxh64_intdigest(b"%d" % v, seed)) for v in range(variants)]
+def text_encoder(path: str, dropout: float, seed: int) -> TextEncoder:
+    return TextEncoder(piece_model(path), dropout, seed)
 
 
-def encode_column(text: Column, model_path: str, dropout: float = DROPOUT, seed: int = SEED,
-                  variants: int = VARIANTS) -> Column:
+def encode_column(text: Column, model_path: str, dropout: float = DROPOUT, seed: int = SEED) -> Column:
     """Ids of whole texts, packed as little-endian unsigned 32-bit; null for a
-    null text, empty for an empty one. ``variants`` segmentations of a word
-    are in use under one seed, the text's hash choosing one."""
+    null text, empty for an empty one."""
     ship()
 
     @F.pandas_udf("binary")
     def encode(texts: pd.Series) -> pd.Series:
-        places: list[list[int]] = [[] for _ in range(variants)]
-        for i, t in enumerate(texts):
-            if t is not None:
-                places[xxh64_intdigest(t.encode("utf-8", "surrogatepass"), seed) % variants].append(i)
+        rows = [i for i, t in enumerate(texts) if t is not None]
         out: list[bytes | None] = [None] * len(texts)
-        for encoder, rows in zip(word_encoders(model_path, dropout, seed, variants), places):
-            for i, ids in zip(rows, encoder.encode_many(texts.iloc[i] for i in rows)):
-                out[i] = ids
+        for i, ids in zip(rows, text_encoder(model_path, dropout, seed).encode_many(texts.iloc[i] for i in rows)):
+            out[i] = ids
         return pd.Series(out, dtype=object)
 
     return encode(text)
@@ -412,7 +461,7 @@ def decode_column(ids: Column, model_path: str) -> Column:
 
 
 def encode_texts(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text",
-                 dropout: float = DROPOUT, seed: int = SEED, variants: int = VARIANTS) -> DataFrame:
+                 dropout: float = DROPOUT, seed: int = SEED) -> DataFrame:
     """``id, ids, n_ids, lossless`` for every row of ``docs``.
 
     ``lossless`` says that decoding gives the text back. A null text has null
@@ -421,7 +470,7 @@ def encode_texts(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_
     other columns are not read; an empty table gives an empty result.
     """
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t"),
-                       encode_column(F.col(text_col), model_path, dropout, seed, variants).alias("ids"))
+                       encode_column(F.col(text_col), model_path, dropout, seed).alias("ids"))
     rows = rows.withColumn("back", decode_column(F.col("ids"), model_path))
     return rows.select(F.col("id").alias(id_col), "ids",
                        F.coalesce(F.octet_length("ids") / 4, F.lit(0)).cast("long").alias("n_ids"),

@@ -109,41 +109,56 @@ WITH d AS (
   SELECT r, unnest(regexp_extract_all(t, '{WORDS}')) AS word, generate_subscripts(regexp_extract_all(t, '{WORDS}'), 1) AS i FROM d
 ), five AS (
   SELECT r, i, word || chr(0) || lead(word, 1) OVER p || chr(0) || lead(word, 2) OVER p || chr(0) || lead(word, 3) OVER p
-         || chr(0) || lead(word, 4) OVER p AS x,
-         word || ' ' || lead(word, 1) OVER p || ' ' || lead(word, 2) OVER p AS three
+         || chr(0) || lead(word, 4) OVER p AS x
   FROM w WINDOW p AS (PARTITION BY r ORDER BY i)
 ), rep AS (
-  SELECT r, i, three, x IS NOT NULL AND count(*) OVER (PARTITION BY r, x) > 1 AS twice FROM five
+  SELECT r, i, x IS NOT NULL AND count(*) OVER (PARTITION BY r, x) > 1 AS twice FROM five
 ), cov AS (
   SELECT r, count(*) FILTER (WHERE c) AS n_repeat_words
   FROM (SELECT r, bool_or(twice) OVER (PARTITION BY r ORDER BY i ROWS BETWEEN 4 PRECEDING AND CURRENT ROW) AS c FROM rep) GROUP BY r
 ), allw AS (
   SELECT r, count(*) AS n_words, sum(length(word)) AS word_chars,
-         sum(length(regexp_replace(word, '[^#*$%&|<>]', '', 'g'))) AS n_symbols, string_agg(word, ' ' ORDER BY i) AS whole
+         sum(length(regexp_replace(word, '[^#*$%&|<>]', '', 'g'))) AS n_symbols
   FROM w GROUP BY r
-), sig AS (
-  SELECT d.r, coalesce(min(left(md5(three), 16)), left(md5(coalesce(any_value(whole), '')), 16)) AS sig
-  FROM d LEFT JOIN rep USING (r) LEFT JOIN allw USING (r) GROUP BY d.r
 ), ln AS (
-  SELECT r, source, unnest(string_split(t, chr(10))) AS line FROM d
+  SELECT r, source, unnest(string_split(t, chr(10))) AS line, generate_subscripts(string_split(t, chr(10)), 1) AS place FROM d
 ), nl AS (
-  SELECT r, source, line, {FOLD.format(f"array_to_string(regexp_extract_all(line, '{WORDS}'), ' ')")} AS norm,
+  SELECT r, source, place, line, regexp_extract_all(line, '{WORDS}') AS ws,
+         {FOLD.format(f"array_to_string(regexp_extract_all(line, '{WORDS}'), ' ')")} AS norm,
          len(regexp_extract_all(line, '{WORDS}')) AS n FROM ln
 ), dup AS (
   SELECT r, count(*) - count(DISTINCT line) AS n_dup_lines FROM nl WHERE n > 0 GROUP BY r
 ), held AS (
-  SELECT r, source, norm, sum(n) AS n FROM nl WHERE n > 0 GROUP BY ALL
-), persig AS (
-  SELECT source, norm, sig, count(*) AS c FROM held JOIN sig USING (r) GROUP BY ALL
-), perline AS (
-  SELECT source, norm, count(*) AS n_docs, max(c) AS top, sum(c) AS n_rows FROM persig GROUP BY ALL
+  SELECT r, source, norm, sum(n) AS n, arg_min(ws, place) AS ws FROM nl WHERE n > 0 GROUP BY ALL
+), many AS (
+  SELECT source, norm FROM held GROUP BY ALL HAVING count(*) > {quality.MIN_LINE_DOCS}
+), marked AS (
+  SELECT held.*, many.norm IS NOT NULL AS candidate
+  FROM held LEFT JOIN many ON held.norm = many.norm AND held.source IS NOT DISTINCT FROM many.source
+), rests AS (
+  SELECT d.r, d.source, coalesce(sum(m.n) FILTER (WHERE NOT candidate), 0) AS rest FROM d LEFT JOIN marked m USING (r) GROUP BY ALL
+), windows AS (
+  SELECT r, source, md5(array_to_string(ws[i : least(i + {quality.SIGNATURE_WINDOW - 1}, len(ws))], ' ')) AS h
+  FROM (SELECT r, source, ws, unnest(range(1, greatest(1, len(ws) - {quality.SIGNATURE_WINDOW - 1}) + 1)) AS i
+        FROM marked JOIN (SELECT r, rest FROM rests) USING (r) WHERE NOT candidate AND rest >= {quality.MIN_WORDS})
+), lows AS (
+  SELECT r, source, k, min(substr(h || h, 4 * k + 1, 16)) AS low
+  FROM windows, (SELECT unnest(range({quality.MINIMA})) AS k) GROUP BY ALL
+), twins AS (
+  SELECT r FROM (SELECT r, count(*) OVER (PARTITION BY source, k, low) AS c FROM lows)
+  WHERE c > {quality.MIN_LINE_DOCS} GROUP BY r HAVING count(*) >= {quality.SHARED_MINIMA}
+), docs AS (
+  SELECT rests.r, rests.source, CASE WHEN rest < {quality.MIN_WORDS} OR twins.r IS NOT NULL THEN '' ELSE sketch END AS doc
+  FROM rests LEFT JOIN twins USING (r) LEFT JOIN (SELECT r, string_agg(low, '' ORDER BY k) AS sketch FROM lows GROUP BY r) USING (r)
 ), hosts AS (
-  SELECT source, count(*) AS host_docs FROM d GROUP BY source
-), common AS (
-  SELECT DISTINCT norm FROM perline JOIN hosts ON perline.source IS NOT DISTINCT FROM hosts.source
-  WHERE n_docs > {quality.MIN_LINE_DOCS} AND n_docs > host_docs * {quality.LINE_SHARE}::DOUBLE AND 2 * top <= n_rows
+  SELECT source, count(DISTINCT doc) AS host_docs FROM docs GROUP BY source
+), above AS (
+  SELECT m.source, norm FROM marked m JOIN docs USING (r) JOIN hosts ON m.source IS NOT DISTINCT FROM hosts.source
+  WHERE candidate GROUP BY m.source, norm
+  HAVING count(DISTINCT doc) > {quality.MIN_LINE_DOCS}
+     AND count(DISTINCT doc) > least(any_value(host_docs) * {quality.LINE_SHARE}::DOUBLE, {quality.MAX_LINE_DOCS})
 ), gone AS (
-  SELECT r, sum(n) AS removed FROM held JOIN common USING (norm) GROUP BY r
+  SELECT r, sum(n) AS removed FROM held JOIN above ON held.norm = above.norm AND held.source IS NOT DISTINCT FROM above.source GROUP BY r
 ), f AS (
   SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(word_chars, 0) AS word_chars, coalesce(n_symbols, 0) AS n_symbols,
          coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words, coalesce(removed, 0) AS removed

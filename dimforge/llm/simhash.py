@@ -17,7 +17,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from dimforge.llm.common import materialise, row_key, ship
+from dimforge.llm.common import free_names, materialise, row_key, ship
 from dimforge.llm.components import components, with_heads
 
 SHINGLE_WORDS = 4
@@ -175,9 +175,17 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with one row per component of near-duplicates, all columns kept."""
+    """``docs`` with one row per component of near-duplicates, all columns kept,
+    whatever their names.
+
+    The row of the smallest id stays, among equal ids that of the smallest text
+    hash, null ids after all others; of repeated rows one. Null and wordless
+    texts are one component with whatever is near fingerprint zero; very long
+    texts are read whole; an empty table stays empty.
+    """
+    n1, n2 = free_names(docs, "k1", "k2")
     keep = (simhash_components(docs, id_col, text_col).filter("keeper")
-            .select(F.col("k1").alias("__k1"), F.col("k2").alias("__k2")).distinct())
+            .select(F.col("k1").alias(n1), F.col("k2").alias(n2)).distinct())
     k1, k2 = row_key(F.col(id_col), F.col(text_col))
-    return (docs.withColumn("__k1", k1).withColumn("__k2", k2).join(keep, ["__k1", "__k2"], "left_semi")
-            .dropDuplicates(["__k1", "__k2"]).drop("__k1", "__k2"))
+    return (docs.withColumn(n1, k1).withColumn(n2, k2).join(keep, [n1, n2], "left_semi")
+            .dropDuplicates([n1, n2]).drop(n1, n2))

@@ -11,8 +11,8 @@ import public_tokenizers
 import xxhash
 from pyspark.sql import functions as F
 
-from dimforge.llm import (blocks, bytelang, components, licences, packing, pieces, quality, ring, simhash, sphere,
-                          urlrules)
+from dimforge.llm import (blocks, bytelang, codes, components, crf, licences, manifest, packing, pieces, quality, ring,
+                          simhash, sphere, urlrules)
 
 BPE = public_tokenizers.path("byte_bpe_50k.json")
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -56,7 +56,9 @@ def test_empty_tables(spark, empty):
                licences.scan_licences(empty), blocks.extract_main_text(pages), simhash.simhash_components(empty),
                packing.pack(empty, BPE), sphere.embedding_components(vectors), bytelang.identify(empty),
                pieces.encode_texts(empty, PIECES), ring.shard(empty, 4), quality.apply_line_rules(empty),
-               simhash.drop_near_duplicates(empty), bytelang.drop_unidentified(empty)):
+               simhash.drop_near_duplicates(empty), bytelang.drop_unidentified(empty), manifest.manifest(empty),
+               crf.classify(empty, spark.createDataFrame([], "doc_id long, quality int")),
+               codes.compress(vectors.selectExpr("*", "1 AS label"))[0]):
         assert df.collect() == []
 
 
@@ -105,15 +107,17 @@ def test_common_lines_go_but_copies_stay(spark):
     rows = [(i, f"{t}\nShared footer {i + 10}", "a") for i, t in enumerate(own)]
     copy = "\n".join(prose(rng, 15) for _ in range(6))
     rows += [(100 + i, copy + (f"\nextra {i}" if i % 9 == 0 else ""), "a") for i in range(60)]
-    rows += [(200, "Shared footer 77\nfew words of its own here and then no more at all", "b")]
-    rows += [(201, "Shared footer 21\nShared footer 22\nShared footer 23\nShared footer 24\nnew words", "b")]
+    rows += [(200, "Shared footer 77\nfew words of its own here and then no more at all", "a")]
+    rows += [(201, "Shared footer 21\nShared footer 22\nShared footer 23\nShared footer 24\nnew words", "a")]
+    rows += [(202, "Shared footer 77\nhere the host has no other page that holds this line at all", "b")]
     df = spark.createDataFrame(rows, "doc_id long, text string, source string")
     got = {r["doc_id"]: r for r in quality.line_rules(df).collect()}
     assert all(got[i]["removed_words"] == 3 and got[i]["kept"] for i in range(30))
     assert all(got[100 + i]["removed_words"] == 0 and got[100 + i]["kept"] for i in range(60))
     assert got[200]["removed_words"] == 3 and got[200]["kept"] and not got[201]["kept"]
+    assert got[202]["removed_words"] == 0 and got[202]["kept"]
     kept = {r["doc_id"]: r["text"] for r in quality.apply_line_rules(df).collect()}
-    assert kept[3] == own[3] and kept[101] == copy and 201 not in kept and len(kept) == 91
+    assert kept[3] == own[3] and kept[101] == copy and 201 not in kept and len(kept) == 92
 
 
 def test_copies_and_boilerplate_do_not_keep_a_line(spark):
@@ -138,6 +142,66 @@ def test_copies_and_boilerplate_do_not_keep_a_line(spark):
     assert [removed[i] for i in range(len(rows))] == [4] * 55 + [60] * 480 + [0] * 60
 
 
+def template_rows():
+    """Template pages at several ratios of shared to own words, near copies,
+    exact copies, short rests, null hosts."""
+    rng = random.Random(17)
+    names = ["w%d" % i for i in range(5000)]
+
+    def words(n):
+        return " ".join(rng.choices(names, k=n))
+
+    rows = []
+    for host, (shared, own) in enumerate(((100, 20), (200, 20), (200, 10), (300, 15))):
+        foot = words(shared)
+        rows += [(f"{words(own)}\n{foot}", f"t{host}") for _ in range(50)]
+    body = [words(60) for _ in range(4)]
+    for i in range(80):  # four words of each copy are others, in two lines
+        text = [ln.split() for ln in body]
+        for line in rng.sample(range(4), 2):
+            for at in rng.sample(range(60), 2):
+                text[line][at] = f"x{i}"
+        rows.append(("\n".join(map(" ".join, text)), "near"))
+    rows += [(f"{words(12)}\nthe footer of all", None) for _ in range(14)] + [(f"{words(12)}\nthe footer of all", None)] * 9
+    rows += [(f"{words(4)}\na title that too few words follow", "short") for _ in range(30)]
+    return [(i, t, h) for i, (t, h) in enumerate(rows)]
+
+
+def test_template_pages_are_distinct_and_near_copies_are_not(spark):
+    rows = template_rows()
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    removed = {r["doc_id"]: r["removed_words"] for r in quality.line_rules(df).collect()}
+    for i, _, host in rows:
+        want = {"t0": 100, "t1": 200, "t2": 200, "t3": 300, "near": 0, None: 4, "short": 0}[host]
+        assert removed[i] == want, (i, host)
+    kept = quality.apply_line_rules(df.filter("source = 'near'"))
+    assert kept.count() == 80 and simhash.drop_near_duplicates(kept).count() >= 1
+
+
+def test_line_rule_sql_states_the_same_rule(spark):
+    import duckdb
+    import pyarrow as pa
+    from dimforge.llm.queries import OP1_SQL
+    rows = template_rows() + [(1000, None, "a"), (1001, "", None), (1002, " \n\n ", "t0")]
+    cols = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "removed_words"]
+    got = quality.line_rules(spark.createDataFrame(rows, "doc_id long, text string, source string")).select(cols)
+    con = duckdb.connect()
+    con.register("documents", pa.table({k: [r[i] for r in rows] for i, k in enumerate(("doc_id", "text", "source"))}))
+    assert sorted(map(tuple, got.collect())) == sorted(con.execute(f"SELECT {', '.join(cols)} FROM ({OP1_SQL})").fetchall())
+
+
+def test_stages_keep_columns_that_clash(spark):
+    rng = random.Random(3)
+    names = ("k1", "k2", "gone", "found", "__k1", "__k2", "__gone", "__found", "row", "lines", "candidates", "fp")
+    rows = [(i, prose(rng, 40), "en", "s", 1, *names) for i in range(12)] * 2 + [(None, None, None, None, None, *names)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, "
+                               + ", ".join(f"{n} string" for n in names))
+    for out, n in ((bytelang.drop_unidentified(df), 24), (quality.apply_line_rules(df), 24), (simhash.drop_near_duplicates(df), 13)):
+        got = out.collect()
+        assert out.columns == df.columns and len(got) == n
+        assert all(tuple(r[-len(names):]) == names for r in got)
+
+
 def test_line_limit_counts_distinct_documents(spark):
     rng = random.Random(9)
     names = ["w%d" % i for i in range(3000)]
@@ -400,13 +464,13 @@ def test_language_edges(docs):
 def test_pieces(docs):
     import sentencepiece
     model = pieces.PieceModel(PIECES)
-    plain, sp = pieces.WordEncoder(model, 0, 0), sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    plain, sp = pieces.TextEncoder(model, 0, 0), sentencepiece.SentencePieceProcessor(model_file=PIECES)
     rng = random.Random(2)
     parts = [" ", "  ", "\n", "\t", "\xa0", "the", "é", "中", "😀", "hello world", "end.", "x"]
     for _ in range(2000):
         t = "".join(rng.choices(parts, k=rng.randrange(12)))
         assert list(struct.unpack(f"<{len(plain.encode(t)) // 4}I", plain.encode(t))) == sp.encode(t)
-    some, other = pieces.WordEncoder(model, 0.3, 1), pieces.WordEncoder(model, 0.3, 2)
+    some, other = pieces.TextEncoder(model, 0.3, 1), pieces.TextEncoder(model, 0.3, 2)
     text = "Several segmentations of one sentence, all decoding to the same text ▁ .\n" * 4
     assert some.encode(text) == some.encode(text) != other.encode(text) != plain.encode(text)
     assert model.decode(some.encode(text)) == model.decode(other.encode(text)) == text
@@ -415,14 +479,28 @@ def test_pieces(docs):
     letters = ["a", "b", "th", "ing", "é", "中", "😀", "▁", "\0", "\udfff", "er", "st", "\n"]
     words = list({"".join(rng.choices(letters, k=rng.randrange(30))) for _ in range(2000)} | {"", long})
     for dropout in (0, 0.1, 0.5, 1):
-        assert dict(model.segment_many(words, dropout, 5)) == {w: model.segment(w, dropout, 5) for w in words}
+        keys, merges = pieces.occurrence_keys(5, 0, len(words)), []
+        got = model.segment_many(words, dropout, keys, merges)
+        assert got == [model.segment(w, dropout, int(k)) for w, k in zip(words, keys)]
+    # The skips of every occurrence are those of an agenda of its own.
+    for text in ("the end of the end. The end.\nthe  end the " * 30, " ".join(rng.choices(words, k=300))):
+        cut = some._words(text.replace(pieces.SPACE, pieces.SPACE_IN_TEXT))
+        keys = pieces.occurrence_keys(pieces.xxh64_intdigest(text.encode("utf-8", "surrogatepass"), 1), 0, len(cut))
+        want = b"".join(model.segment(w, 0.3, int(k)) for w, k in zip(some._spelt(cut), keys))
+        assert some.encode(text) == some.encode(text) == want
     # A cache that turns over and a text longer than a group change nothing.
     texts = [" ".join(rng.choices(words, k=40)) for _ in range(60)] + ["the end. " * (pieces.GROUP_CHARS // 8), ""]
     want = [some.encode(t) for t in texts]
     with pytest.MonkeyPatch.context() as patch:
         patch.setattr(pieces, "CACHE_WORDS", 50)
         patch.setattr(pieces, "GROUP_CHARS", 900)
-        assert list(pieces.WordEncoder(model, 0.3, 1).encode_many(texts)) == want
+        assert list(pieces.TextEncoder(model, 0.3, 1).encode_many(texts)) == want
+    # A frequent word is cut anew wherever it stands.
+    one = pieces.TextEncoder(model, 0.1, 42)
+    tail = struct.pack("<I", 0)
+    in_texts = {one.encode(f"{i} internationalization").removesuffix(tail)[len(one.encode(f"{i}")):] for i in range(1000)}
+    in_one = one._encoded(["internationalization"] * 1000, pieces.occurrence_keys(7, 0, 1000))
+    assert len(in_texts) > 50 and len(set(in_one)) > 50
     rows = pieces.encode_texts(docs, PIECES).collect()
     assert all(r["lossless"] is (None if r["ids"] is None else True) for r in rows) and len(rows) == docs.count()
 
@@ -481,7 +559,7 @@ def test_sql_matches(spark):
     from dimforge.llm.queries import QUERIES
     from tools.oracle_check import norm
     con, sf = duckdb.connect(), "/root/testdata/sf0.001"
-    for t in ("documents", "pages"):
+    for t in ("documents", "pages", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{sf}/{t}.parquet'")
     for name, (fn, sql) in QUERIES.items():
         if sql:
