@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from dimforge.functions.columns import MASK_LAST_7, MASK_PREV_7, WINDOW_DAYS, datelist_bits  # noqa: F401
 from dimforge.operators.common import cols
+from dimforge.operators.published import PublishedTable, previous
 
 
 
@@ -33,14 +34,15 @@ def daily_activity(events: DataFrame, key: str | Sequence[str], ts: str, ds: str
     return e.groupBy(*keys, day_of(ts).alias("date")).agg(F.count(F.lit(1)).alias("n_events"))
 
 
-def dates_active_step(prev: DataFrame, events: DataFrame, key: str, ts: str, ds: str,
+def dates_active_step(prev: DataFrame | PublishedTable, events: DataFrame, key: str, ts: str, ds: str,
                       dates: str = "dates_active") -> DataFrame:
     """users_cumulated for ``ds`` = yesterday's row FULL OUTER today's activity.
 
     Today's date is appended when active; the row is stamped
-    ``coalesce(today, yesterday + 1)``.
+    ``coalesce(today, yesterday + 1)``. A published chain (``prev``) that has
+    no yesterday is refused.
     """
-    y = prev.filter(F.col("date") == F.date_sub(F.lit(ds).cast("date"), 1)).alias("y")
+    y = previous(prev, "date", ds).alias("y")
     t = daily_activity(events, key, ts, ds).alias("t")
     j = y.join(t, F.col(f"y.{key}") == F.col(f"t.{key}"), "full_outer")
     empty = F.array().cast("array<date>")

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from dimforge.operators.common import cols, full_outer_step, tier
+from dimforge.operators.published import MissingPeriodError, PublishedTable  # noqa: F401
 
 # fixed values: class labels, best first (the last one is the default)
 LABELS = ("star", "good", "average", "bad")
@@ -92,6 +93,26 @@ def cumulate_backfill(facts: DataFrame, key: str, period_col: str, hi: int,
         F.col(period_col).alias(f"current_{period_col}"))
 
 
+def cumulate_snapshot(facts: DataFrame, key: str, period_col: str, period: int, struct_cols: Sequence[str],
+                      static_cols: Sequence[str], metric: str, thresholds: Sequence[float],
+                      history: str = "seasons", class_col: str = "scoring_class") -> DataFrame:
+    """The snapshot of one period: ``cumulate_backfill`` for that period alone.
+
+    One aggregation gathers each entity's history up to ``period`` (bounded by
+    the number of periods); no other period's list is built.
+    """
+    items = F.array_sort(F.collect_list(F.struct(F.col(period_col).alias("_p"), F.struct(*struct_cols).alias("_item"))))
+    h = (facts.filter(F.col(period_col) <= period).groupBy(key)
+              .agg(*[F.max(c).alias(c) for c in static_cols], items.alias("_items")))
+    h = h.withColumn(history, F.col("_items._item")).withColumn("_last", F.element_at("_items", -1))
+    return h.select(
+        key, *static_cols, history,
+        tier(F.col(f"_last._item.{metric}"), thresholds, LABELS).alias(class_col),
+        (F.lit(period) - F.col("_last._p")).alias("years_since_last_active"),
+        (F.col("_last._p") == period).alias("is_active"),
+        F.lit(period).alias(f"current_{period_col}"))
+
+
 def cumulate_step_multi(prev: DataFrame, today: DataFrame, key: str, period_col: str, period: int,
                         order_col: str, struct_cols: Sequence[str], static_cols: Sequence[str],
                         metric: str, thresholds: Sequence[float], history: str = "films",
@@ -156,20 +177,14 @@ def latest_state(df: DataFrame, key: str | Sequence[str], order: str) -> DataFra
               .select(*keys, "_last.*"))
 
 
-class MissingPeriodError(RuntimeError):
-    pass
-
-
-def cumulate_chain_guard(prev: DataFrame, period_col: str, period: int, first_period: int) -> None:
+def cumulate_chain_guard(chain: PublishedTable, period: int, first_period: int) -> None:
     """Refuse to build ``period`` when the predecessor snapshot is absent.
 
-    ``depends_on_past``: unless ``period`` is the first of the chain, the
-    snapshot for ``period - 1`` must have rows. The probe reads at most one row.
+    ``depends_on_past``: unless ``period`` is the first of the chain, ``period
+    - 1`` must be published. The manifest answers; no job is run.
     """
-    if period == first_period:
-        return
-    if not prev.filter(F.col(period_col) == period - 1).select(period_col).take(1):
-        raise MissingPeriodError(f"no snapshot for {period_col}={period - 1}; run it first")
+    if period != first_period:
+        chain.require(period - 1)
 
 
 def enum_violations(df: DataFrame, col: str, allowed: Sequence[str]) -> DataFrame:

@@ -11,6 +11,7 @@ from dimforge.functions.columns import referrer_host
 from dimforge.operators.common import sequence_positions
 
 # fixed values: growth-accounting states, player league states, referrer labels
+from dimforge.operators.published import PublishedTable, previous
 GROWTH_STATES = ("New", "Retained", "Resurrected", "Churned", "Stale")
 PLAYER_STATES = ("New", "Retired", "Continued Playing", "Returned from Retirement", "Stayed Retired")
 REFERRER_LABELS = ("Linkedin", "Twitter", "Google", "On Site")
@@ -36,14 +37,15 @@ def _weekly_state(y_exists: Column, y_last: Column, y_date: Column, today: Colum
              .otherwise(F.lit(STALE)))
 
 
-def growth_accounting_step(prev: DataFrame, events: DataFrame, key: str, ts: str, ds: str) -> DataFrame:
+def growth_accounting_step(prev: DataFrame | PublishedTable, events: DataFrame, key: str, ts: str, ds: str) -> DataFrame:
     """One day of the growth-accounting state table (yesterday FULL OUTER today).
 
     The CASE order is the contract: ``today`` is NULL for absent users, so
-    the Retained/Resurrected tests fall through to Churned/Stale for them.
+    the Retained/Resurrected tests fall through to Churned/Stale for them. A
+    published chain (``prev``) that has no yesterday is refused.
     """
     d0 = F.lit(ds).cast("date")
-    y = prev.filter(F.col("date") == F.date_sub(d0, 1)).alias("y")
+    y = previous(prev, "date", ds).alias("y")
     t = (events.filter(F.col(key).isNotNull() & (F.col(ts) >= d0.cast("timestamp_ntz")) &
                        (F.col(ts) < F.date_add(d0, 1).cast("timestamp_ntz")))
                .select(key).distinct().withColumn("today_date", d0).alias("t"))

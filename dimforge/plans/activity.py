@@ -7,13 +7,13 @@ from pyspark.sql import functions as F
 
 from dimforge.operators import activity as ac
 from dimforge.operators import scd
+from dimforge.operators.published import PublishedTable, one_row_per, previous
 from dimforge.plans import query
+from dimforge.plans.periods import DAY, MONTH, day
+from dimforge.session import scratch_path
 from dimforge.sources import tables as tb
 from dimforge.sources.oracle_views import with_views
 
-DS = "2024-01-30"
-PREV_DS = "2024-01-29"
-MONTH = "2024-01-01"
 
 
 def _dates_str(c: str) -> F.Column:
@@ -37,36 +37,48 @@ def events_dev(spark, sf) -> DataFrame:
     return events(spark, sf).join(tb.web_devices(spark, sf), "device_id", "left")
 
 
+def chained(spark, sf, prev: DataFrame, key: str, step) -> DataFrame:
+    """The run's day of a published chain: yesterday is published, the step
+    reads it there, and its audited result is published as today."""
+    chain = PublishedTable(spark, scratch_path(spark, "chain"), "date")
+    checks = {"one row per key": one_row_per(key)}
+    chain.load(prev, [day(spark, sf, -1)], checks)
+    chain.load(step(chain, day(spark, sf)), [day(spark, sf)], checks)
+    return chain.read([day(spark, sf)])
+
+
 _DATES_SQL = with_views("web_events") + f""",
 ud AS (SELECT DISTINCT user_id, CAST(event_time AS DATE) AS d FROM web_events
-       WHERE user_id IS NOT NULL AND CAST(event_time AS DATE) <= DATE '{DS}')
+       WHERE user_id IS NOT NULL AND CAST(event_time AS DATE) <= {DAY})
 """
 _DATES_OUT = f"""
 SELECT user_id, CAST(count(*) AS INTEGER) AS n_dates, string_agg(CAST(d AS VARCHAR), ',' ORDER BY d) AS dates_list,
-       DATE '{DS}' AS date FROM ud GROUP BY user_id"""
+       {DAY} AS date FROM ud GROUP BY user_id"""
 
 
 @query("dates_active_backfill", _DATES_SQL + _DATES_OUT)
 def q_dates_active_backfill(spark, sf):
-    return flat_dates(ac.dates_active_backfill(events(spark, sf), "user_id", "event_time", DS), "user_id")
+    return flat_dates(ac.dates_active_backfill(events(spark, sf), "user_id", "event_time", day(spark, sf)), "user_id")
 
 
 @query("dates_active_step", _DATES_SQL + _DATES_OUT)
 def q_dates_active_step(spark, sf):
     e = events(spark, sf)
-    prev = ac.dates_active_backfill(e, "user_id", "event_time", PREV_DS)
-    return flat_dates(ac.dates_active_step(prev, e, "user_id", "event_time", DS), "user_id")
+    prev = ac.dates_active_backfill(e, "user_id", "event_time", day(spark, sf, -1))
+    return flat_dates(chained(spark, sf, prev, "user_id", lambda chain, ds: ac.dates_active_step(
+        chain, e, "user_id", "event_time", ds)), "user_id")
 
 
 @query("host_dates_step", with_views("web_events") + f"""
 , hd AS (SELECT DISTINCT host, CAST(event_time AS DATE) AS d FROM web_events
-         WHERE CAST(event_time AS DATE) <= DATE '{DS}')
+         WHERE CAST(event_time AS DATE) <= {DAY})
 SELECT host, CAST(count(*) AS INTEGER) AS n_dates, string_agg(CAST(d AS VARCHAR), ',' ORDER BY d) AS dates_list,
-       DATE '{DS}' AS date FROM hd GROUP BY host""")
+       {DAY} AS date FROM hd GROUP BY host""")
 def q_host_dates_step(spark, sf):
     e = events(spark, sf)
-    prev = ac.dates_active_backfill(e, "host", "event_time", PREV_DS)
-    return flat_dates(ac.dates_active_step(prev, e, "host", "event_time", DS), "host")
+    prev = ac.dates_active_backfill(e, "host", "event_time", day(spark, sf, -1))
+    return flat_dates(chained(spark, sf, prev, "host", lambda chain, ds: ac.dates_active_step(
+        chain, e, "host", "event_time", ds)), "host")
 
 
 def user_device_dates_backfill(e: DataFrame, ds: str) -> DataFrame:
@@ -76,12 +88,12 @@ def user_device_dates_backfill(e: DataFrame, ds: str) -> DataFrame:
                .withColumn("date", F.lit(ds).cast("date")))
 
 
-def user_device_dates_step(prev: DataFrame, e: DataFrame, ds: str) -> DataFrame:
+def user_device_dates_step(prev: DataFrame | PublishedTable, e: DataFrame, ds: str) -> DataFrame:
     """Cumulative MAP<browser, ARRAY<DATE>>: yesterday's map merged key-wise with today's dates."""
     today = (ac.daily_activity(e, ["user_id", "browser_type"], "event_time", ds)
                .groupBy("user_id")
                .agg(F.map_from_entries(F.collect_list(F.struct("browser_type", F.array("date")))).alias("m")))
-    y = prev.filter(F.col("date") == F.date_sub(F.lit(ds).cast("date"), 1)).alias("y")
+    y = previous(prev, "date", ds).alias("y")
     j = y.join(today.alias("t"), F.col("y.user_id") == F.col("t.user_id"), "full_outer")
     empty = F.create_map().cast("map<string,array<date>>")
     merged = F.map_zip_with(F.coalesce(F.col("y.device_activity"), empty), F.coalesce(F.col("t.m"), empty),
@@ -94,7 +106,7 @@ def user_device_dates_step(prev: DataFrame, e: DataFrame, ds: str) -> DataFrame:
 _UDD_SQL = with_views("web_events", "web_devices") + f""",
 ubd AS (SELECT DISTINCT e.user_id, d.browser_type, CAST(e.event_time AS DATE) AS d
         FROM web_events e LEFT JOIN web_devices d ON e.device_id = d.device_id
-        WHERE e.user_id IS NOT NULL AND d.browser_type IS NOT NULL AND CAST(e.event_time AS DATE) <= DATE '{DS}')
+        WHERE e.user_id IS NOT NULL AND d.browser_type IS NOT NULL AND CAST(e.event_time AS DATE) <= {DAY})
 """
 
 
@@ -103,27 +115,27 @@ SELECT user_id, browser_type, CAST(count(*) AS INTEGER) AS n_dates,
        string_agg(CAST(d AS VARCHAR), ',' ORDER BY d) AS dates_list FROM ubd GROUP BY user_id, browser_type""")
 def q_user_device_dates(spark, sf):
     e = events_dev(spark, sf)
-    prev = user_device_dates_backfill(e, PREV_DS)
-    cur = user_device_dates_step(prev, e, DS)
+    prev = user_device_dates_backfill(e, day(spark, sf, -1))
+    cur = chained(spark, sf, prev, "user_id", lambda chain, ds: user_device_dates_step(chain, e, ds))
     return cur.select("user_id", F.explode("device_activity").alias("browser_type", "dates")).select(
         "user_id", "browser_type", F.size("dates").alias("n_dates"), _dates_str("dates").alias("dates_list"))
 
 
-_BITS_SQL = f"""CAST(coalesce(sum(CASE WHEN date_diff('day', d, DATE '{DS}') BETWEEN 0 AND 31
-                              THEN (CAST(1 AS BIGINT) << (31 - date_diff('day', d, DATE '{DS}'))) END), 0) AS BIGINT)"""
+_BITS_SQL = f"""CAST(coalesce(sum(CASE WHEN date_diff('day', d, {DAY}) BETWEEN 0 AND 31
+                              THEN (CAST(1 AS BIGINT) << (31 - date_diff('day', d, {DAY}))) END), 0) AS BIGINT)"""
 
 
 @query("datelist_int", _DATES_SQL + f"SELECT user_id, {_BITS_SQL} AS datelist_int FROM ud GROUP BY user_id")
 def q_datelist_int(spark, sf):
-    b = ac.dates_active_backfill(events(spark, sf), "user_id", "event_time", DS)
-    return b.select("user_id", ac.datelist_bits(F.col("dates_active"), DS).alias("datelist_int"))
+    b = ac.dates_active_backfill(events(spark, sf), "user_id", "event_time", day(spark, sf))
+    return b.select("user_id", ac.datelist_bits(F.col("dates_active"), day(spark, sf)).alias("datelist_int"))
 
 
 @query("device_datelist_int", _UDD_SQL + f"""
 SELECT user_id, browser_type, {_BITS_SQL} AS datelist_int FROM ubd GROUP BY user_id, browser_type""")
 def q_device_datelist_int(spark, sf):
-    m = user_device_dates_backfill(events_dev(spark, sf), DS)
-    bits = m.select("user_id", F.transform_values("device_activity", lambda k, v: ac.datelist_bits(v, DS)).alias("b"))
+    m = user_device_dates_backfill(events_dev(spark, sf), day(spark, sf))
+    bits = m.select("user_id", F.transform_values("device_activity", lambda k, v: ac.datelist_bits(v, day(spark, sf))).alias("b"))
     return bits.select("user_id", F.explode("b").alias("browser_type", "datelist_int"))
 
 
@@ -140,10 +152,10 @@ def q_datelist_flags(spark, sf):
 # ---- reduced monthly arrays --------------------------------------------------
 
 _DAILY_BODY = f""",
-days AS (SELECT CAST(unnest(range(0, date_diff('day', DATE '{MONTH}', DATE '{DS}') + 1)) AS INTEGER) AS pos),
-dc AS (SELECT user_id, date_diff('day', DATE '{MONTH}', CAST(event_time AS DATE)) AS pos, count(*) AS n,
+days AS (SELECT CAST(unnest(range(0, date_diff('day', {MONTH}, {DAY}) + 1)) AS INTEGER) AS pos),
+dc AS (SELECT user_id, date_diff('day', {MONTH}, CAST(event_time AS DATE)) AS pos, count(*) AS n,
               sum(value) AS v
-       FROM web_events WHERE user_id IS NOT NULL AND CAST(event_time AS DATE) BETWEEN DATE '{MONTH}' AND DATE '{DS}'
+       FROM web_events WHERE user_id IS NOT NULL AND CAST(event_time AS DATE) BETWEEN {MONTH} AND {DAY}
        GROUP BY 1, 2),
 users AS (SELECT DISTINCT user_id FROM dc),
 grid AS (SELECT u.user_id, d.pos, dc.n, dc.v FROM users u CROSS JOIN days d
@@ -152,8 +164,8 @@ grid AS (SELECT u.user_id, d.pos, dc.n, dc.v FROM users u CROSS JOIN days d
 _DAILY_SQL = with_views("web_events") + _DAILY_BODY
 
 
-def metric_arrays(spark, sf, ds=DS) -> DataFrame:
-    return (ac.metric_array_backfill(events(spark, sf), "user_id", "event_time", ds)
+def metric_arrays(spark, sf, shift=0) -> DataFrame:
+    return (ac.metric_array_backfill(events(spark, sf), "user_id", "event_time", day(spark, sf, shift))
               .withColumn("metric_name", F.lit("site_hits")))
 
 
@@ -164,7 +176,7 @@ def flat_metric(df: DataFrame) -> DataFrame:
 
 
 _METRIC_OUT = f"""
-SELECT user_id, DATE '{MONTH}' AS month_start, 'site_hits' AS metric_name, CAST(count(*) AS INTEGER) AS n_days,
+SELECT user_id, {MONTH} AS month_start, 'site_hits' AS metric_name, CAST(count(*) AS INTEGER) AS n_days,
        string_agg(CAST(coalesce(n, 0) AS VARCHAR), ',' ORDER BY pos) AS metric_list,
        CAST(coalesce(sum(n), 0) AS BIGINT) AS total
 FROM grid GROUP BY user_id"""
@@ -172,43 +184,43 @@ FROM grid GROUP BY user_id"""
 
 @query("metric_array_step", _DAILY_SQL + _METRIC_OUT)
 def q_metric_array_step(spark, sf):
-    prev = metric_arrays(spark, sf, PREV_DS)
-    return flat_metric(ac.metric_array_step(prev, events(spark, sf), "user_id", "event_time", DS))
+    prev = metric_arrays(spark, sf, -1)
+    return flat_metric(ac.metric_array_step(prev, events(spark, sf), "user_id", "event_time", day(spark, sf)))
 
 
-def hit_arrays(spark, sf, ds=DS) -> DataFrame:
-    return ac.hit_array_backfill(events(spark, sf), "user_id", "event_time", ds)
+def hit_arrays(spark, sf, shift=0) -> DataFrame:
+    return ac.hit_array_backfill(events(spark, sf), "user_id", "event_time", day(spark, sf, shift))
 
 
 @query("hit_array_step", _DAILY_SQL + f"""
 SELECT user_id, string_agg(coalesce(CAST(n AS VARCHAR), 'N'), ',' ORDER BY pos) AS hit_list,
-       DATE '{MONTH}' AS month_start,
-       CAST(DATE '{MONTH}' + CAST(min(pos) FILTER (WHERE n IS NOT NULL) AS INTEGER) AS DATE) AS first_found_date,
-       DATE '{DS}' AS date_partition
+       {MONTH} AS month_start,
+       CAST({MONTH} + CAST(min(pos) FILTER (WHERE n IS NOT NULL) AS INTEGER) AS DATE) AS first_found_date,
+       {DAY} AS date_partition
 FROM grid GROUP BY user_id""")
 def q_hit_array_step(spark, sf):
-    prev = hit_arrays(spark, sf, PREV_DS)
-    cur = ac.hit_array_step(prev, events(spark, sf), "user_id", "event_time", DS)
+    prev = hit_arrays(spark, sf, -1)
+    cur = ac.hit_array_step(prev, events(spark, sf), "user_id", "event_time", day(spark, sf))
     return cur.select("user_id", _ints_str("hit_array", "N").alias("hit_list"), "month_start",
                       "first_found_date", "date_partition")
 
 
 @query("metric_array_unpivot", _DAILY_SQL + f"""
-SELECT 'site_hits' AS metric_name, CAST(DATE '{MONTH}' + pos AS DATE) AS adjusted_date,
+SELECT 'site_hits' AS metric_name, CAST({MONTH} + pos AS DATE) AS adjusted_date,
        CAST(coalesce(sum(n), 0) AS BIGINT) AS value FROM grid GROUP BY pos""")
 def q_metric_array_unpivot(spark, sf):
     return ac.metric_array_unpivot(metric_arrays(spark, sf))
 
 
 @query("metric_array_pick", _DAILY_SQL + f"""
-SELECT DATE '{MONTH}' AS month_start,
+SELECT {MONTH} AS month_start,
        CAST(coalesce(sum(n) FILTER (WHERE pos = 0), 0) AS BIGINT) AS num_hits_first_day,
        CAST(coalesce(sum(n) FILTER (WHERE pos = 1), 0) AS BIGINT) AS num_hits_second_day,
        CAST(coalesce(sum(n) FILTER (WHERE pos = 2), 0) AS BIGINT) AS num_hits_third_day
 FROM grid""")
 def q_metric_array_pick(spark, sf):
     return ac.metric_array_pick(hit_arrays(spark, sf), "hit_array", [0, 1, 2],
-                                ["num_hits_first_day", "num_hits_second_day", "num_hits_third_day"], ds=DS)
+                                ["num_hits_first_day", "num_hits_second_day", "num_hits_third_day"], ds=day(spark, sf))
 
 
 @query("metric_array_cardinality", _DAILY_SQL + """
@@ -221,8 +233,8 @@ def q_metric_array_cardinality(spark, sf):
 SELECT user_id, round(corr(coalesce(n, 0), coalesce(v, 0)), 6) AS hits_value_corr FROM grid GROUP BY user_id""")
 def q_array_metric_correlation(spark, sf):
     e = events(spark, sf)
-    hits = ac.metric_array_backfill(e, "user_id", "event_time", DS, name="hits")
-    vals = ac.metric_array_backfill(e, "user_id", "event_time", DS, metric=F.sum("value"),
+    hits = ac.metric_array_backfill(e, "user_id", "event_time", day(spark, sf), name="hits")
+    vals = ac.metric_array_backfill(e, "user_id", "event_time", day(spark, sf), metric=F.sum("value"),
                                     fill=F.lit(0.0), name="vals")
     z = hits.join(vals, ["user_id", "month_start"])
     rows = z.select("user_id", F.inline(F.arrays_zip("hits", "vals")))
@@ -257,18 +269,18 @@ def host_reduced_step(prev: DataFrame, e: DataFrame, ds: str) -> DataFrame:
 
 
 @query("host_reduced_step", with_views("web_events") + f""",
-days AS (SELECT CAST(unnest(range(0, date_diff('day', DATE '{MONTH}', DATE '{DS}') + 1)) AS INTEGER) AS pos),
-hc AS (SELECT host, date_diff('day', DATE '{MONTH}', CAST(event_time AS DATE)) AS pos, count(*) AS n,
+days AS (SELECT CAST(unnest(range(0, date_diff('day', {MONTH}, {DAY}) + 1)) AS INTEGER) AS pos),
+hc AS (SELECT host, date_diff('day', {MONTH}, CAST(event_time AS DATE)) AS pos, count(*) AS n,
               count(DISTINCT user_id) AS u
-       FROM web_events WHERE CAST(event_time AS DATE) BETWEEN DATE '{MONTH}' AND DATE '{DS}' GROUP BY 1, 2),
+       FROM web_events WHERE CAST(event_time AS DATE) BETWEEN {MONTH} AND {DAY} GROUP BY 1, 2),
 hosts AS (SELECT DISTINCT host FROM hc)
-SELECT h.host, DATE '{MONTH}' AS month_start,
+SELECT h.host, {MONTH} AS month_start,
        string_agg(CAST(coalesce(hc.n, 0) AS VARCHAR), ',' ORDER BY d.pos) AS hit_list,
        string_agg(CAST(coalesce(hc.u, 0) AS VARCHAR), ',' ORDER BY d.pos) AS visitors_list
 FROM hosts h CROSS JOIN days d LEFT JOIN hc ON hc.host = h.host AND hc.pos = d.pos GROUP BY h.host""")
 def q_host_reduced_step(spark, sf):
     e = events(spark, sf)
-    cur = host_reduced_step(host_reduced_backfill(e, PREV_DS), e, DS)
+    cur = host_reduced_step(host_reduced_backfill(e, day(spark, sf, -1)), e, day(spark, sf))
     return cur.select("host", "month_start", _ints_str("hit_array").alias("hit_list"),
                       _ints_str("unique_visitors").alias("visitors_list"))
 
@@ -284,8 +296,8 @@ def q_daily_aggregate(spark, sf):
 first_day AS (
   SELECT e.user_id, arg_min(d.browser_type, (e.event_time, e.event_id)) AS browser_type
   FROM web_events e LEFT JOIN web_devices d ON e.device_id = d.device_id
-  WHERE e.user_id IS NOT NULL AND CAST(e.event_time AS DATE) = DATE '{MONTH}' GROUP BY e.user_id)
-SELECT g.user_id, DATE '{MONTH}' AS month_start, f.browser_type, CAST(coalesce(sum(g.n), 0) AS BIGINT) AS total_hits
+  WHERE e.user_id IS NOT NULL AND CAST(e.event_time AS DATE) = {MONTH} GROUP BY e.user_id)
+SELECT g.user_id, {MONTH} AS month_start, f.browser_type, CAST(coalesce(sum(g.n), 0) AS BIGINT) AS total_hits
 FROM grid g LEFT JOIN first_day f ON f.user_id = g.user_id GROUP BY g.user_id, f.browser_type""")
 def q_array_snapshot_join(spark, sf):
     e = events_dev(spark, sf).filter(F.col("user_id").isNotNull())
@@ -301,12 +313,12 @@ def q_array_snapshot_join(spark, sf):
 
 @query("dim_ever_flags", with_views("web_events") + f"""
 SELECT user_id, bool_or(event_type = 'signup') AS has_ever_signup, bool_or(event_type = 'purchase') AS has_ever_purchase,
-       CAST(date_diff('day', max(CAST(event_time AS DATE)), DATE '{DS}') AS INTEGER) AS days_since_last_active,
-       CAST(date_diff('day', min(CAST(event_time AS DATE)) FILTER (WHERE event_type = 'signup'), DATE '{DS}')
+       CAST(date_diff('day', max(CAST(event_time AS DATE)), {DAY}) AS INTEGER) AS days_since_last_active,
+       CAST(date_diff('day', min(CAST(event_time AS DATE)) FILTER (WHERE event_type = 'signup'), {DAY})
             AS INTEGER) AS days_since_signup
-FROM web_events WHERE user_id IS NOT NULL AND CAST(event_time AS DATE) <= DATE '{DS}' GROUP BY user_id""")
+FROM web_events WHERE user_id IS NOT NULL AND CAST(event_time AS DATE) <= {DAY} GROUP BY user_id""")
 def q_dim_ever_flags(spark, sf):
-    return ac.dim_ever_flags(events(spark, sf), "user_id", "event_time", DS, "event_type", ["signup", "purchase"])
+    return ac.dim_ever_flags(events(spark, sf), "user_id", "event_time", day(spark, sf), "event_type", ["signup", "purchase"])
 
 
 @query("dim_state_vs_activity", with_views("web_events") + """,

@@ -6,13 +6,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dimforge.operators import cumulation as cu
+from dimforge.operators import loads as ld
 from dimforge.operators.common import fold_steps
+from dimforge.operators.published import PublishedTable, one_row_per
 from dimforge.plans import query
+from dimforge.plans.periods import NO_YEAR, YEAR, year
+from dimforge.session import scratch_path
 from dimforge.sources import tables as tb
 from dimforge.sources.oracle_views import with_views
 
-HI = 2001            # last season of the driver data
-STEP = 2000          # the period built by the step queries
 S_STRUCT = ("season", "gp", "pts")
 S_STATIC = ("player_name", "country", "college")
 F_STRUCT = ("filmid", "film", "votes", "rating")
@@ -23,8 +25,15 @@ _FTIER_SQL = ("CASE WHEN {c} > 8 THEN 'star' WHEN {c} > 7 THEN 'good' "
               "WHEN {c} > 6 THEN 'average' ELSE 'bad' END")
 
 
-def season_backfill(spark, sf, hi=HI) -> DataFrame:
-    return cu.cumulate_backfill(tb.seasons(spark, sf), "player_id", "season", hi, S_STRUCT, S_STATIC,
+def season_backfill(spark, sf, shift=0) -> DataFrame:
+    """All snapshots up to the run's year, ``shift`` years on."""
+    return cu.cumulate_backfill(tb.seasons(spark, sf), "player_id", "season", year(spark, sf) + shift, S_STRUCT, S_STATIC,
+                                "pts", tb.SEASON_TIERS)
+
+
+def season_snapshot(spark, sf, period: int) -> DataFrame:
+    """The snapshot of one year, each player's history collected once."""
+    return cu.cumulate_snapshot(tb.seasons(spark, sf), "player_id", "season", period, S_STRUCT, S_STATIC,
                                 "pts", tb.SEASON_TIERS)
 
 
@@ -41,9 +50,9 @@ def flat_seasons(snap: DataFrame) -> DataFrame:
 _BACKFILL_SQL = with_views("seasons") + f""",
 first AS (SELECT player_id, min(season) AS first_season, max(player_name) AS player_name,
                  max(country) AS country, max(college) AS college
-          FROM seasons WHERE season <= {HI} GROUP BY player_id),
+          FROM seasons WHERE season <= {YEAR} GROUP BY player_id),
 spine AS (SELECT player_id, player_name, country, college,
-                 CAST(unnest(range(first_season, {HI + 1})) AS INTEGER) AS current_season FROM first),
+                 CAST(unnest(range(first_season, {YEAR} + 1)) AS INTEGER) AS current_season FROM first),
 hist AS (SELECT s.player_id, s.current_season, CAST(count(*) AS INTEGER) AS n_seasons,
                 string_agg(CAST(p.season AS VARCHAR), ',' ORDER BY p.season) AS season_list,
                 max(p.season) AS last_season, arg_max(p.pts, p.season) AS last_pts
@@ -63,22 +72,32 @@ def q_cumulate_backfill(spark, sf):
     return flat_seasons(season_backfill(spark, sf))
 
 
-def _step(spark, sf, guard: bool) -> DataFrame:
-    prev = season_backfill(spark, sf, STEP - 1)
-    if guard:
-        cu.cumulate_chain_guard(prev, "current_season", STEP, first_period=1995)
-    return cu.cumulate_step(prev, tb.seasons(spark, sf), "player_id", "season", STEP, S_STRUCT,
+def season_step(spark, sf, prev: DataFrame) -> DataFrame:
+    return cu.cumulate_step(prev, tb.seasons(spark, sf), "player_id", "season", year(spark, sf), S_STRUCT,
                             S_STATIC, "pts", tb.SEASON_TIERS)
 
 
-@query("cumulate_step", _BACKFILL_SQL + f"SELECT * FROM snap WHERE current_season = {STEP}")
+@query("cumulate_step", _BACKFILL_SQL + f"SELECT * FROM snap WHERE current_season = {YEAR}")
 def q_cumulate_step(spark, sf):
-    return flat_seasons(_step(spark, sf, guard=False))
+    """The step reads the stored snapshot of the year before."""
+    before = season_snapshot(spark, sf, year(spark, sf) - 1)
+    stored = spark.read.parquet(ld.replace_table(spark, before, "season-snapshot"))
+    return flat_seasons(season_step(spark, sf, stored))
 
 
-@query("cumulate_chain_guard", _BACKFILL_SQL + f"SELECT * FROM snap WHERE current_season = {STEP}")
+@query("cumulate_chain_guard", _BACKFILL_SQL + f"""
+SELECT *, (SELECT count(*) FROM snap WHERE current_season = {YEAR} - 1) AS n_before
+FROM snap WHERE current_season = {YEAR}""")
 def q_cumulate_chain_guard(spark, sf):
-    return flat_seasons(_step(spark, sf, guard=True))
+    """The guarded chain of published years: the rows of the year before come
+    from the manifest, as the guard's answer does."""
+    last = year(spark, sf)
+    chain = PublishedTable(spark, scratch_path(spark, "season-chain"), "current_season")
+    checks = {"one row per player": one_row_per("player_id")}
+    chain.load(season_snapshot(spark, sf, last - 1), [last - 1], checks)
+    cu.cumulate_chain_guard(chain, last, first_period=NO_YEAR)
+    chain.load(season_step(spark, sf, chain.read([last - 1])), [last], checks)
+    return flat_seasons(chain.read([last])).withColumn("n_before", F.lit(chain.partitions()[str(last - 1)]).cast("bigint"))
 
 
 @query("tier_classify", with_views("seasons") + f"""
@@ -101,17 +120,17 @@ def q_tier_classify_avg(spark, sf):
 @query("first_last_ratio", with_views("seasons") + f"""
 SELECT player_id, round(arg_max(pts, season) / CASE WHEN arg_min(pts, season) = 0 THEN 1
                                                     ELSE arg_min(pts, season) END, 6) AS ratio
-FROM seasons WHERE season <= {HI} GROUP BY player_id""")
+FROM seasons WHERE season <= {YEAR} GROUP BY player_id""")
 def q_first_last_ratio(spark, sf):
-    snap = season_backfill(spark, sf).filter(F.col("current_season") == HI)
+    snap = season_snapshot(spark, sf, year(spark, sf))
     r = cu.first_last_ratio(snap, "seasons", "pts")
     return r.select("player_id", F.round("ratio", 6).alias("ratio"))
 
 
 @query("history_explode", with_views("seasons") + f"""
-SELECT player_id, season, gp, pts FROM seasons WHERE season <= {HI}""")
+SELECT player_id, season, gp, pts FROM seasons WHERE season <= {YEAR}""")
 def q_history_explode(spark, sf):
-    snap = season_backfill(spark, sf).filter(F.col("current_season") == HI)
+    snap = season_snapshot(spark, sf, year(spark, sf))
     return cu.history_explode(snap, ["player_id"], "seasons")
 
 
@@ -132,9 +151,10 @@ def q_enum_check(spark, sf):
     return bad.groupBy("scoring_class").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
-def films_chain(spark, sf, first: int | None = None, last: int = STEP) -> DataFrame:
-    """All steps from the first year there is (or ``first``) to ``last``."""
+def films_chain(spark, sf, first: int | None = None, last: int | None = None) -> DataFrame:
+    """All steps from the first year there is (or ``first``) to ``last`` (or the run's year)."""
     fl = tb.films(spark, sf)
+    last = year(spark, sf) if last is None else last
     if first is None:
         first = fl.agg(F.min("year")).first()[0] or last
     snap = cu.empty_multi_snapshot(fl, "actorid", "year", F_STRUCT, ["actor"])
@@ -144,14 +164,14 @@ def films_chain(spark, sf, first: int | None = None, last: int = STEP) -> DataFr
 
 
 @query("cumulate_step_multi", with_views("films") + f"""
-, win AS (SELECT * FROM films WHERE year <= {STEP}),
+, win AS (SELECT * FROM films WHERE year <= {YEAR}),
 newest AS (SELECT actorid, max(year) AS y FROM win GROUP BY actorid),
 rated AS (SELECT w.actorid, n.y, avg(w.rating) AS a FROM win w JOIN newest n ON n.actorid = w.actorid AND n.y = w.year
           GROUP BY w.actorid, n.y)
 SELECT w.actorid, max(w.actor) AS actor, CAST(count(*) AS INTEGER) AS n_films,
        string_agg(CAST(w.filmid AS VARCHAR), ',' ORDER BY w.year, w.filmid) AS film_ids,
        {_FTIER_SQL.format(c='max(r.a)')} AS quality_class,
-       max(r.y) = {STEP} AS is_active, {STEP} AS current_year
+       max(r.y) = {YEAR} AS is_active, {YEAR} AS current_year
 FROM win w JOIN rated r ON r.actorid = w.actorid
 GROUP BY w.actorid""")
 def q_cumulate_step_multi(spark, sf):

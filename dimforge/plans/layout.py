@@ -8,12 +8,12 @@ from pyspark.sql import functions as F
 
 from dimforge.operators import layout as lo
 from dimforge.plans import query
+from dimforge.plans.periods import DAY, day
 from dimforge.session import scratch_path
 from dimforge.sources import tables as tb
 from dimforge.sources.oracle_views import with_views
 
 RENAMES = {"browser_type": "browser", "os_type": "os", "device_type": "device"}
-DS = "2024-01-30"
 
 
 @query("enrich_left_join", with_views("web_events", "web_devices") + """
@@ -120,16 +120,16 @@ def q_write_time_partitioned(spark, sf):
 
 
 @query("write_ds_partitioned", with_views("web_events") + f"""
-SELECT '{DS}' AS ds, user_id, device_id, count(*) AS event_counts
-FROM web_events WHERE user_id IS NOT NULL AND CAST(event_time AS DATE) = DATE '{DS}' GROUP BY user_id, device_id""")
+SELECT CAST({DAY} AS VARCHAR) AS ds, user_id, device_id, count(*) AS event_counts
+FROM web_events WHERE user_id IS NOT NULL AND CAST(event_time AS DATE) = {DAY} GROUP BY user_id, device_id""")
 def q_write_ds_partitioned(spark, sf):
-    d0 = F.lit(DS).cast("date")
+    d0 = F.lit(day(spark, sf)).cast("date")
     e = tb.web_events(spark, sf).filter((F.col("event_time") >= d0.cast("timestamp_ntz")) &
                                         (F.col("event_time") < F.date_add(d0, 1).cast("timestamp_ntz")))
     a = (e.filter(F.col("user_id").isNotNull()).groupBy("user_id", "device_id")
-          .agg(F.count(F.lit(1)).alias("event_counts")).withColumn("ds", F.lit(DS)))
+          .agg(F.count(F.lit(1)).alias("event_counts")).withColumn("ds", F.lit(day(spark, sf))))
     p = lo.write_parquet(a, scratch_path(spark, "events-agg-ds"), ["ds"])
-    back = spark.read.parquet(p).filter(F.col("ds") == DS)
+    back = spark.read.parquet(p).filter(F.col("ds") == day(spark, sf))
     return back.select(F.col("ds").cast("string").alias("ds"), "user_id", "device_id", "event_counts")
 
 

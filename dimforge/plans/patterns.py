@@ -7,12 +7,13 @@ from pyspark.sql import functions as F
 
 from dimforge.operators import patterns as pa
 from dimforge.plans import query
+from dimforge.plans.activity import chained
+from dimforge.plans.periods import DAY, day
 from dimforge.plans.cumulation import _BACKFILL_SQL, season_backfill
 from dimforge.plans.facts import _CONFORM_SQL, conform
 from dimforge.sources import tables as tb
 from dimforge.sources.oracle_views import with_views
 
-DS = "2024-01-30"
 FUNNEL_TARGET = "/purchase"
 FUNNEL_MIN = 100
 TREND_MIN_TOTAL = 250
@@ -21,14 +22,14 @@ STREAK_PTS = 10
 
 
 def growth(spark, sf) -> DataFrame:
-    return pa.growth_accounting(tb.web_events(spark, sf), "user_id", "event_time", DS)
+    return pa.growth_accounting(tb.web_events(spark, sf), "user_id", "event_time", day(spark, sf))
 
 
 _GROWTH_SQL = with_views("web_events") + f""",
 act AS (SELECT DISTINCT user_id, CAST(event_time AS DATE) AS d FROM web_events
-        WHERE user_id IS NOT NULL AND CAST(event_time AS DATE) <= DATE '{DS}'),
+        WHERE user_id IS NOT NULL AND CAST(event_time AS DATE) <= {DAY}),
 fst AS (SELECT user_id, min(d) AS fa FROM act GROUP BY user_id),
-spine AS (SELECT user_id, fa, CAST(unnest(generate_series(fa, DATE '{DS}', INTERVAL 1 DAY)) AS DATE) AS date FROM fst),
+spine AS (SELECT user_id, fa, CAST(unnest(generate_series(fa, {DAY}, INTERVAL 1 DAY)) AS DATE) AS date FROM fst),
 g AS (SELECT s.user_id, s.fa, s.date, CASE WHEN a.d IS NOT NULL THEN s.date END AS today
       FROM spine s LEFT JOIN act a ON a.user_id = s.user_id AND a.d = s.date),
 h AS (SELECT *, max(today) OVER (PARTITION BY user_id ORDER BY date ROWS UNBOUNDED PRECEDING) AS last_active_date,
@@ -61,17 +62,18 @@ def q_growth_accounting(spark, sf):
 @query("growth_accounting_step", _GROWTH_SQL + f""",
 days AS (SELECT user_id, string_agg(DISTINCT CAST(CAST(event_time AS DATE) AS VARCHAR), ','
                                     ORDER BY CAST(CAST(event_time AS DATE) AS VARCHAR)) AS date_list
-         FROM web_events WHERE user_id IS NOT NULL AND CAST(event_time AS DATE) <= DATE '{DS}' GROUP BY user_id)
+         FROM web_events WHERE user_id IS NOT NULL AND CAST(event_time AS DATE) <= {DAY} GROUP BY user_id)
 SELECT g.user_id, g.first_active_date, g.last_active_date, g.daily_active_state, g.weekly_active_state, d.date_list, g.date
-FROM growth g JOIN days d ON d.user_id = g.user_id WHERE g.date = DATE '{DS}'""")
+FROM growth g JOIN days d ON d.user_id = g.user_id WHERE g.date = {DAY}""")
 def q_growth_accounting_step(spark, sf):
     """The table of the day before, with its date lists, taken one day on."""
     e = tb.web_events(spark, sf)
-    before = F.date_sub(F.lit(DS).cast("date"), 1)
+    before = F.date_sub(F.lit(day(spark, sf)).cast("date"), 1)
     lists = (e.filter(F.col("user_id").isNotNull() & (F.to_date("event_time") <= before))
               .groupBy("user_id").agg(F.array_sort(F.collect_set(F.to_date("event_time"))).alias("dates_active")))
     prev = growth(spark, sf).filter(F.col("date") == before).join(lists, "user_id")
-    step = pa.growth_accounting_step(prev, e, "user_id", "event_time", DS)
+    step = chained(spark, sf, prev, "user_id", lambda chain, ds: pa.growth_accounting_step(
+        chain, e, "user_id", "event_time", ds))
     return step.select("user_id", "first_active_date", "last_active_date", "daily_active_state", "weekly_active_state",
                        F.array_join(F.transform("dates_active", lambda d: d.cast("string")), ",").alias("date_list"),
                        "date")

@@ -8,12 +8,11 @@ from pyspark.sql import functions as F
 from dimforge.operators import cumulation as cu
 from dimforge.operators import scd
 from dimforge.plans import query
-from dimforge.plans.cumulation import _BACKFILL_SQL, _TIER_SQL, HI, season_backfill
+from dimforge.plans.cumulation import _BACKFILL_SQL, _TIER_SQL, season_backfill
+from dimforge.plans.periods import YEAR, year
 from dimforge.sources import tables as tb
 from dimforge.sources.oracle_views import with_views
 
-PREV = HI - 1
-
 
 def streak_sql(src: str, key: str, period: str, tracked: list[str], extra: str = "") -> str:
     """DuckDB gaps-and-islands: one row per (key, streak) with start/end."""
@@ -28,8 +27,8 @@ FROM (SELECT *, sum(c) OVER (PARTITION BY {key} ORDER BY {period} ROWS UNBOUNDED
 GROUP BY {key}, sid, {tl}"""
 
 
-def snapshot(spark, sf, hi=HI) -> DataFrame:
-    return season_backfill(spark, sf, hi).select("player_id", "scoring_class", "is_active", "current_season")
+def snapshot(spark, sf, shift=0) -> DataFrame:
+    return season_backfill(spark, sf, shift).select("player_id", "scoring_class", "is_active", "current_season")
 
 
 def raw_tiers(spark, sf) -> DataFrame:
@@ -48,21 +47,22 @@ def q_scd2_backfill(spark, sf):
 
 
 _MULTI_SQL = _BACKFILL_SQL + streak_sql("snap", "player_id", "current_season", ["scoring_class", "is_active"],
-                                        extra=f", {HI} AS current_season")
+                                        extra=f", {YEAR} AS current_season")
 
 
 @query("scd2_backfill_multi", _MULTI_SQL)
 def q_scd2_backfill_multi(spark, sf):
     return scd.scd2_backfill(snapshot(spark, sf), "player_id", "current_season",
-                             ["scoring_class", "is_active"], current=HI)
+                             ["scoring_class", "is_active"], current=year(spark, sf))
 
 
 @query("scd2_incremental", _MULTI_SQL)
 def q_scd2_incremental(spark, sf):
-    prev = scd.scd2_backfill(snapshot(spark, sf, PREV), "player_id", "current_season",
-                             ["scoring_class", "is_active"], current=PREV)
+    hi = year(spark, sf)
+    prev = scd.scd2_backfill(snapshot(spark, sf, -1), "player_id", "current_season",
+                             ["scoring_class", "is_active"], current=hi - 1)
     return scd.scd2_incremental(prev, snapshot(spark, sf), "player_id", ["scoring_class", "is_active"],
-                                PREV, HI, "current_season")
+                                hi - 1, hi, "current_season")
 
 
 def extend_open(s: DataFrame, key: str, p: int) -> DataFrame:
@@ -75,15 +75,16 @@ def extend_open(s: DataFrame, key: str, p: int) -> DataFrame:
 
 @query("scd2_incremental_inactive", _RAW_SQL + f""", st AS ({streak_sql("raw", "player_id", "season", ["scoring_class"])})
 SELECT player_id, scoring_class, start_season,
-       coalesce(lead(start_season) OVER (PARTITION BY player_id ORDER BY start_season) - 1, {HI})
-         AS end_season, {HI} AS current_season
+       coalesce(lead(start_season) OVER (PARTITION BY player_id ORDER BY start_season) - 1, {YEAR})
+         AS end_season, {YEAR} AS current_season
 FROM st""")
 def q_scd2_incremental_inactive(spark, sf):
+    hi = year(spark, sf)
     raw = raw_tiers(spark, sf)
-    prev = scd.scd2_backfill(raw.filter(F.col("season") <= PREV), "player_id", "season", ["scoring_class"],
-                             current=PREV)
-    prev = extend_open(prev, "player_id", PREV)
-    return scd.scd2_incremental(prev, raw, "player_id", ["scoring_class"], PREV, HI, "season",
+    prev = scd.scd2_backfill(raw.filter(F.col("season") <= hi - 1), "player_id", "season", ["scoring_class"],
+                             current=hi - 1)
+    prev = extend_open(prev, "player_id", hi - 1)
+    return scd.scd2_incremental(prev, raw, "player_id", ["scoring_class"], hi - 1, hi, "season",
                                 extend_absent=True)
 
 
@@ -94,7 +95,7 @@ def q_scd_asof_join(spark, sf):
     sc = scd.scd2_backfill(snapshot(spark, sf), "player_id", "current_season", ["scoring_class"])
     facts = tb.read(spark, sf, "orders").select("o_orderkey", "o_custkey",
                                                  F.year("o_orderdate").alias("order_year"))
-    j = scd.scd_asof_join(facts, sc, "o_custkey", "player_id", "order_year", current_end=HI)
+    j = scd.scd_asof_join(facts, sc, "o_custkey", "player_id", "order_year", current_end=year(spark, sf))
     return j.select("o_orderkey", "o_custkey", "order_year", "scoring_class")
 
 

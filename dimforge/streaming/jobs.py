@@ -2,12 +2,15 @@
 
 Every transformation is a plain DataFrame function, so the same code runs on
 a ``readStream`` frame (with the watermark enforced) and on a static frame
-(the batch twin used for checking: ``withWatermark`` is a no-op there).
+(``withWatermark`` is a no-op there). ``replay`` runs it as a stream over a
+stored table that arrives in slices of event time.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import json
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +18,8 @@ from pyspark.sql import types as T
 
 from dimforge.functions.columns import ip_number, ip_of
 from dimforge.operators.common import number_islands
+from dimforge.operators.loads import load_merge_upsert
+from dimforge.operators.published import PublishedTable
 from dimforge.session import scratch_path
 from dimforge.sources import tables as tb
 
@@ -141,23 +146,122 @@ def events_stream(spark: SparkSession, sf_dir: str, table: str = "events") -> Da
                  .load(sf_dir))
 
 
-def run_available_now(df: DataFrame, spark: SparkSession, name: str, mode: str = "append",
-                      partition_by: Sequence[str] = ()) -> str:
-    """Run a streaming frame to completion (``availableNow``) into a parquet table via ``foreachBatch``.
+@dataclass
+class StreamRun:
+    """One streaming query's lasting places: its source folder, checkpoint and
+    sink. Every ``run`` continues where the last one stopped."""
 
-    Each micro-batch is written with its batch id as a partition, so a
-    replayed batch after a failure overwrites itself instead of appending
-    twice (dynamic partition overwrite). Returns the table path.
-    """
-    out = scratch_path(spark, f"{name}-sink")
-    ckpt = scratch_path(spark, f"{name}-checkpoint")
+    spark: SparkSession
+    name: str
+    root: str = ""
+    dropped: int = 0      # rows behind the watermark, of all runs
+
+    def __post_init__(self) -> None:
+        self.root = self.root or scratch_path(self.spark, self.name)
+
+    @property
+    def source(self) -> str:
+        return f"{self.root}/source"
+
+    @property
+    def sink(self) -> str:
+        return f"{self.root}/sink"
+
+    def arrive(self, rows: DataFrame) -> None:
+        """New files of the topic."""
+        rows.write.mode("append").parquet(self.source)
 
-    def write(batch: DataFrame, batch_id: int) -> None:
+    def stream(self, schema: T.StructType) -> DataFrame:
+        return self.spark.readStream.schema(schema).parquet(self.source)
+
+    def run(self, df: DataFrame, mode: str = "append", write: Callable[[DataFrame, int], None] | None = None) -> None:
+        """Process what has arrived (``availableNow``), then stop."""
+        q = (df.writeStream.outputMode(mode).option("checkpointLocation", f"{self.root}/checkpoint")
+               .foreachBatch(write or self.write_batch).trigger(availableNow=True).start())
+        q.awaitTermination()
+        for p in q.recentProgress:
+            self.dropped += sum(s["numRowsDroppedByWatermark"] for s in json.loads(p.json)["stateOperators"])
+
+    def write_batch(self, batch: DataFrame, batch_id: int) -> None:
+        """Append sink: each micro-batch is a partition, so a replayed batch
+        overwrites itself instead of appending twice."""
         (batch.withColumn("_batch", F.lit(batch_id)).write.mode("overwrite")
-              .option("partitionOverwriteMode", "dynamic")
-              .partitionBy("_batch", *partition_by).parquet(out))
+              .option("partitionOverwriteMode", "dynamic").partitionBy("_batch").parquet(self.sink))
+
+    def result(self, schema: T.StructType) -> DataFrame:
+        kinds = T.StructType([*schema.fields, T.StructField("_batch", T.IntegerType())])
+        return self.spark.read.schema(kinds).parquet(self.sink).drop("_batch")
+
+
+def time_slices(rows: DataFrame, ts: str, n: int) -> list[DataFrame]:
+    """``rows`` cut at ``n - 1`` equally spaced event times; rows without one
+    come first. Each slice is read through a pushed range filter."""
+    low, high = rows.agg(F.min(ts), F.max(ts)).first()
+    if n == 1 or low is None or low == high:
+        return [rows]
+    cuts = [low + (high - low) * i / n for i in range(1, n)]
+    at = [F.lit(c).cast(rows.schema[ts].dataType) for c in cuts]
+    within = [F.col(ts).isNull() | (F.col(ts) < at[0]),
+              *[(F.col(ts) >= a) & (F.col(ts) < b) for a, b in zip(at, at[1:])], F.col(ts) >= at[-1]]
+    return [rows.filter(w) for w in within]
+
+
+def replay(spark: SparkSession, name: str, rows: DataFrame, build: Callable[[DataFrame], DataFrame], ts: str = "event_time",
+           slices: int = 3, closing: dict | None = None, mode: str = "append",
+           write: Callable[[DataFrame, int], None] | None = None, run: StreamRun | None = None) -> StreamRun:
+    """Run ``build`` as a stream over a stored table that arrives in slices of
+    event time, one run per slice on one checkpoint, with state and watermark.
+
+    With ``closing`` (values of some columns) the last slice ends with a row a
+    year after the last event, which moves the watermark past all windows; the
+    window of that row itself stays open.
+    """
+    run = run or StreamRun(spark, name)
+    parts = time_slices(rows, ts, slices)
+    if closing is not None:
+        last = rows.agg(F.max(ts).alias("last")).filter("last IS NOT NULL")
+        end = last.select(*[((F.col("last") + F.expr("INTERVAL 1 YEAR")) if c == ts else F.lit(closing.get(c)))
+                            .cast(rows.schema[c].dataType).alias(c) for c in rows.columns])
+        parts[-1] = parts[-1].unionByName(end)
+    for part in parts:
+        run.arrive(part)
+        run.run(build(run.stream(rows.schema)), mode, write)
+    return run
+
+
+class KeyedSink:
+    """``foreachBatch`` sink for update mode: the newest row of each key.
+
+    The rows a batch brings are merged into the partitions they fall into, and
+    these are published at once together with the batch id. A batch that was
+    published, but not yet committed to the query's checkpoint, comes again
+    after a restart; its id is in the manifest, so nothing is written. Only
+    partitions with new rows are rewritten.
+    """
 
-    q = (df.writeStream.outputMode(mode).option("checkpointLocation", ckpt)
-           .foreachBatch(write).trigger(availableNow=True).start())
-    q.awaitTermination()
-    return out
+    def __init__(self, spark: SparkSession, root: str, keys: Sequence[str], partition: str):
+        self.table, self.keys = PublishedTable(spark, root, partition), list(keys)
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        now = self.table.manifest()
+        if now["token"] is not None and now["token"] >= batch_id:
+            # its rows are there; it is still run, as that is what commits the state store
+            batch.write.format("noop").mode("overwrite").save()
+            return
+        batch = batch.persist()      # read for its partitions and for the merge
+        try:
+            touched = [r[0] for r in batch.select(self.table.partition).distinct().collect()]
+            if not touched:
+                return
+            rows = batch if now["schema"] is None else load_merge_upsert(self.table.read(touched), batch, self.keys)
+            self.table.load(rows.select(*batch.columns), touched, token=batch_id)
+        finally:
+            batch.unpersist()
+
+
+def run_available_now(df: DataFrame, spark: SparkSession, name: str, mode: str = "append", root: str = "") -> str:
+    """Run a streaming frame to completion (``availableNow``) into a parquet
+    table; a named ``root`` continues an earlier run. Returns the table path."""
+    run = StreamRun(spark, name, root)
+    run.run(df, mode)
+    return run.sink

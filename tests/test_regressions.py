@@ -128,13 +128,6 @@ def test_enum_enforcement_fails_the_write(spark):
         cu.enforce_enum(df, "c", ["star"]).collect()
 
 
-def test_chain_guard_refuses_gap(spark):
-    prev = spark.createDataFrame([Row(current_season=1998)])
-    with pytest.raises(cu.MissingPeriodError):
-        cu.cumulate_chain_guard(prev, "current_season", 2000, first_period=1995)
-    cu.cumulate_chain_guard(prev, "current_season", 1999, first_period=1995)
-
-
 def test_islands_cross_chunk_boundaries(spark):
     from dimforge.operators import layout as lo
     from dimforge.streaming import jobs as st
