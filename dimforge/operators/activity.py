@@ -224,6 +224,25 @@ def dim_state_vs_activity(events: DataFrame, key: str, ts: str) -> DataFrame:
                        F.sum("new_users").over(w).alias("activated_users"))
 
 
+def visitor_bitmaps(events: DataFrame, keys: Sequence[str], ts: str, ident: str) -> DataFrame:
+    """Who was there, per (keys, day): exact sets of ids that can be merged.
+
+    An id is one bit in the bitmap of its bucket (32,768 ids), so a set is a
+    few rows of at most 4 KB, built with map-side combine. Unlike counts of
+    distinct ids, the rows add up over days and keys: see ``visitors``.
+    """
+    e = events.filter(F.col(ident).isNotNull())
+    return (e.groupBy(*keys, day_of(ts).alias("date"), F.bitmap_bucket_number(ident).alias("bucket"))
+             .agg(F.bitmap_construct_agg(F.bitmap_bit_position(ident)).alias("bitmap")))
+
+
+def visitors(bitmaps: DataFrame, by: Sequence[str | Column], name: str = "visitors") -> DataFrame:
+    """Distinct ids per ``by`` from stored bitmaps: OR per bucket, then add up the bits."""
+    merged = bitmaps.groupBy(*by, "bucket").agg(F.bitmap_or_agg("bitmap").alias("_b"))
+    groups = [c for c in merged.columns if c not in ("bucket", "_b")]
+    return merged.groupBy(*groups).agg(F.sum(F.bitmap_count("_b")).alias(name))
+
+
 def additivity_check(df: DataFrame, dim: str, ident: str) -> DataFrame:
     """Is sum over groups of distinct ids equal to distinct ids overall?
 

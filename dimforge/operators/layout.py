@@ -151,9 +151,13 @@ def rle_runs(df: DataFrame, part: Sequence[str], order: Sequence[str], col: str,
                 .drop("_run"))
 
 
-def write_bucketed(spark: SparkSession, df: DataFrame, n: int, key: str, name: str) -> str:
-    """``bucketBy(n, key).sortBy(key)`` as an external table under the shared folder."""
+def write_bucketed(spark: SparkSession, df: DataFrame, n: int, key: str, name: str,
+                   partition_by: Sequence[str] = ()) -> str:
+    """``bucketBy(n, key).sortBy(key)`` as an external table under the shared folder, its files
+    dealt by ``partition_by`` first: a join on the key reads whole buckets of the partitions it needs."""
+    if partition_by:      # a task holds one bucket, so each partition has one file per bucket
+        df = df.repartition(n, key)
     table = f"{name}_{scratch_path(spark, 't').rsplit('-', 1)[-1]}"
-    (df.write.mode("overwrite").bucketBy(n, key).sortBy(key)
+    (df.write.mode("overwrite").partitionBy(*partition_by).bucketBy(n, key).sortBy(key)
        .option("path", scratch_path(spark, table)).saveAsTable(table))
     return table

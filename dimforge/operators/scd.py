@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from dimforge.operators.common import streak_id
 
@@ -65,23 +66,85 @@ def scd2_incremental(scd: DataFrame, today: DataFrame, key: str, tracked: Sequen
     return hist.unionByName(cur).withColumn(current_col, F.lit(p))
 
 
-def scd_asof_join(facts: DataFrame, scd: DataFrame, fact_key: str, scd_key: str, fact_period,
+CHUNK_PERIODS = 64      # periods (years, days) that one task looks through for a key
+SALTS = 8               # tasks that may share the facts of one key and chunk
+
+
+def _chunk(period: Column, kind: T.DataType) -> Column:
+    """A coarse number that grows with the period."""
+    days = F.datediff(period, F.lit("1970-01-01").cast("date")) if isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)) else period
+    return F.floor(days / CHUNK_PERIODS).cast("bigint")
+
+
+def scd_asof_join(facts: DataFrame, scd: DataFrame, fact_key: str, scd_key: str, fact_period: str,
                   start: str = "start_season", end: str = "end_season",
                   current_end: int | None = None) -> DataFrame:
-    """Point-in-time lookup: ``fact_period BETWEEN start AND end`` on the entity key.
+    """Point-in-time lookup: the version of the entity with ``start <= fact_period <= end``.
+
+    No range join: facts and versions are one stream of rows, ordered by
+    period, in which each fact takes the last version before it. The stream is
+    cut into (key, chunk of periods); the version a chunk begins with comes
+    from an aggregate of the versions per chunk. Facts are salted, versions
+    stand in every salt, so neither a key with many versions nor one with many
+    facts is one task's work, and both are read once. Versions of a key do not
+    overlap (where they did, the last to begin would count). ``current_end``
+    marks the still-open rows (``end == current_end``), which hold on. Facts
+    with a null key or period, and those that no version covers, have nulls.
+    """
+    vals = [c for c in scd.columns if c != scd_key]
+    until = F.col(end) if current_end is None else F.when(F.col(end) == current_end, F.lit(OPEN_END)).otherwise(F.col(end))
+    kind = facts.schema[fact_period].dataType
+    s = (scd.withColumn(end, until).select(F.col(scd_key).alias("_k"), F.col(start).cast(kind).alias("_p"), F.struct(*vals).alias("_v"))
+            .withColumn("_c", _chunk(F.col("_p"), kind)))
+    f = facts.select(F.col(fact_key).alias("_k"), F.col(fact_period).alias("_p"), F.struct(*facts.columns).alias("_f"))
+    f = f.withColumn("_c", _chunk(F.col("_p"), kind)).withColumn("_s", F.pmod(F.xxhash64("_f"), F.lit(SALTS)).cast("int"))
+    # what every chunk with rows begins with: a running last over one row per (key, chunk)
+    last = s.groupBy("_k", "_c").agg(F.max_by("_v", "_p").alias("_last"))
+    chunks = (last.unionByName(f.select("_k", "_c").distinct(), allowMissingColumns=True)
+                  .groupBy("_k", "_c").agg(F.first("_last", ignorenulls=True).alias("_last")))
+    before = Window.partitionBy("_k").orderBy("_c").rowsBetween(Window.unboundedPreceding, -1)
+    heads = chunks.select("_k", "_c", F.last("_last", ignorenulls=True).over(before).alias("_v")).filter("_v IS NOT NULL")
+    versions = heads.withColumn("_p", F.lit(None).cast(kind)).unionByName(s.select("_k", "_c", "_v", "_p"))
+    versions = versions.withColumn("_s", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))).withColumn("_n", F.lit(0))
+    rows = versions.unionByName(f.withColumn("_n", F.lit(1)), allowMissingColumns=True)
+    # heads (no period) first, then versions before the facts of their period
+    order = Window.partitionBy("_k", "_c", "_s").orderBy(F.col("_p").asc_nulls_first(), "_n")
+    found = (rows.withColumn("_v", F.last("_v", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, 0)))
+                 .filter("_f IS NOT NULL"))
+    holds = F.col("_p") <= F.col(f"_v.{end}").cast(kind)
+    return found.select("_f.*", F.when(holds, F.col("_v")).alias("_v")).select(*facts.columns, *[F.col(f"_v.{c}").alias(c) for c in vals])
+
+
+def scd2_history(df: DataFrame, key: str, period: str, tracked: Sequence[str], start: str = "start_season",
+                 end: str = "end_season", periods: str = "periods") -> DataFrame:
+    """``scd2_backfill`` with the periods each streak was seen in, as
+    ``scd2_splice`` needs them (at most one per period of the table)."""
+    s = streak_id(df.select(key, period, *tracked), key, period, tracked)
+    return (s.groupBy(key, "streak_id", *tracked)
+             .agg(F.min(period).alias(start), F.max(period).alias(end), F.array_sort(F.collect_list(period)).alias(periods))
+             .drop("streak_id"))
+
+
+def scd2_splice(scd: DataFrame, changes: DataFrame, key: str, period: str, tracked: Sequence[str],
+                start: str = "start_season", end: str = "end_season", periods: str = "periods") -> DataFrame:
+    """Put values of any periods, past ones too, into stored streaks.
 
-    Equi-join on the key plus a range residual: per key the SCD side holds
-    one row per streak, so the residual scans a bounded list. ``current_end``
-    re-labels the still-open rows (``end == current_end``) to end 9999-style
-    so later facts still match them.
+    ``changes`` has one row per (key, period). A streak that holds the period
+    with other values is split around it, the value becomes a streak of its
+    own, and neighbours with equal values grow together. Keys whose stored
+    value is the same already, or that do not occur, pass through as they are;
+    only the others' streaks are taken apart. Loading all periods in any order
+    ends in ``scd2_backfill``'s streaks.
     """
-    s = scd
-    if current_end is not None:
-        s = s.withColumn(end, F.when(F.col(end) == current_end, F.lit(OPEN_END)).otherwise(F.col(end)))
-    s = s.withColumnRenamed(scd_key, "_k")
-    p = fact_period if not isinstance(fact_period, str) else F.col(fact_period)
-    return (facts.join(s, (F.col(fact_key) == F.col("_k")) & p.between(F.col(start), F.col(end)), "left")
-                 .drop("_k"))
+    new = changes.select(key, period, F.struct(*tracked).alias("_new"))
+    stored = scd.select(key, F.explode(periods).alias(period), F.struct(*tracked).alias("_old"))
+    at = new.join(stored, [key, period], "left")
+    differs = at.filter(~F.col("_new").eqNullSafe(F.col("_old")) | F.col("_old").isNull())
+    touched = differs.select(key).distinct()
+    kept = stored.join(touched, key, "left_semi").join(differs.select(key, period), [key, period], "left_anti")
+    rows = kept.select(key, period, "_old.*").unionByName(differs.select(key, period, "_new.*"))
+    again = scd2_history(rows, key, period, tracked, start, end, periods)
+    return scd.join(touched, key, "left_anti").select(*again.columns).unionByName(again)
 
 
 def scd_type1(df: DataFrame, key: str, order: str, attrs: Sequence[str]) -> DataFrame:

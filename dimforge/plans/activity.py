@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dimforge.operators import activity as ac
 from dimforge.operators import scd
+from dimforge.operators.loads import replace_table
 from dimforge.operators.published import PublishedTable, one_row_per, previous
 from dimforge.plans import query
 from dimforge.plans.periods import DAY, MONTH, day
@@ -285,6 +288,30 @@ def q_host_reduced_step(spark, sf):
                       _ints_str("unique_visitors").alias("visitors_list"))
 
 
+_VISITORS_SQL = with_views("web_events") + """,
+v AS (SELECT host, CAST(event_time AS DATE) AS date, user_id FROM web_events WHERE user_id IS NOT NULL)
+SELECT 'host day' AS grain, host, date AS since, count(DISTINCT user_id) AS visitors FROM v GROUP BY host, date
+UNION ALL
+SELECT 'host week', host, CAST(date_trunc('week', date) AS DATE), count(DISTINCT user_id) FROM v GROUP BY ALL
+UNION ALL
+SELECT 'day', NULL, date, count(DISTINCT user_id) FROM v GROUP BY date
+UNION ALL
+SELECT 'month', NULL, CAST(date_trunc('month', date) AS DATE), count(DISTINCT user_id) FROM v GROUP BY ALL"""
+
+
+@query("host_visitors_rollup", _VISITORS_SQL)
+def q_host_visitors_rollup(spark, sf):
+    """Weekly, all-host and monthly visitors from the stored sets of (host, day)."""
+    sets = ac.visitor_bitmaps(events(spark, sf), ["host"], "event_time", "user_id")
+    stored = spark.read.parquet(replace_table(spark, sets, "visitor-bitmaps"))
+    grains = {"host day": ["host", F.col("date").alias("since")],
+              "host week": ["host", F.to_date(F.date_trunc("week", "date")).alias("since")],
+              "day": [F.lit(None).cast("string").alias("host"), F.col("date").alias("since")],
+              "month": [F.lit(None).cast("string").alias("host"), F.trunc("date", "month").alias("since")]}
+    out = [ac.visitors(stored, by).select(F.lit(g).alias("grain"), "host", "since", "visitors") for g, by in grains.items()]
+    return reduce(DataFrame.unionByName, out)
+
+
 @query("daily_aggregate", with_views("web_events") + """
 SELECT user_id, url, CAST(event_time AS DATE) AS date, count(*) AS n_events
 FROM web_events WHERE user_id IS NOT NULL GROUP BY 1, 2, 3""")

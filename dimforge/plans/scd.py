@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from dimforge.operators import cumulation as cu
 from dimforge.operators import scd
+from dimforge.operators.common import fold_steps
 from dimforge.plans import query
 from dimforge.plans.cumulation import _BACKFILL_SQL, _TIER_SQL, season_backfill
 from dimforge.plans.periods import YEAR, year
@@ -65,6 +66,22 @@ def q_scd2_incremental(spark, sf):
                                 hi - 1, hi, "current_season")
 
 
+@query("scd2_out_of_order", _MULTI_SQL)
+def q_scd2_out_of_order(spark, sf):
+    """Every year is loaded once, the last ones first and each second one late."""
+    tracked = ["scoring_class", "is_active"]
+    snap = snapshot(spark, sf)
+    hi = year(spark, sf)
+    low = snap.agg(F.min("current_season")).first()[0]
+    years = list(range(hi, (hi if low is None else low) - 1, -1))
+
+    def load(stored: DataFrame, y: int) -> DataFrame:
+        return scd.scd2_splice(stored, snap.filter(F.col("current_season") == y), "player_id", "current_season", tracked)
+
+    first = scd.scd2_history(snap.limit(0), "player_id", "current_season", tracked)
+    return fold_steps(first, years[::2] + years[1::2], load).drop("periods").withColumn("current_season", F.lit(hi))
+
+
 def extend_open(s: DataFrame, key: str, p: int) -> DataFrame:
     """Chain semantics of the inactive variant: absence extends the open streak,
     so each streak ends the period before the next one starts, the newest at ``p``.

@@ -17,10 +17,12 @@ _IP_SQL = ("CASE WHEN user_id IS NOT NULL THEN CAST(10 + user_id // 16777216 AS
            "CAST((user_id // 256) % 256 AS VARCHAR) || '.' || CAST(user_id % 256 AS VARCHAR) END")
 _EV_SQL = with_views("web_events", "ip_ranges") + f""",
 ev AS (SELECT *, {_IP_SQL} AS ip FROM web_events),
-geo AS (SELECT ev.*, CASE WHEN r.country IS NOT NULL
-                          THEN json_object('country', r.country, 'state', r.state, 'city', r.city)::VARCHAR
+located AS (SELECT u.user_id, arg_min({{'country': country, 'state': state, 'city': city}}, (ip_hi - ip_lo, ip_lo, range_no)) AS r
+            FROM (SELECT DISTINCT user_id FROM web_events) u JOIN ip_ranges ON u.user_id BETWEEN ip_lo AND ip_hi GROUP BY u.user_id),
+geo AS (SELECT ev.*, CASE WHEN l.r IS NOT NULL
+                          THEN json_object('country', l.r.country, 'state', l.r.state, 'city', l.r.city)::VARCHAR
                           ELSE '{{}}' END AS geodata
-        FROM ev LEFT JOIN ip_ranges r ON r.range_no = ev.user_id // 10)
+        FROM ev LEFT JOIN located l ON l.user_id = ev.user_id)
 """
 
 

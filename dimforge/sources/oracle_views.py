@@ -84,16 +84,21 @@ VIEWS: dict[str, str] = {
                l_partkey AS medal_id, CAST(l_linenumber AS BIGINT) AS "count" FROM lineitem""",
     "maps": "SELECT n_nationkey AS mapid, n_name AS name FROM nation",
     "ip_ranges": """
-        SELECT g.range_no, g.range_no * 10 AS ip_lo, g.range_no * 10 + 9 AS ip_hi,
-               n_name AS country, r_name AS state, 'city' || CAST(g.range_no AS VARCHAR) AS city
-        FROM (SELECT CAST(unnest(range(0, CAST(floor(max(user_id) / 10) AS BIGINT))) AS BIGINT) AS range_no
-              FROM events) g
-        JOIN nation ON n_nationkey = g.range_no % 25
-        JOIN region ON n_regionkey = r_regionkey""",
+        SELECT CAST(n_nationkey AS BIGINT) AS range_no, n_nationkey * span AS ip_lo,
+               n_nationkey * span + span - 1 - CASE WHEN n_nationkey % 3 = 2 THEN span // 4 ELSE 0 END AS ip_hi,
+               n_name AS country, r_name AS state, 'all of ' || n_name AS city
+        FROM nation JOIN region ON n_regionkey = r_regionkey, ip_space
+        UNION ALL
+        SELECT p_partkey + 100, p_partkey * 7919 % (top * 4 // 5 + 1),
+               p_partkey * 7919 % (top * 4 // 5 + 1) + p_size * top // 2000, n_name, r_name, 'city' || p_partkey
+        FROM part JOIN nation ON n_nationkey = p_partkey % 25 JOIN region ON n_regionkey = r_regionkey, ip_space""",
+    "ip_space": """
+        SELECT top, greatest(1, top // 25) AS span
+        FROM (SELECT CAST(greatest(0, coalesce(max(user_id), 0)) + 1 AS BIGINT) AS top FROM events) s""",
 }
 
 # views that read other views
-_DEPS = {"web_events_raw": ["web_events"]}
+_DEPS = {"web_events_raw": ["web_events"], "ip_ranges": ["ip_space"]}
 
 
 def with_views(*names: str) -> str:

@@ -199,23 +199,21 @@ def maps(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ip_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Geo dimension: ranges of 10 user ids up to max(user_id), last range left out.
-
-    The range count grows with the user population, so the ranges are made
-    in parallel up to a bound that one small aggregation finds; the lookup
-    side of ``stream_geo_enrich`` joins on the range number (an equi-join),
-    so it is never a broadcast of unbounded size.
+    """Geo dimension over the visitor numbers: a wide range per nation, every
+    third with its last quarter left out, and within the first four fifths a
+    narrow one per part, of a width by the part's size. Ranges overlap.
     """
     top = read(spark, sf_dir, "events").agg(F.max("user_id")).first()[0]
-    n = read(spark, sf_dir, "nation")
-    r = read(spark, sf_dir, "region")
-    rng = spark.range(max(0, (top or 0) // 10)).withColumnRenamed("id", "range_no")
-    geo = n.join(r, n.n_regionkey == r.r_regionkey).select("n_nationkey", "n_name", "r_name")
-    return (rng.withColumn("n_nationkey", (F.col("range_no") % 25).cast("int"))
-               .join(geo, "n_nationkey")
-               .select("range_no",
-                       (F.col("range_no") * 10).alias("ip_lo"),
-                       (F.col("range_no") * 10 + 9).alias("ip_hi"),
-                       F.col("n_name").alias("country"),
-                       F.col("r_name").alias("state"),
-                       F.concat(F.lit("city"), F.col("range_no").cast("string")).alias("city")))
+    top = max(0, top or 0) + 1
+    span = max(1, top // 25)
+    geo = (read(spark, sf_dir, "nation").join(read(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+           .select(F.col("n_nationkey").cast("bigint").alias("n"), F.col("n_name").alias("country"), F.col("r_name").alias("state")))
+    wide = geo.select(F.col("n").alias("range_no"), (F.col("n") * span).alias("ip_lo"),
+                      (F.col("n") * span + span - 1 - F.when(F.col("n") % 3 == 2, span // 4).otherwise(0)).alias("ip_hi"),
+                      "country", "state", F.concat(F.lit("all of "), F.col("country")).alias("city"))
+    p = read(spark, sf_dir, "part").select(F.col("p_partkey").cast("bigint").alias("k"), F.col("p_size").cast("bigint").alias("w"))
+    narrow = p.join(geo, F.col("k") % 25 == F.col("n")).select(
+        (F.col("k") + 100).alias("range_no"), (F.col("k") * 7919 % (top * 4 // 5 + 1)).alias("ip_lo"), "w",
+        "country", "state", F.concat(F.lit("city"), F.col("k").cast("string")).alias("city"))
+    narrow = narrow.withColumn("ip_hi", F.col("ip_lo") + F.floor(F.col("w") * top / 2000)).drop("w")
+    return wide.unionByName(narrow)

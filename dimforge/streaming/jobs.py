@@ -20,6 +20,7 @@ from dimforge.functions.columns import ip_number, ip_of
 from dimforge.operators.common import number_islands
 from dimforge.operators.loads import load_merge_upsert
 from dimforge.operators.published import PublishedTable
+from dimforge.operators.ranges import RangeBlocks, range_blocks, range_lookup
 from dimforge.session import scratch_path
 from dimforge.sources import tables as tb
 
@@ -53,25 +54,30 @@ def stream_parse(raw: DataFrame, value: str = "value") -> DataFrame:
     return p.withColumn("event_time", F.to_timestamp("event_time", EVENT_TIME_PATTERN))
 
 
-def stream_geo_enrich(events: DataFrame, ranges: DataFrame, ip: str = "ip") -> DataFrame:
+GEO = ("country", "state", "city")
+
+
+def geo_blocks(ranges: DataFrame) -> RangeBlocks:
+    """The range dimension (``ip_lo, ip_hi, range_no``, GEO), ready for look-ups."""
+    return range_blocks(ranges, "ip_lo", "ip_hi", GEO, "range_no")
+
+
+def stream_geo_enrich(events: DataFrame, ranges: DataFrame | RangeBlocks, ip: str = "ip") -> DataFrame:
     """ip -> JSON {country, state, city}; '{}' when no range holds the address.
 
     The per-row HTTP lookup of the original job is re-aimed as a range
-    dimension: ranges are fixed-width, so the range join is an equi-join on
-    the range number (no non-equi join). Works on a stream (stream-static join).
+    dimension; ranges have any width and may overlap (the narrowest counts).
+    The lookup is an equi-join on blocks, also between a stream and the table.
     """
-    r = ranges.select(F.col("range_no").alias("_rn"), "ip_lo", "ip_hi", "country", "state", "city")
-    n = ip_number(F.col(ip))
-    e = events.withColumn("_ipn", n).withColumn("_rn", F.floor(F.col("_ipn") / 10).cast("bigint"))
-    # rows without an address pass round the join: they would all hash to one task
-    known, unknown = e.filter("_rn IS NOT NULL"), events.filter(n.isNull())
-    j = known.join(r, (known["_rn"] == r["_rn"]) & F.col("_ipn").between(F.col("ip_lo"), F.col("ip_hi")), "left")
-    geo = F.when(F.col("country").isNotNull(), F.to_json(F.struct("country", "state", "city"))).otherwise(F.lit("{}"))
-    found = j.select(*[known[c] for c in events.columns], geo.alias("geodata"))
-    return found.unionByName(unknown.withColumn("geodata", F.lit("{}")))
-
-
-def stream_process(raw: DataFrame, ranges: DataFrame) -> DataFrame:
+    blocks = ranges if isinstance(ranges, RangeBlocks) else geo_blocks(ranges)
+    names = events.columns
+    plain = events.select(F.struct(*names).alias("_e"), ip_number(F.col(ip)).alias("_n"))
+    j = range_lookup(plain, F.col("_n"), blocks)
+    geo = F.when(F.col("country").isNotNull(), F.to_json(F.struct(*GEO))).otherwise(F.lit("{}"))
+    return j.select("_e.*", geo.alias("geodata"))
+
+
+def stream_process(raw: DataFrame, ranges: DataFrame | RangeBlocks) -> DataFrame:
     """Parse + enrich, projected to the processed-events sink schema."""
     p = stream_parse(raw)
     return stream_geo_enrich(p, ranges).select("ip", "event_time", "referrer", "host", "url", "geodata")
