@@ -75,7 +75,7 @@ def range_blocks(ranges: DataFrame, lo: str, hi: str, values: Sequence[str], tie
     off. The table is written once, so a stream does not make it for each batch.
     """
     spark = ranges.sparkSession
-    r = (ranges.filter(F.col(hi) >= F.greatest(F.col(lo), F.lit(0)))
+    r = (ranges.filter(F.col(lo).isNotNull() & (F.col(hi) >= F.greatest(F.col(lo), F.lit(0))))
                .select(F.greatest(F.col(lo), F.lit(0)).cast("bigint").alias("lo"), F.col(hi).cast("bigint").alias("hi"),
                        F.struct((F.col(hi) - F.col(lo)).alias("width"), F.col(lo).alias("from"), F.col(tie).alias("tie")).alias("rank"),
                        F.struct(*values).alias("v")))
