@@ -42,11 +42,18 @@ promotion rail recommended recommendations related replies reply respond respons
 skip social sponsor sponsored subscribe subscription taboola teaser toolbar topbar warning widget widgets""".split())
 # Only outside the article; within it they hold its title.
 TOP_NAMES = frozenset("header masthead".split())
-# Compound names that begin so say what a page has, not what an element is.
-ABOUT_PAGE = frozenset("has have no not with without".split())
 MAIN_TAGS = frozenset(("article", "main"))
 MAIN_NAMES = frozenset("article articlebody content entry maincontent post postbody story storybody".split())
 
+# In a compound name these say where or what kind of box it is; a compound of
+# them and surroundings is surroundings, with any other word it is not.
+PLAIN_PARTS = frozenset("""above after area bar before below block bottom box btn button buttons card column container
+content fixed global group header head holder inner item items left link links list main modal module outer page panel
+post posts primary right row secondary section site slot small stories sub tag tags text title top unit user wrap
+wrapper article""".split()) | AROUND_NAMES | TOP_NAMES
+# Left open, these hold the rest of the page.
+SWALLOWING = frozenset(("script", "style"))
+
 TAG = re.compile(r"""<!--[\s\S]*?(?:-->|\Z)|<!\[CDATA\[[\s\S]*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"""
                  r"""|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^>"'<]|"[^"]*"|'[^']*')*+)>"""
                  r"""|<(/?)([A-Za-z][A-Za-z0-9:-]*)([^>]*)(?:>|\Z)""")
@@ -172,8 +179,8 @@ def decide(tree: tuple | int, row: tuple) -> bool:
 
 
 def _names(attributes: str) -> tuple[set[str], set[str], set[str], bool]:
-    """Words of class and id, split and joined; joined only; roles; whether it
-    is hidden."""
+    """Names of class and id, joined, with the words of compounds that are made
+    of surroundings and plain parts; joined only; roles; whether it is hidden."""
     words: set[str] = set()
     whole: set[str] = set()
     roles: set[str] = set()
@@ -182,10 +189,10 @@ def _names(attributes: str) -> tuple[set[str], set[str], set[str], bool]:
         name, value = m.group(1).lower(), (m.group(2) or "").strip("\"'").lower()
         if name in ("class", "id"):
             for v in value.split():
-                parts = re.split(r"[^a-z0-9]+", v)
+                parts = [p for p in re.split(r"[^a-z0-9]+", v) if p]
                 whole.add("".join(parts))
-                if parts[0] not in ABOUT_PAGE:
-                    words.update(p for p in parts if p)
+                if all(p in PLAIN_PARTS or any(map(str.isdigit, p)) for p in parts):
+                    words.update(parts)
         elif name == "role":
             roles.add(value)
         elif name == "hidden" or name == "aria-hidden" and value == "true":
@@ -236,7 +243,7 @@ def blocks(page: str) -> list[Block]:
                 flush()
             if not attributes.endswith("/"):
                 end = re.compile(rf"</{name}\s*>", re.I).search(page, at)
-                at = end.end() if end else (size if name != "head" else at)
+                at = end.end() if end else (size if name in SWALLOWING else at)
             held.append(" ")
             continue
         if name == "br":
@@ -256,7 +263,7 @@ def blocks(page: str) -> list[Block]:
                 elif not attributes.endswith("/"):
                     _, inside, around = stack[-1]
                     words, whole, roles, hidden = _names(attributes) if attributes.strip() else (set(), set(), set(), False)
-                    main = name in MAIN_TAGS or "main" in roles or bool(words & MAIN_NAMES)
+                    main = name in MAIN_TAGS or "main" in roles or bool(whole & MAIN_NAMES)
                     inside |= main
                     # A part of a compound name does not make these surroundings.
                     if name == "body" or name in MAIN_TAGS or "main" in roles:
@@ -273,12 +280,16 @@ def main_text(page: str | None, tree: tuple | int) -> str:
     found = blocks(page or "")
     if not found:
         return ""
-    has_main = any(b.inside and not b.around for b in found)
+    # A named part is the article only if it holds most of the page's own words;
+    # a teaser beside unnamed prose is not.
+    free = [(b.words - b.linked, b.inside) for b in found if not b.around]
+    inside = sum(n for n, named in free if named)
+    has_main = any(named for _, named in free) and 2 * inside >= sum(n for n, _ in free)
     none = (0, 0.0)
     near = [none, *((b.words, b.linked / b.words) for b in found), none]
     kept = []
     for b, before, own, after in zip(found, near, near[1:], near[2:]):
-        if decide(tree, (b.around, b.inside, has_main, b.heading, *own, *before, *after)):
+        if decide(tree, (b.around, b.inside and has_main, has_main, b.heading, *own, *before, *after)):
             kept.append(b.text)
     return "\n".join(kept)
 
