@@ -21,7 +21,7 @@ import heapq
 import re
 from array import array
 from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import cache
 from itertools import repeat
 
@@ -51,7 +51,7 @@ NONE_LEFT = np.int32((1 << 31) - 1)
 # Texts are encoded in groups of about so many characters.
 GROUP_CHARS = 2_000_000
 GROUP_WORDS = GROUP_CHARS // 4
-BLOCK_WORDS = 1 << 14
+BLOCK_WORDS = 1 << 16
 
 
 def occurrence_keys(text_key: int, first: int, n: int) -> np.ndarray:
@@ -166,32 +166,38 @@ class PairTable:
         return out
 
 
-def merge_many(words: list[str], width: int, table: PairTable, keys: np.ndarray, limit: int,
-               merges: list | None = None) -> np.ndarray:
-    """``merge_short`` for words of at most ``width`` characters: one row of
-    symbols per word, -1 for places merged away or past the end. All merges
-    are added to ``merges`` as arrays of word, place and order.
+def spelt_symbols(words: list[str], width: int, table: PairTable) -> np.ndarray:
+    """(words, width): the symbols of their characters, ``other`` past the end."""
+    chars = np.frombuffer("".join([w.ljust(width) for w in words]).encode("utf-32-le", "surrogatepass"), np.uint32)
+    lengths = np.fromiter(map(len, words), np.int64, len(words))
+    return np.where(np.arange(width) >= lengths[:, None], np.int32(table.other), table.symbol[chars.reshape(len(words), width)])
+
+
+def merge_many(symbols: np.ndarray, lengths: np.ndarray, table: PairTable, keys: np.ndarray, limit: int,
+               merges: list | None = None, pairs: np.ndarray | None = None) -> np.ndarray:
+    """``merge_short`` for words given as rows of symbols: one row of symbols
+    per word, -1 for places merged away or past the end. All merges are added
+    to ``merges`` as arrays of word, place and order. ``pairs`` holds the orders
+    of neighbouring symbols, if they are known.
 
     Place p of all words is row p + 1 of the arrays; the first and last rows
     and the places past a word's end hold a symbol that merges with nothing.
     """
-    n = len(words)
-    chars = np.frombuffer("".join([w.ljust(width) for w in words]).encode("utf-32-le", "surrogatepass"), np.uint32)
-    ended = np.arange(width)[:, None] >= np.fromiter(map(len, words), np.int64, n)
+    n, width = symbols.shape
+    ended = np.arange(width)[:, None] >= lengths
     sym = np.full((width + 2, n), table.other, np.int32)
-    sym[1:-1] = np.where(ended, np.int32(table.other), table.symbol[chars.reshape(n, width).T])
-    rows = np.arange(width + 2, dtype=np.int64)[:, None]
-    after, before = np.repeat(rows + 1, n, 1).ravel(), np.repeat(rows - 1, n, 1).ravel()
+    sym[1:-1] = symbols.T
+    rows = np.arange(width + 2, dtype=np.int32)[:, None]
+    after, before = (np.repeat(rows + d, n, 1).ravel().astype(np.int32) for d in (1, -1))
 
-    def candidates(a: np.ndarray, b: np.ndarray, row: np.ndarray, key: np.ndarray) -> np.ndarray:
-        at = table.lookup(a, b)
+    def candidates(at: np.ndarray, row: np.ndarray, key: np.ndarray) -> np.ndarray:
         if limit:
             at[skipped(key, at, row - 1, limit)] = -1
         return np.where(at < 0, NONE_LEFT, at << PLACE_BITS | row.astype(np.int32))
 
     agenda = np.full((width + 2, n), NONE_LEFT, np.int32)
-    agenda[1:-1] = candidates(sym[1:-1].ravel(), sym[2:].ravel(), np.repeat(rows[1:-1], n, 1).ravel(),
-                              np.tile(keys, width)).reshape(width, n)
+    at = table.lookup(sym[1:-1].ravel(), sym[2:].ravel()) if pairs is None else pairs.T.ravel()
+    agenda[1:-1] = candidates(at, np.repeat(rows[1:-1], n, 1).ravel(), np.tile(keys, width)).reshape(width, n)
     flat, todo = sym.ravel(), agenda.ravel()
     while len(live := np.flatnonzero((best := agenda.min(0)) < NONE_LEFT)):
         best, key = best[live], keys[live]
@@ -203,10 +209,10 @@ def merge_many(words: list[str], width: int, table: PairTable, keys: np.ndarray,
         end, start = after[there], before[here]
         flat[here], flat[there], todo[there] = made, -1, NONE_LEFT
         after[here], before[end * n + live] = end, row
-        todo[here] = candidates(made, flat[end * n + live], row, key)
+        todo[here] = candidates(table.lookup(made, flat[end * n + live]), row, key)
         first = start > 0
         start, made, live = start[first], made[first], live[first]
-        todo[start * n + live] = candidates(flat[start * n + live], made, start, key[first])
+        todo[start * n + live] = candidates(table.lookup(flat[start * n + live], made), start, key[first])
     return np.where(ended, np.int32(-1), sym[1:-1]).T
 
 
@@ -273,8 +279,8 @@ class PieceModel:
             for at in range(start, end, BLOCK_WORDS):
                 places = by_length[at:min(at + BLOCK_WORDS, end)]
                 some, made = [words[i] for i in places.tolist()], None if merges is None else []
-                symbols = merge_many(some, width, self.table, keys[places], limit, made)
-                for i, ids in zip(places.tolist(), self._pack_many(some, symbols)):
+                merged = merge_many(spelt_symbols(some, width, self.table), lengths[places], self.table, keys[places], limit, made)
+                for i, ids in zip(places.tolist(), self._pack_many(some.__getitem__, lengths[places], merged)):
                     out[i] = ids
                 if made:
                     merges.append((places[np.concatenate([m[0] for m in made])], *(np.concatenate([m[k] for m in made]) for k in (1, 2))))
@@ -282,14 +288,30 @@ class PieceModel:
             out[i] = self.segment(words[i], dropout, int(keys[i]))
         return out
 
-    def _pack_many(self, words: list[str], symbols: np.ndarray) -> list[bytes]:
-        stays, spelt = symbols >= 0, (symbols >= self.table.pieces).any(1)
-        ends = 4 * np.cumsum(stays.sum(1))
+    def segment_known(self, known: Known, words: np.ndarray, dropout: float, keys: np.ndarray) -> list[bytes]:
+        """``segment_many`` for remembered words, given by their numbers."""
+        limit = int(dropout * (1 << 32))
+        out, lengths = [b""] * len(words), known.lengths[words]
+        by_length = np.argsort(lengths, kind="stable")
+        ends = np.searchsorted(lengths[by_length], (0, *WIDTHS), "right").tolist()
+        for width, start, end in zip(WIDTHS, ends, ends[1:]):
+            for at in range(start, end, BLOCK_WORDS):
+                places = by_length[at:min(at + BLOCK_WORDS, end)]
+                which = words[places]
+                merged = merge_many(known.symbols[which, :width], lengths[places], self.table, keys[places], limit,
+                                    pairs=known.pairs[which, :width])
+                for i, ids in zip(places.tolist(), self._pack_many(lambda j: known.words[which[j]], lengths[places], merged)):
+                    out[i] = ids
+        return out
+
+    def _pack_many(self, spelt: Callable[[int], str], lengths: np.ndarray, symbols: np.ndarray) -> list[bytes]:
+        stays, raw_too = symbols >= 0, (symbols >= self.table.pieces).any(1)
+        ends = (4 * np.cumsum(stays.sum(1))).tolist()
         raw = self.id_of[np.minimum(symbols[stays], self.table.pieces - 1)].tobytes()
-        out = [raw[a:b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist())]
-        for i in np.flatnonzero(spelt).tolist():
-            cuts = [*np.flatnonzero(stays[i]).tolist(), len(words[i])]
-            out[i] = self.packed([words[i][a:b] for a, b in zip(cuts, cuts[1:])])
+        out = [raw[a:b] for a, b in zip([0, *ends], ends)]
+        for i in np.flatnonzero(raw_too).tolist():
+            word, cuts = spelt(i), [*np.flatnonzero(stays[i]).tolist(), int(lengths[i])]
+            out[i] = self.packed([word[a:b] for a, b in zip(cuts, cuts[1:])])
         return out
 
     def decode(self, packed: bytes) -> str:
@@ -299,19 +321,30 @@ class PieceModel:
 
 
 class Known:
-    """Words in use: ids and merges (order, place) without dropout."""
+    """Words in use: symbols, ids and merges (order, place) without dropout."""
 
-    def __init__(self) -> None:
+    def __init__(self, table: PairTable) -> None:
         self.at: dict[str, int] = {}
+        self.words: list[str] = []
         self.ids: list[bytes] = []
-        # Words that were met once and not learned.
-        self.met: set[str] = set()
+        self.table = table
         self.first = np.zeros(1, np.int64)
+        self.lengths = np.zeros(0, np.int64)
+        # Symbols of each word, and the orders of its neighbours.
+        self.symbols, self.pairs = np.zeros((0, SHORT), np.int32), np.zeros((0, SHORT), np.int32)
         self.orders, self.places = np.zeros(0, np.int32), np.zeros(0, np.uint8)
 
-    def add(self, words: list[str], ids: list[bytes], merges: list) -> None:
+    def add(self, words: list[str], spelt: list[str], ids: list[bytes], merges: list) -> None:
+        if not words:
+            return
         self.at.update(zip(words, range(len(self.ids), len(self.ids) + len(words))))
+        self.words += spelt
         self.ids += ids
+        self.lengths = np.concatenate([self.lengths, np.fromiter(map(len, spelt), np.int64, len(spelt))])
+        symbols = spelt_symbols(spelt, SHORT, self.table)
+        after = np.concatenate([symbols[:, 1:], np.full((len(spelt), 1), self.table.other, np.int32)], 1)
+        self.symbols = np.concatenate([self.symbols, symbols])
+        self.pairs = np.concatenate([self.pairs, self.table.lookup(symbols.ravel(), after.ravel()).reshape(-1, SHORT)])
         of, places, orders = (np.concatenate([m[k] for m in merges]) if merges else np.zeros(0, np.int64) for k in range(3))
         by_word = np.argsort(of, kind="stable")
         counts = np.bincount(of.astype(np.int64), minlength=len(words))
@@ -340,7 +373,9 @@ class TextEncoder:
 
     def __init__(self, model: PieceModel, dropout: float, seed: int):
         self.model, self.dropout, self.seed = model, dropout, seed
-        self.known = Known()
+        self.known = Known(model.table)
+        # Words that were met once and not learned.
+        self.met: set[str] = set()
 
     @staticmethod
     def _spelt(words: list[str]) -> list[str]:
@@ -349,34 +384,36 @@ class TextEncoder:
     def _learn(self, words: list[str]) -> None:
         """Remember ``words``."""
         merges: list = []
-        ids = self.model.segment_many(self._spelt(words), 0, np.zeros(len(words), np.uint64), merges)
-        self.known.add(words, ids, merges)
+        spelt = self._spelt(words)
+        self.known.add(words, spelt, self.model.segment_many(spelt, 0, np.zeros(len(words), np.uint64), merges), merges)
 
     def _encoded(self, words: list[str], keys: np.ndarray) -> list[bytes]:
         """Ids of every occurrence of a word, under its key."""
-        if max(len(self.known.ids), len(self.known.met)) > CACHE_WORDS:
-            self.known = Known()
+        if len(self.known.ids) > CACHE_WORDS:
+            self.known = Known(self.model.table)
+        if len(self.met) > CACHE_WORDS:
+            self.met = set()
         known, limit = self.known, int(self.dropout * (1 << 32))
-        at = list(map(known.at.get, words, repeat(-1)))
-        new = [i for i, k in enumerate(at) if k < 0]
-        if new:
-            counts = Counter([words[i] for i in new])
-            learned = [w for w, n in counts.items() if (n > 1 or w in known.met) and len(w) < SHORT]
-            known.met.update(w for w in counts if len(w) < SHORT)
-            known.met.difference_update(learned)
+        at = np.fromiter(map(known.at.get, words, repeat(-1)), np.int64, len(words))
+        new = np.flatnonzero(at < 0)
+        if len(new):
+            unknown = [words[i] for i in new.tolist()]
+            counts = Counter(unknown)
+            learned = [w for w, n in counts.items() if (n > 1 or w in self.met) and len(w) < SHORT]
+            self.met.update(w for w in counts if len(w) < SHORT)
+            self.met.difference_update(learned)
             self._learn(learned)
-            for i in new:
-                at[i] = known.at.get(words[i], -1)
-        at = np.array(at, np.int64)
-        anew = at < 0
-        if limit:
-            held = np.flatnonzero(~anew)
-            anew[held] = known.disturbed(at[held], keys[held], limit)
-        anew = np.flatnonzero(anew)
+            at[new] = np.fromiter(map(known.at.get, unknown, repeat(-1)), np.int64, len(unknown))
+        strange = np.flatnonzero(at < 0)
         out = list(map(known.ids.__getitem__, at.tolist())) if known.ids else [b""] * len(words)
-        spelt = self._spelt([words[i] for i in anew.tolist()])
-        for i, ids in zip(anew.tolist(), self.model.segment_many(spelt, self.dropout, keys[anew])):
+        for i, ids in zip(strange.tolist(), self.model.segment_many(self._spelt([words[i] for i in strange.tolist()]),
+                                                                    self.dropout, keys[strange])):
             out[i] = ids
+        if limit:
+            held = np.flatnonzero(at >= 0)
+            anew = held[known.disturbed(at[held], keys[held], limit)]
+            for i, ids in zip(anew.tolist(), self.model.segment_known(known, at[anew], self.dropout, keys[anew])):
+                out[i] = ids
         return out
 
     def _words(self, text: str) -> list[str]:
