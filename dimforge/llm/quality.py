@@ -164,7 +164,8 @@ def common_lines(profiles: DataFrame, min_docs: int = MIN_LINE_DOCS, share: floa
     """``row, line, words`` of the lines above the limit of their host.
 
     ``profiles`` is a written table with ``row``, ``host`` (a hash; null is a
-    host of its own) and the fields of PROFILE.
+    host of its own) and the fields of PROFILE. Candidates and shared minima
+    have no size bound, so their joins are sort-merge joins at every size.
     """
     held = profiles.select("row", "host", F.explode(F.arrays_zip("lines", "words")).alias("l")).select(
         "row", "host", F.col("l.lines").alias("line"), F.col("l.words").alias("words"))
@@ -172,24 +173,24 @@ def common_lines(profiles: DataFrame, min_docs: int = MIN_LINE_DOCS, share: floa
     # A candidate stands in more than min_docs rows, so its SALTS copies are
     # at most about as many as those rows; likewise the minima below.
     left, right = salted(held, F.col("row"), many, SALTS)
-    held = materialise(left.join(right, ["host", "line", "__salt"]).drop("__salt"), "held-lines")
+    held = materialise(left.join(right.hint("merge"), ["host", "line", "__salt"]).drop("__salt"), "held-lines")
     some = held.groupBy("row").agg(F.collect_list("line").alias("candidates"))
-    rests = materialise(_rests(profiles.join(some, "row", "left")), "rests")
+    rests = materialise(_rests(profiles.join(some.hint("merge"), "row", "left")), "rests")
     own = rests.filter(F.col("rest") >= MIN_WORDS)
     low = own.select("row", "host", F.posexplode("low").alias("k", "value"))
     shared = low.groupBy("host", "k", "value").agg(F.count("*").alias("n")).filter(F.col("n") > min_docs).drop("n")
     left, right = salted(low, F.col("row"), shared, SALTS)
-    copies = (left.join(right, ["host", "k", "value", "__salt"]).groupBy("row").agg(F.count("*").alias("n"))
+    copies = (left.join(right.hint("merge"), ["host", "k", "value", "__salt"]).groupBy("row").agg(F.count("*").alias("n"))
               .filter(F.col("n") >= SHARED_MINIMA).select("row", F.lit(True).alias("copy")))
     doc = F.when(F.col("copy").isNull() & (F.col("rest") >= MIN_WORDS), F.xxhash64("low")).otherwise(0).alias("doc")
-    docs = materialise(rests.join(copies, "row", "left").select("row", "host", doc), "distinct-docs")
+    docs = materialise(rests.join(copies.hint("merge"), "row", "left").select("row", "host", doc), "distinct-docs")
     hosts = docs.select("host", "doc").distinct().groupBy("host").agg(F.count("*").alias("host_docs"))
     limit = F.least(F.col("host_docs") * F.lit(share), F.lit(max_docs).cast("double"))
-    above = (held.join(docs.select("row", "doc"), "row").select("host", "line", "doc").distinct()
+    above = (held.join(docs.select("row", "doc").hint("merge"), "row").select("host", "line", "doc").distinct()
              .groupBy("host", "line").agg(F.count("*").alias("n_docs")).filter(F.col("n_docs") > min_docs)
              .join(hosts, "host").filter(F.col("n_docs") > limit).select("host", "line"))
     left, right = salted(held, F.col("row"), above, SALTS)
-    found = materialise(left.join(right, ["host", "line", "__salt"]).select("row", "line", "words"), "common-lines")
+    found = materialise(left.join(right.hint("merge"), ["host", "line", "__salt"]).select("row", "line", "words"), "common-lines")
     drop_written(held, rests, docs)
     return found
 
@@ -218,7 +219,7 @@ def line_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     base_failed = ((F.col("n_words") < MIN_WORDS)
                    | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words")))
     depleted = (F.col("removed_words") > 0) & ((left < min_words_left) | (left < F.col("n_words") * F.lit(min_share_left)))
-    return (prof.drop("lines", "words", "low").join(removed, "row", "left")
+    return (prof.drop("lines", "words", "low").join(removed.hint("merge"), "row", "left")
             .withColumn("removed_words", F.coalesce("removed", F.lit(0)).cast("long"))
             .withColumn("base_failed", base_failed)
             .withColumn("kept", ~F.col("base_failed") & ~depleted)
