@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from dimforge.operators import layout as lo
 from dimforge.operators.loads import replace_table
 from dimforge.plans import query
-from dimforge.plans.periods import DAY, day
+from dimforge.plans.periods import DAY, YEAR, day, year
 from dimforge.session import scratch_path
 from dimforge.sources import tables as tb
 from dimforge.sources.oracle_views import with_views
@@ -180,19 +180,18 @@ def pruned_order_lines(spark, sf) -> DataFrame:
             .join(o.select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_year").alias("l_year")), "l_orderkey"))
     to = spark.table(lo.write_bucketed(spark, o, n_buckets(spark), "o_orderkey", "orders_y", ["o_year"]))
     tl = spark.table(lo.write_bucketed(spark, li, n_buckets(spark), "l_orderkey", "lineitem_y", ["l_year"]))
-    last = o.agg(F.max("o_year").alias("last"))
-    calendar = (o.select("o_year").distinct().join(last, F.col("o_year") >= F.col("last") - 1)
-                 .select(F.col("o_year").alias("year"), F.lit("recent").alias("era")))
+    era = F.when(F.col("o_year") >= year(spark, sf) - 1, F.lit("recent")).otherwise(F.lit("past"))
+    calendar = o.select(F.col("o_year").alias("year"), era.alias("era")).distinct()
     recent = lo.checked_broadcast(spark.read.parquet(replace_table(spark, calendar, "calendar")).filter("era = 'recent'"))
     to = to.join(recent, F.col("o_year") == F.col("year")).select("o_orderkey", "o_orderpriority")
     tl = tl.join(recent, F.col("l_year") == F.col("year")).select("l_orderkey", "l_quantity")
     return _order_lines(to.hint("merge"), tl)
 
 
-@query("join_bucketed_pruned", """
+@query("join_bucketed_pruned", f"""
 SELECT o.o_orderkey, o.o_orderpriority, count(*) AS n_lines, round(sum(l.l_quantity), 2) AS sum_qty
 FROM orders o JOIN lineitem l ON o.o_orderkey = l.l_orderkey
-WHERE year(o_orderdate) >= (SELECT max(year(o_orderdate)) FROM orders) - 1 GROUP BY o.o_orderkey, o.o_orderpriority""")
+WHERE year(o_orderdate) >= {YEAR} - 1 GROUP BY o.o_orderkey, o.o_orderpriority""")
 def q_join_bucketed_pruned(spark, sf):
     return pruned_order_lines(spark, sf)
 
