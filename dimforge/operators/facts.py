@@ -14,15 +14,17 @@ from dimforge.operators.common import cols, dedup_first
 COMMENT_FLAGS = ("DNP", "DND", "NWT")
 
 
-def fact_conform(details: DataFrame, games: DataFrame) -> DataFrame:
+def fact_conform(details: DataFrame, games: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
     """Deduped player-game facts joined to the game dimension, ``dim_*`` / ``m_*`` naming.
 
     Dedupe first (``row_number() == 1`` with a partial group limit before the
     shuffle), so the join shuffles the reduced rows; one row per (game, team,
-    player), earliest load wins.
+    player), earliest load wins. ``carry`` names further columns of ``games``
+    that come along unchanged, so that no later step joins ``games`` again.
     """
     d = dedup_first(details, ["game_id", "team_id", "player_id"], ["loaded_at", "start_position"])
-    g = games.select("game_id", "game_date_est", "season", "home_team_id")
+    g = games.select("game_id", "game_date_est", "season", "home_team_id",
+                     *[c for c in carry if c != "home_team_id"])
     j = d.join(g, "game_id")
     return j.select(
         F.col("game_date_est").alias("dim_game_date"),
@@ -36,7 +38,8 @@ def fact_conform(details: DataFrame, games: DataFrame) -> DataFrame:
         (F.col("team_id") == F.col("home_team_id")).alias("dim_is_playing_at_home"),
         F.round(minutes_of("min"), 4).alias("m_minutes"),
         F.col("pts").alias("m_pts"),
-        F.col("game_id").alias("dim_game_id"))
+        F.col("game_id").alias("dim_game_id"),
+        *carry)
 
 
 def fact_rate(fct: DataFrame) -> DataFrame:

@@ -93,10 +93,15 @@ def json_num(props: str, field: str, typ: str = "bigint") -> Column:
 
 
 def graph_max_property(vertices: DataFrame, edges: DataFrame, label_field: str, edge_field: str) -> DataFrame:
-    """Vertex JOIN edge on (identifier, type); max of a numeric edge property per vertex label."""
+    """Vertex JOIN edge on (identifier, type); max of a numeric edge property per vertex label.
+
+    The maximum per subject comes first, with a map-side half, so the join
+    moves one row per subject however many edges it has.
+    """
     v = vertices.select(F.col("identifier").alias("_id"), F.col("type").alias("_t"),
                         F.get_json_object("properties", f"$.{label_field}").alias(label_field))
-    e = edges.select("subject_identifier", "subject_type", json_num("properties", edge_field).alias("_p"))
+    e = (edges.groupBy("subject_identifier", "subject_type")
+              .agg(F.max(json_num("properties", edge_field)).alias("_p")))
     j = v.join(e, (F.col("_id") == F.col("subject_identifier")) & (F.col("_t") == F.col("subject_type")))
     return j.groupBy(label_field).agg(F.max("_p").alias(f"max_{edge_field}"))
 

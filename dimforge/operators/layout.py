@@ -136,6 +136,31 @@ def layout_size_report(spark: SparkSession, variants: dict[str, DataFrame]) -> D
     return out
 
 
+def layout_size_check(spark: SparkSession, variants: dict[str, DataFrame], keys: Sequence[str]) -> DataFrame:
+    """Write each variant to a fresh path; per layout its rows and key groups,
+    whether each key group lies in one file, and whether the layout takes no
+    more bytes than the first one."""
+    held = None
+    for name, df in variants.items():
+        rows = spark.read.parquet(write_parquet(df, scratch_path(spark, f"layout-{name}"))).select(
+            *keys, F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("size"))
+        one = rows.groupBy(*keys, "file").agg(F.count(F.lit(1)).alias("n"), F.first("size").alias("size"))
+        one = one.withColumn("layout", F.lit(name))
+        held = one if held is None else held.unionByName(one)
+    groups = (held.groupBy("layout", *keys).agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("files"))
+                  .groupBy("layout").agg(F.sum("n").alias("n_rows"), F.count(F.lit(1)).alias("n_groups"),
+                                         F.max("files").alias("files")))
+    sizes = (held.groupBy("layout", "file").agg(F.first("size").alias("size"))
+                 .groupBy("layout").agg(F.sum("size").alias("size")))
+    # one row per layout: few enough to stand in one list
+    first = F.filter("all", lambda x: x["layout"] == next(iter(variants)))[0]["size"]
+    report = groups.join(sizes, "layout").groupBy().agg(
+        F.collect_list(F.struct("layout", "n_rows", "n_groups", "files", "size")).alias("all"))
+    return (report.select(F.explode("all").alias("x"), first.alias("first_size"))
+                  .select("x.layout", "x.n_rows", "x.n_groups", (F.col("x.files") == 1).alias("group_in_one_file"),
+                          (F.col("x.size") <= F.col("first_size")).alias("not_larger")))
+
+
 def rle_runs(df: DataFrame, part: Sequence[str], order: Sequence[str], col: str, chunk: Column) -> DataFrame:
     """Run-length encode ``col`` inside each partition in ``order``: (value, run start, run length).
 

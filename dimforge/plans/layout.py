@@ -98,6 +98,18 @@ def q_layout_size_report(spark, sf):
         "sorted": lo.layout_local_sort(d, n_parts(spark), ["event_date", "host"], ["event_date", "host", "url"])})
 
 
+@query("layout_size_check", with_views("web_events") + """,
+t AS (SELECT count(*) AS n_rows, (SELECT count(*) FROM (SELECT DISTINCT CAST(event_time AS DATE), host FROM web_events)) AS n_groups
+      FROM web_events)
+SELECT layout, n_rows, n_groups, true AS group_in_one_file, true AS not_larger
+FROM t, (VALUES ('unsorted'), ('sorted')) v(layout)""")
+def q_layout_size_check(spark, sf):
+    d, keys = _dated(spark, sf), ["event_date", "host"]
+    return lo.layout_size_check(spark, {
+        "unsorted": d.repartition(n_parts(spark), *keys),
+        "sorted": lo.layout_local_sort(d, n_parts(spark), keys, [*keys, "url"])}, keys)
+
+
 @query("rle_runs", with_views("web_events") + """,
 x AS (SELECT host, CAST(event_time AS DATE) AS event_date, event_time, url,
              lag(url) OVER w AS prev FROM web_events

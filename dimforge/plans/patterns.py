@@ -152,29 +152,33 @@ def q_dashboard_grouping_sets(spark, sf):
     return pa.dashboard_grouping_sets(events_dev(spark, sf), ["os_type", "device_type", "browser_type"])
 
 
-def details_grouping_sets(fct: DataFrame, games: DataFrame) -> DataFrame:
+GAME_OUTCOME = ("home_team_id", "visitor_team_id", "home_team_wins")
+
+
+def details_grouping_sets(fct: DataFrame) -> DataFrame:
     """Points and wins for (player, team), (player, season), (team); then the top row of each.
 
-    Wins are distinct games won, not joined rows. A player has one row per
-    game, so the player levels sum a won flag; for the team level one row
-    per (team, game) carries the flag, so a plain sum counts distinct games
-    -- no distinct aggregate (which would Expand every row once more) inside
-    the grouping sets. The top row per level is a ``max_by`` aggregation
-    (partial-aggregated), not a window over a level.
+    ``fct`` carries ``GAME_OUTCOME`` from the game dimension. Wins are distinct
+    games won, not joined rows. A player has one row per game, so the player
+    levels sum a won flag; for the team level one row per (team, game) carries
+    the flag, so a plain sum counts distinct games -- no distinct aggregate.
+    The facts are summed to (player, team, season) first: the grouping sets
+    expand those groups, not the facts. The top row per level is a ``max_by``
+    aggregation (partial-aggregated), not a window over a level.
     """
-    g = games.select(F.col("game_id").alias("dim_game_id"), "home_team_id", "visitor_team_id", "home_team_wins")
-    f = fct.join(g, "dim_game_id")
     won = (((F.col("dim_team_id") == F.col("home_team_id")) & (F.col("home_team_wins") == 1)) |
            ((F.col("dim_team_id") == F.col("visitor_team_id")) & (F.col("home_team_wins") == 0)))
     first_of_team_game = F.row_number().over(
         Window.partitionBy("dim_team_id", "dim_game_id").orderBy("dim_player_id")) == 1
-    f = f.select(F.col("dim_player_id").alias("player_id"), F.col("dim_team_id").alias("team_id"),
-                 F.col("dim_season").alias("season"), "m_pts", won.cast("int").alias("_won"),
-                 (won & first_of_team_game).cast("int").alias("_team_won"))
-    agg = (f.groupingSets([["player_id", "team_id"], ["player_id", "season"], ["team_id"]],
-                          "player_id", "team_id", "season")
-            .agg(F.sum("m_pts").alias("total_points"), F.sum("_won").alias("_pw"), F.sum("_team_won").alias("_tw"),
-                 F.grouping_id().alias("_gid")))
+    f = fct.select(F.col("dim_player_id").alias("player_id"), F.col("dim_team_id").alias("team_id"),
+                   F.col("dim_season").alias("season"), "m_pts", won.cast("int").alias("_won"),
+                   (won & first_of_team_game).cast("int").alias("_team_won"))
+    base = (f.groupBy("player_id", "team_id", "season")
+             .agg(F.sum("m_pts").alias("_pts"), F.sum("_won").alias("_won"), F.sum("_team_won").alias("_team_won")))
+    agg = (base.groupingSets([["player_id", "team_id"], ["player_id", "season"], ["team_id"]],
+                             "player_id", "team_id", "season")
+               .agg(F.sum("_pts").alias("total_points"), F.sum("_won").alias("_pw"), F.sum("_team_won").alias("_tw"),
+                    F.grouping_id().alias("_gid")))
     # grouping_id bits over (player_id, team_id, season): 1 = rolled up
     level = (F.when(F.col("_gid") == 1, F.lit("player_team"))
               .when(F.col("_gid") == 2, F.lit("player_season"))
@@ -206,7 +210,7 @@ tm AS (SELECT 'team' AS aggregation_level, CAST(NULL AS BIGINT) AS player_id, te
        FROM f GROUP BY team_id ORDER BY total_wins DESC, team_id LIMIT 1)
 SELECT * FROM pt UNION ALL SELECT * FROM ps UNION ALL SELECT * FROM tm""")
 def q_details_grouping_sets(spark, sf):
-    return details_grouping_sets(conform(spark, sf), tb.games(spark, sf))
+    return details_grouping_sets(conform(spark, sf, GAME_OUTCOME))
 
 
 _BUCKET_SQL = """CASE WHEN h = 'lnkd.in' OR h LIKE '%linkedin.com' THEN 'Linkedin'

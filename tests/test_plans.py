@@ -56,7 +56,7 @@ SINGLE_PARTITION_OK = {"dim_state_vs_activity"}
 
 @pytest.mark.parametrize("key", sorted(REG))
 def test_no_cartesian_or_unbounded_single_task(spark, key):
-    if key in {"layout_size_report", "write_time_partitioned", "write_ds_partitioned", "write_bucketed",
+    if key in {"layout_size_report", "layout_size_check", "write_time_partitioned", "write_ds_partitioned", "write_bucketed",
                "join_bucketed", "stream_sink_batch", "load_partition_overwrite", "partition_completeness",
                "cached_reuse", "match_bucket_join", "layout_sort_check",
                "stream_tumble_host", "stream_tumble_host_referrer", "stream_session", "stream_sink_upsert",
