@@ -1,18 +1,25 @@
 """SimHash near-duplicates by multi-index hashing.
 
-A fingerprint of 64 bits is cut into three segments. Two fingerprints at most
-4 bits apart are at most 1 bit apart in segment 0, or at most 1 bit apart in
-segment 1, or equal in segment 2 (otherwise they would differ in 2 + 2 + 1
-bits). So every fingerprint enters one table per segment under its segment
-value, asks each table for the small Hamming ball around its own value, and
-every match is verified on all 64 bits.
-
-Balls are enumerated upward only (a clear bit set): of two values one bit
-apart exactly one has that bit clear, so each pair is fetched once.
+A fingerprint of 64 bits is cut into segments, each with a radius. Two
+fingerprints at most 4 bits apart are within the radius of some segment there,
+if the radii and the number of segments less one add up to 4: with three
+segments, more than 1, 1 and 0 bits apart would be 2 + 2 + 1 bits; with two,
+more than 2 and 1 would be 3 + 2. So every fingerprint enters one table per
+segment under its segment value, asks each table for the small Hamming ball
+around its own value, and every match is verified on all 64 bits.
+
+Both splits find the same pairs. The one with the lower expected cost for the
+number of distinct fingerprints is taken: three narrow segments ask for few
+values, two wide ones keep buckets small beyond tens of millions.
+
+Balls are enumerated upward only (values above the own one): of two different
+values exactly one is the lower, so a segment fetches each pair once.
 """
 
 from __future__ import annotations
 
+from itertools import combinations
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
@@ -22,8 +29,10 @@ from dimforge.llm.components import components, with_heads
 
 SHINGLE_WORDS = 4
 MAX_BITS = 4
-# (first bit, bits, radius): the radii sum to MAX_BITS - 2, see above.
-SEGMENTS = ((0, 21, 1), (21, 21, 1), (42, 22, 0))
+# (first bit, bits, radius) of each segment; radii and segments less one sum to
+# MAX_BITS, see above.
+Segments = tuple[tuple[int, int, int], ...]
+SPLITS: tuple[Segments, ...] = (((0, 21, 1), (21, 21, 1), (42, 22, 0)), ((0, 32, 2), (32, 32, 1)))
 # Buckets with more distinct fingerprints than this are linked through a
 # leader first; it changes the plan for them, never the result.
 HEAVY_BUCKET = 64
@@ -74,42 +83,54 @@ def fingerprint_column(text: Column, n: int = SHINGLE_WORDS) -> Column:
     return simhash(text)
 
 
-def _segment(fp: Column, k: int) -> Column:
-    first, bits, _ = SEGMENTS[k]
+def _masks(bits: int, radius: int) -> list[int]:
+    """Every change of 1 to ``radius`` of ``bits`` bits."""
+    return [sum(1 << i for i in c) for r in range(1, radius + 1) for c in combinations(range(bits), r)]
+
+
+def segments_for(fingerprints: int) -> Segments:
+    """The split with the fewest values asked for and rows expected in their
+    buckets."""
+    def cost(split: Segments) -> float:
+        return sum((1 + len(_masks(bits, radius))) * (1 + fingerprints / (1 << bits)) for _, bits, radius in split)
+
+    return min(SPLITS, key=cost)
+
+
+def _segment(fp: Column, first: int, bits: int) -> Column:
     return F.shiftrightunsigned(fp, first).bitwiseAND(F.lit((1 << bits) - 1))
 
 
-def _tables(fps: DataFrame) -> DataFrame:
+def _tables(fps: DataFrame, segments: Segments) -> DataFrame:
     """(key, fp): each fingerprint under its value in each segment."""
-    keys = F.array(*[_segment(F.col("fp"), k) + F.lit(k << 32) for k in range(len(SEGMENTS))])
+    keys = F.array(*[_segment(F.col("fp"), first, bits) + F.lit(k << 32) for k, (first, bits, _) in enumerate(segments)])
     return fps.select(F.explode(keys).alias("key"), "fp")
 
 
-def _probes(fps: DataFrame) -> DataFrame:
+def _probes(fps: DataFrame, segments: Segments) -> DataFrame:
     """(key, fp, own): the upward Hamming ball of each segment; ``own`` marks
     the centre, the fingerprint's own value."""
-    entries = []
-    for k, (_, bits, radius) in enumerate(SEGMENTS):
-        value, base = _segment(F.col("fp"), k), F.lit(k << 32)
-        entries.append(F.struct((value + base).alias("key"), F.lit(True).alias("own")))
+    balls = []
+    for k, (first, bits, radius) in enumerate(segments):
+        value, base = _segment(F.col("fp"), first, bits), F.lit(k << 32)
+        balls.append(F.array(F.struct((value + base).alias("key"), F.lit(True).alias("own"))))
         if radius:
-            entries += [F.when(value.bitwiseAND(F.lit(1 << i)) == 0,
-                               F.struct((value + F.lit(1 << i) + base).alias("key"), F.lit(False).alias("own")))
-                        for i in range(bits)]
-    ball = F.filter(F.array(*entries), lambda e: e.isNotNull())
-    return fps.select("fp", F.explode(ball).alias("e")).select("fp", "e.key", "e.own")
+            masks = F.array(*[F.lit(m).cast("long") for m in _masks(bits, radius)])
+            up = F.filter(F.transform(masks, lambda m: value.bitwiseXOR(m)), lambda x: x > value)
+            balls.append(F.transform(up, lambda x: F.struct((x + base).alias("key"), F.lit(False).alias("own"))))
+    return fps.select("fp", F.explode(F.concat(*balls)).alias("e")).select("fp", "e.key", "e.own")
 
 
 def _near(a: str, b: str, max_bits: int) -> Column:
     return F.bit_count(F.col(a).bitwiseXOR(F.col(b))) <= max_bits
 
 
-def _links(fps: DataFrame, max_bits: int) -> DataFrame:
+def _links(fps: DataFrame, max_bits: int, segments: Segments = SPLITS[0]) -> DataFrame:
     """Links ``(u, v)`` with the same components as all pairs of distinct
     fingerprints at most ``max_bits`` apart. Every such pair is fetched and
     verified, but for pairs in heavy buckets whose ends are known to be in
     one component already."""
-    tab, ask = _tables(fps), _probes(fps)
+    tab, ask = _tables(fps, segments), _probes(fps, segments)
     heavy = materialise(tab.groupBy("key").agg(F.count("*").alias("n"), F.min("fp").alias("lead"))
                         .filter(F.col("n") > HEAVY_BUCKET).select("key", "lead"), "heavy")
 
@@ -160,14 +181,14 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     keeper's repeats are marked. Other columns are not read; an empty table
     gives an empty result.
     """
-    if max_bits != sum(r for *_, r in SEGMENTS) + len(SEGMENTS) - 1:
-        raise ValueError(f"SEGMENTS serve a distance of {MAX_BITS} bits")
+    if max_bits != MAX_BITS:
+        raise ValueError(f"SPLITS serve a distance of {MAX_BITS} bits")
     k1, k2 = row_key(F.col(id_col), F.col(text_col))
     rows = materialise(docs.select(F.col(id_col).alias("id"), k1.alias("k1"), k2.alias("k2"),
                                    fingerprint_column(F.col(text_col), n).alias("fp")), "fingerprints")
     first = F.min(F.struct(F.col("id").isNull(), "id", "k1", "k2")).alias("first")
     fps = materialise(rows.groupBy("fp").agg(first), "distinct-fingerprints")
-    label = components(_links(fps.select("fp"), max_bits))
+    label = components(_links(fps.select("fp"), max_bits, segments_for(fps.count())))
     named = with_heads(fps.withColumnRenamed("fp", "node"), label).select(F.col("node").alias("fp"), "head")
     return rows.join(named, "fp").select(
         F.col("id").alias(id_col), "fp", F.col("head.id").alias("component_id"), "k1", "k2",

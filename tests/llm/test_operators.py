@@ -323,7 +323,25 @@ def test_fingerprints_and_components(docs):
     assert left.columns == docs.columns and left.count() == len(want)
 
 
-def test_heavy_buckets_lose_no_link(spark, monkeypatch):
+def test_splits_of_the_fingerprint_fetch_every_near_pair_once_a_segment(spark):
+    assert simhash.segments_for(0) == simhash.segments_for(10**6) == simhash.SPLITS[0]
+    assert simhash.segments_for(10**9) == simhash.SPLITS[1]
+    rng = random.Random(9)
+    fps = {0, 2**64 - 1, 2**63}
+    for _ in range(60):
+        a = rng.getrandbits(64)
+        fps |= {a} | {a ^ sum(1 << b for b in rng.sample(range(64), k)) for k in (1, 2, 3, 4, 4, 4, 5)}
+    df = spark.createDataFrame([(int(np.uint64(f).view(np.int64)),) for f in fps], "fp long")
+    want = {(a, b) for a in fps for b in fps if a < b and (a ^ b).bit_count() <= 4}
+    for split in simhash.SPLITS:
+        assert sum(r for *_, r in split) + len(split) - 1 == simhash.MAX_BITS
+        assert split[0][0] == 0 and sum(bits for _, bits, _ in split) == 64
+        got = [tuple(sorted((u % 2**64, v % 2**64))) for u, v in simhash._links(df, 4, split).collect()]
+        assert set(got) == want and max(got.count(x) for x in want) <= len(split)
+
+
+@pytest.mark.parametrize("split", simhash.SPLITS)
+def test_heavy_buckets_lose_no_link(spark, monkeypatch, split):
     monkeypatch.setattr(simhash, "HEAVY_BUCKET", 3)
     rng = random.Random(4)
     fps = set()
@@ -337,7 +355,7 @@ def test_heavy_buckets_lose_no_link(spark, monkeypatch):
     fps = sorted(fps)
     df = spark.createDataFrame([(int(np.uint64(f).view(np.int64)),) for f in fps], "fp long")
     got = {}
-    for node, root in components.components(simhash._links(df, 4)).collect():
+    for node, root in components.components(simhash._links(df, 4, split)).collect():
         got.setdefault(root, set()).add(node % 2**64)
     group = {f: f for f in fps}
     changed = True
