@@ -13,7 +13,8 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from math import exp
+from math import exp, fsum
+from operator import mul
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +33,8 @@ DECAY = 1e-4
 # counted adds up over the pieces.
 PIECE = 1 << 20
 STRONGEST = 30.0
+# Steps of the weights when texts are scored: sums of them have no rounding.
+GRID = 2.0 ** -24
 
 # Byte classes: white space, small letters, capitals, digits, marks that end a
 # sentence, other marks of prose, symbols, bytes of characters beyond ASCII.
@@ -163,14 +166,18 @@ def line_figures(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 def potentials(figures: np.ndarray, chains: np.ndarray, weights: np.ndarray) -> np.ndarray:
     """Log odds of good for every line by its own figures and those of the lines
-    before and after it in its text; ``weights`` is (3, FIGURES)."""
-    own, before, after = (figures.astype(np.float32) @ weights.T.astype(np.float32)).T
+    before and after it in its text; ``weights`` is (3, FIGURES).
+
+    Weights count in steps of ``GRID``, so the sums are exact: a line has the
+    same odds whatever lines are computed with it.
+    """
+    own, before, after = (figures.astype(np.float64) @ (np.rint(weights.T / GRID) * GRID)).T
     ends = np.cumsum(chains)
     has = chains > 0
     first, last = (ends - chains)[has], (ends - 1)[has]
     from_before, from_after = np.roll(before, 1), np.roll(after, -1)
     from_before[first], from_after[last] = 0, 0
-    return np.clip(own + from_before + from_after, -STRONGEST, STRONGEST).astype(np.float64)
+    return np.clip(own + from_before + from_after, -STRONGEST, STRONGEST)
 
 
 @dataclass
@@ -207,8 +214,8 @@ class LineField:
         out, at = [], 0
         for n in chains.tolist():
             p = self.marginals(odds[at:at + n])
-            weight = sizes[at:at + n]
-            out.append(min(1.0, float(np.dot(p, weight) / weight.sum())) if n else 0.0)
+            weight = sizes[at:at + n].tolist()
+            out.append(min(1.0, fsum(map(mul, p, weight)) / sum(weight)) if n else 0.0)
             at += n
         return out
 

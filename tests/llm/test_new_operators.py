@@ -215,6 +215,14 @@ def test_long_texts_are_read_in_pieces(monkeypatch):
     assert (got[0][same] == want[0][same]).all()
 
 
+def test_quality_score_is_the_same_in_every_batch():
+    rng, draw = random.Random(1), np.random.default_rng(2)
+    field = crf.LineField(draw.normal(size=(3, crf.FIGURES)), draw.normal(size=(2, 2)))
+    texts = ["\n".join(" ".join(rng.choices(["alpha", "BETA", "12", "x."], k=rng.randrange(0, 30)))
+                       for _ in range(rng.randrange(1, 40))) for _ in range(200)] + ["", "## AA ##\nBB || BB 0"] * 3
+    assert field.scores(texts) == [field.scores([t])[0] for t in texts]
+
+
 def test_quality_learns_and_holds_out(spark):
     sf = "/root/testdata/sf0.1"
     docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
