@@ -211,8 +211,9 @@ def _linked(nodes: DataFrame, min_cosine: float, cells: int | None) -> DataFrame
     # More cells than blocks would only send every vector to more of them where
     # the bound spares little, as inside a dense cluster.
     k = max(1, min(cells or math.ceil(total / BLOCK), MAX_CELLS, total))
-    sample = nodes.orderBy("k1", "k2").limit(max(SAMPLE, k)).select("v").collect()
-    centroids = spherical_kmeans(_unit([np.asarray(r["v"], kind).tobytes() for r in sample], kind), k)
+    # Collected as bytes: a list of numbers takes several times the room on the driver.
+    sample = _packed(nodes.orderBy("k1", "k2").limit(max(SAMPLE, k)), kind).select("raw").collect()
+    centroids = spherical_kmeans(_unit([bytes(r["raw"]) for r in sample], kind), k)
     placed = materialise(_assign(_packed(nodes, kind), kind, centroids, min_cosine), "cells")
     seen = placed.withColumn("cell", F.explode("cells"))
     # At most k rows: into how many blocks a cell's own rows and visitors go.
