@@ -22,6 +22,8 @@ from dimforge.operators.loads import replace_table
 BITS = 4
 CHUNK_BITS = 20
 LEVELS = tuple(range(0, CHUNK_BITS + 1, BITS))
+# block sizes that whole ranges are made of while they are ranked
+SPAN_LEVELS = tuple(range(0, 41, BITS))
 
 
 def _shift(c: Column, bits: int) -> Column:
@@ -34,17 +36,17 @@ def _run(level: int, lo: Column, hi: Column) -> Column:
     return F.when(lo <= hi, some).otherwise(F.array().cast("array<struct<level:int,block:bigint>>"))
 
 
-def blocks_of(lo: Column, hi: Column) -> Column:
-    """The aligned blocks that make up ``lo..hi``, which lies in one chunk.
+def blocks_of(lo: Column, hi: Column, levels: Sequence[int] = LEVELS) -> Column:
+    """The aligned blocks that make up ``lo..hi``.
 
     On each level the blocks are those between the range's ends that no block
     of the next level covers.
     """
-    at = {n: (_shift(lo + ((1 << n) - 1), n), _shift(hi + 1, n)) for n in LEVELS}
+    at = {n: (_shift(lo + ((1 << n) - 1), n), _shift(hi + 1, n)) for n in levels}
     out = []
-    for n in LEVELS:
+    for n in levels:
         a, b = at[n]
-        if n == CHUNK_BITS:
+        if n == levels[-1]:
             out.append(_run(n, a, b - 1))
         else:
             up_a, up_b = (F.shiftleft(x, BITS) for x in at[n + BITS])
@@ -53,9 +55,9 @@ def blocks_of(lo: Column, hi: Column) -> Column:
     return F.concat(*out)
 
 
-def probes_of(number: Column) -> Column:
+def probes_of(number: Column, levels: Sequence[int] = LEVELS) -> Column:
     """The block of each level that a number lies in."""
-    return F.array(*[F.struct(F.lit(n).alias("level"), _shift(number, n).alias("block")) for n in LEVELS])
+    return F.array(*[F.struct(F.lit(n).alias("level"), _shift(number, n).alias("block")) for n in levels])
 
 
 @dataclass(frozen=True)
@@ -73,31 +75,35 @@ def range_blocks(ranges: DataFrame, lo: str, hi: str, values: Sequence[str], tie
     widths the first to begin, then the smallest ``tie``. Ranges with a null
     end, or that end before they begin, hold nothing; what lies below 0 is cut
     off. The table is written once, so a stream does not make it for each batch.
+
+    Ranges are numbered by rank, and each block keeps the least number only:
+    a segment meets one candidate per block size, however many ranges overlap.
     """
     spark = ranges.sparkSession
     r = (ranges.filter(F.col(lo).isNotNull() & (F.col(hi) >= F.greatest(F.col(lo), F.lit(0))))
                .select(F.greatest(F.col(lo), F.lit(0)).cast("bigint").alias("lo"), F.col(hi).cast("bigint").alias("hi"),
                        F.struct((F.col(hi) - F.col(lo)).alias("width"), F.col(lo).alias("from"), F.col(tie).alias("tie")).alias("rank"),
                        F.struct(*values).alias("v")))
-    chunks = (r.agg(F.max(_shift(F.col("hi"), CHUNK_BITS))).first()[0])
-    chunks = 0 if chunks is None else chunks + 1
+    # written, as the numbers of another run may differ
+    numbered = r.orderBy("rank").select("lo", "hi", "v", F.monotonically_increasing_id().alias("n"))
+    ranked = spark.read.schema(numbered.schema).parquet(replace_table(spark, numbered, "range-ranks"))
+    last, widest = ranked.agg(F.max("hi"), F.max(F.col("hi") - F.col("lo"))).first()
+    chunks = 0 if last is None else (last >> CHUNK_BITS) + 1
     size = 1 << CHUNK_BITS
-    # ranges by block
-    pieces = r.withColumn("c", F.explode(F.sequence(_shift(F.col("lo"), CHUNK_BITS), _shift(F.col("hi"), CHUNK_BITS))))
-    pieces = pieces.select(F.greatest("lo", F.col("c") * size).alias("lo"), F.least("hi", F.col("c") * size + (size - 1)).alias("hi"),
-                           "rank", "v")
-    by_block = pieces.select("rank", "v", F.inline(blocks_of(F.col("lo"), F.col("hi"))))
+    # blocks wider than every range hold none
+    levels = SPAN_LEVELS[:1] + tuple(n for n in SPAN_LEVELS[1:] if (1 << n) <= (widest or 0) + 1)
+    best = (ranked.select("n", F.inline(blocks_of(F.col("lo"), F.col("hi"), levels)))
+                  .groupBy("level", "block").agg(F.min("n").alias("n")))
     # segments between all ends, cut at the chunks
-    ends = (r.select(F.explode(F.array(F.col("lo"), F.col("hi") + 1)).alias("s"))
+    ends = (ranked.select(F.explode(F.array(F.col("lo"), F.col("hi") + 1)).alias("s"))
              .unionByName(spark.range(chunks).select((F.col("id") * size).alias("s"))).distinct()
              .filter(F.col("s") < chunks * size))
     within = Window.partitionBy(_shift(F.col("s"), CHUNK_BITS)).orderBy("s")
     segments = ends.withColumn("e", F.coalesce(F.lead("s").over(within),
                                                (_shift(F.col("s"), CHUNK_BITS) + 1) * size) - 1)
-    found = (segments.select("s", F.inline(probes_of(F.col("s")))).join(by_block, ["level", "block"])
-                     .groupBy("s").agg(F.min_by("v", "rank").alias("v")))
-    flat = (segments.join(found, "s", "left")
-                    .select(F.col("v.*"), F.inline(blocks_of(F.col("s"), F.col("e")))))
+    found = (segments.select("s", "e", F.explode(probes_of(F.col("s"), levels)).alias("_p")).select("s", "e", "_p.*")
+                     .join(best, ["level", "block"], "left").groupBy("s", "e").agg(F.min("n").alias("n")))
+    flat = found.join(ranked.select("n", "v"), "n", "left").select(F.col("v.*"), F.inline(blocks_of(F.col("s"), F.col("e"))))
     table = flat.select("level", "block", *values)
     return RangeBlocks(spark.read.schema(table.schema).parquet(replace_table(spark, table, "range-blocks")), chunks * size, tuple(values))
 

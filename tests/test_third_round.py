@@ -53,6 +53,26 @@ def test_range_lookup_without_ranges(spark):
     assert [r.v for r in range_lookup(rows, F.col("n"), blocks).collect()] == [None, None]
 
 
+def test_range_blocks_rank_many_overlapping_ranges_by_block(spark, monkeypatch):
+    from dimforge.operators import ranges as ra
+    written, write = [], ra.replace_table
+    monkeypatch.setattr(ra, "replace_table", lambda s, df, name: written.append(df) or write(s, df, name))
+    n = 300
+    rows = [(i, i % 40, 5000 - 3 * (i // 2), f"v{i}") for i in range(n)]
+    blocks = range_blocks(spark.createDataFrame(rows, "id long, lo long, hi long, v string"), "lo", "hi", ["v"], "id")
+    # a block keeps one range before segments meet it, so overlaps do not multiply
+    grouped = [ln for df in written for ln in df._jdf.queryExecution().optimizedPlan().toString().splitlines()
+               if "Aggregate [level#" in ln and "block#" in ln]
+    assert grouped
+    found = range_lookup(spark.range(5100).withColumnRenamed("id", "n"), F.col("n"), blocks)
+
+    def brute(x):
+        fits = [(hi - lo, lo, i, v) for i, lo, hi, v in rows if lo <= x <= hi]
+        return min(fits)[3] if fits else None
+
+    assert {r.n: r.v for r in found.collect()} == {x: brute(x) for x in range(5100)}
+
+
 def test_asof_join_has_no_range_condition_and_takes_long_histories(spark):
     n = 100_000
     versions = spark.range(n).select(F.lit(1).alias("k"), F.col("id").cast("int").alias("start_season"),
