@@ -132,19 +132,20 @@ def scd2_splice(scd: DataFrame, changes: DataFrame, key: str, period: str, track
     ``changes`` has one row per (key, period). A streak that holds the period
     with other values is split around it, the value becomes a streak of its
     own, and neighbours with equal values grow together. Keys whose stored
-    value is the same already, or that do not occur, pass through as they are;
-    only the others' streaks are taken apart. Loading all periods in any order
-    ends in ``scd2_backfill``'s streaks.
+    value is the same already, or that do not occur, come out as they are.
+    Loading all periods in any order ends in ``scd2_backfill``'s streaks. Null
+    keys match no other: their stored streaks stay.
+
+    Streaks are taken apart into their periods, beside the changes, and built
+    again; rows move once, by key.
     """
-    new = changes.select(key, period, F.struct(*tracked).alias("_new"))
-    stored = scd.select(key, F.explode(periods).alias(period), F.struct(*tracked).alias("_old"))
-    at = new.join(stored, [key, period], "left")
-    differs = at.filter(~F.col("_new").eqNullSafe(F.col("_old")) | F.col("_old").isNull())
-    touched = differs.select(key).distinct()
-    kept = stored.join(touched, key, "left_semi").join(differs.select(key, period), [key, period], "left_anti")
-    rows = kept.select(key, period, "_old.*").unionByName(differs.select(key, period, "_new.*"))
-    again = scd2_history(rows, key, period, tracked, start, end, periods)
-    return scd.join(touched, key, "left_anti").select(*again.columns).unionByName(again)
+    known = F.col(key).isNotNull()
+    stored = scd.filter(known).select(key, F.explode_outer(periods).alias(period), *tracked, F.lit(False).alias("_new"))
+    rows = stored.unionByName(changes.select(key, period, *tracked, F.lit(True).alias("_new"))).repartition(F.col(key))
+    rows = rows.withColumn("_replaced", F.max("_new").over(Window.partitionBy(key, period)))
+    again = scd2_history(rows.filter(F.col("_new") | ~F.col("_replaced")), key, period, tracked, start, end, periods)
+    # their own few partitions, or each splice would add those of the one before
+    return again.unionByName(scd.filter(~known).select(*again.columns).hint("rebalance"))
 
 
 def scd_type1(df: DataFrame, key: str, order: str, attrs: Sequence[str]) -> DataFrame:

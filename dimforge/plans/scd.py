@@ -8,9 +8,11 @@ from pyspark.sql import functions as F
 from dimforge.operators import cumulation as cu
 from dimforge.operators import scd
 from dimforge.operators.common import fold_steps
+from dimforge.operators.loads import load_partition_overwrite
 from dimforge.plans import query
 from dimforge.plans.cumulation import _BACKFILL_SQL, _TIER_SQL, season_backfill
 from dimforge.plans.periods import YEAR, year
+from dimforge.session import scratch_path
 from dimforge.sources import tables as tb
 from dimforge.sources.oracle_views import with_views
 
@@ -70,7 +72,10 @@ def q_scd2_incremental(spark, sf):
 def q_scd2_out_of_order(spark, sf):
     """Every year is loaded once, the last ones first and each second one late."""
     tracked = ["scoring_class", "is_active"]
-    snap = snapshot(spark, sf)
+    made = snapshot(spark, sf)
+    # the snapshots are made once; a load reads its year's partition
+    at = load_partition_overwrite(made, scratch_path(spark, "snapshots"), ["current_season"])
+    snap = spark.read.schema(made.schema).parquet(at)
     hi = year(spark, sf)
     low = snap.agg(F.min("current_season")).first()[0]
     years = list(range(hi, (hi if low is None else low) - 1, -1))

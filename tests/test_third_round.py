@@ -126,6 +126,25 @@ def test_splice_in_any_order_is_the_backfill(spark):
         sorted(map(str, scd.scd2_backfill(spark.createDataFrame(rows2, schema), "k", "p", ["v"]).select("k", "v", "start_season", "end_season").collect()))
 
 
+def test_splice_moves_rows_once_and_keeps_streaks_without_a_key(spark):
+    schema = "k string, v string, start_season int, end_season int, periods array<int>"
+    stored = spark.createDataFrame([("a", "x", 2001, 2003, [2001, 2002, 2003]), (None, "x", 2001, 2001, [2001]),
+                                    ("b", None, 2001, 2001, [2001])], schema)
+    new = spark.createDataFrame([("a", 2002, "y"), (None, 2002, "x"), ("b", 2002, None)], "k string, p int, v string")
+    got = scd.scd2_splice(stored, new, "k", "p", ["v"])
+    assert {(r.k, r.v, r.start_season, r.end_season) for r in got.collect()} == {
+        ("a", "x", 2001, 2001), ("a", "y", 2002, 2002), ("a", "x", 2003, 2003), (None, "x", 2001, 2001),
+        (None, "x", 2002, 2002), ("b", None, 2001, 2002)}
+    assert got.count() == 6
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        p = plan(scd.scd2_splice(stored, new, "k", "p", ["v"]))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    # one exchange by key (and one of the streaks without a key), no join
+    assert p.count("Exchange hashpartitioning") == 1 and "Join" not in p
+
+
 def test_bitmaps_merge_over_days_and_hosts(spark):
     t0 = dt.datetime(2024, 1, 1)
     rows = [(i % 70_000 if i % 9 else None, "h%d" % (i % 3), t0 + dt.timedelta(hours=i % 400)) for i in range(3000)]
