@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from dimforge.functions.columns import tier  # noqa: F401  (re-exported for the operators)
 
@@ -79,28 +80,30 @@ def sequence_positions(df: DataFrame, key: str | Sequence[str], day: str | Colum
     the calendar) get a prefix sum over days and are joined back. No window
     spans all rows of a key, so a key holding a third of the data is still
     spread over many tasks. Window and join use one struct as key (NULLs in it
-    compare as equal), so the input is shuffled once.
+    compare as equal), so the input is shuffled once; the totals are taken from
+    each day's first row, without an aggregation beside the sorted rows.
     """
-    keys = cols(key)
-    f = F.col(flag).cast("int") if flag is not None else F.lit(0)
+    keys, names = cols(key), df.columns
+    d = df.withColumn("_day", F.col(day) if isinstance(day, str) else day)
+    # keys stand in the struct alone, an integer flag in its own column alone: both uses of the
+    # rows then read one exchange
+    d = d.withColumn("_key", F.struct(*keys, "_day")).drop(*keys, "_day")
+    fl = flag if flag is not None and isinstance(df.schema[flag].dataType, T.IntegralType) else "_fl"
+    if fl == "_fl":
+        d = d.withColumn("_fl", F.lit(0) if flag is None else F.col(flag).cast("int"))
     within = Window.partitionBy("_key").orderBy(*tie)
     whole_day = Window.partitionBy("_key")
-    w = (df.withColumn("_day", F.col(day) if isinstance(day, str) else day)
-           .withColumn("_key", F.struct(*keys, "_day"))
-           .withColumn("_fl", f)
-           .withColumn("_r", F.row_number().over(within))
-           .withColumn("_cf", F.sum("_fl").over(within.rowsBetween(Window.unboundedPreceding, 0)))
-           .withColumn("_dn", F.count(F.lit(1)).over(whole_day))
-           .withColumn("_df", F.sum("_fl").over(whole_day)))
-    days = w.groupBy("_key").agg(F.max("_dn").alias("_dn"), F.max("_df").alias("_df"))
+    w = (d.withColumn("_r", F.row_number().over(within))
+          .withColumn("_cf", F.sum(fl).over(within.rowsBetween(Window.unboundedPreceding, 0)))
+          .withColumn("_dn", F.count(F.lit(1)).over(whole_day))
+          .withColumn("_df", F.sum(fl).over(whole_day)))
     before = (Window.partitionBy(*[F.col("_key")[k] for k in keys]).orderBy(F.col("_key")["_day"])
               .rowsBetween(Window.unboundedPreceding, -1))
-    days = days.select("_key", F.coalesce(F.sum("_dn").over(before), F.lit(0)).alias("_n0"),
-                       F.coalesce(F.sum("_df").over(before), F.lit(0)).alias("_f0"))
-    out = (w.join(days, "_key")
-           .withColumn("_pos", F.col("_n0") + F.col("_r"))
-           .withColumn("_cnt", F.col("_f0") + F.col("_cf"))
-           .drop("_n0", "_f0", "_r", "_cf", "_dn", "_df", "_fl", "_day", "_key"))
+    days = w.filter(F.col("_r") == 1).select("_key", F.coalesce(F.sum("_dn").over(before), F.lit(0)).alias("_n0"),
+                                             F.coalesce(F.sum("_df").over(before), F.lit(0)).alias("_f0"))
+    out = w.join(days, "_key").select(
+        *[F.col("_key")[c].alias(c) if c in keys else F.col(c) for c in names],
+        (F.col("_n0") + F.col("_r")).alias("_pos"), (F.col("_f0") + F.col("_cf")).alias("_cnt"))
     return out if flag is not None else out.drop("_cnt")
 
 

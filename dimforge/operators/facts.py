@@ -17,12 +17,15 @@ COMMENT_FLAGS = ("DNP", "DND", "NWT")
 def fact_conform(details: DataFrame, games: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
     """Deduped player-game facts joined to the game dimension, ``dim_*`` / ``m_*`` naming.
 
-    Dedupe first (``row_number() == 1`` with a partial group limit before the
-    shuffle), so the join shuffles the reduced rows; one row per (game, team,
-    player), earliest load wins. ``carry`` names further columns of ``games``
-    that come along unchanged, so that no later step joins ``games`` again.
+    Rows are shuffled once, by game: dedupe (``row_number() == 1``) and join
+    both run on that partitioning, and nothing is sorted in the scan's tasks,
+    which may hold a whole file. One row per (game, team, player), earliest
+    load wins; a game without a number joins nothing. ``carry`` names further
+    columns of ``games`` that come along unchanged, so that no later step joins
+    ``games`` again.
     """
-    d = dedup_first(details, ["game_id", "team_id", "player_id"], ["loaded_at", "start_position"])
+    played = details.filter(F.col("game_id").isNotNull()).repartition("game_id")
+    d = dedup_first(played, ["game_id", "team_id", "player_id"], ["loaded_at", "start_position"])
     g = games.select("game_id", "game_date_est", "season", "home_team_id",
                      *[c for c in carry if c != "home_team_id"])
     j = d.join(g, "game_id")

@@ -226,9 +226,10 @@ def longest_streak(df: DataFrame, key: str, day: str, tie: Sequence[str], cond:
     Island id = position - running count of qualifying rows; both come from
     ``sequence_positions`` (no window over all of an entity's rows).
     """
-    d = sequence_positions(df.withColumn("_ok", cond), key, day, tie, "_ok")
+    d = sequence_positions(df.withColumn("_ok", cond.cast("int")), key, day, tie, "_ok")
     # rows that do not qualify fall into one (key, NULL) group of length 0, so every entity is
     # kept without a second pass over the input
-    island = F.when(F.col("_ok"), F.col("_pos") - F.col("_cnt"))
-    runs = d.groupBy(key, island.alias("_island")).agg(F.count_if(F.col("_ok")).alias("_len"))
+    ok = F.col("_ok") == 1
+    island = F.when(ok, F.col("_pos") - F.col("_cnt"))
+    runs = d.groupBy(key, island.alias("_island")).agg(F.count_if(ok).alias("_len"))
     return runs.groupBy(key).agg(F.max("_len").alias("longest_streak"))

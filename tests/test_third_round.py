@@ -215,3 +215,33 @@ def test_pruned_bucket_join_plan(spark):
     text = plan(pruned_order_lines(spark, SF_SMALL))
     assert text.lower().count("dynamicpruning") >= 2
     assert "Exchange hashpartitioning" not in text and text.count("Bucketed: true") >= 2
+
+
+def test_streak_positions_keep_no_second_copy_of_the_rows(spark):
+    from dimforge.operators import common
+    from dimforge.plans import load_all
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        df = spark.range(1000).selectExpr("id", "id % 3 AS k", "id div 10 AS day", "CASE WHEN id % 5 > 0 THEN id % 7 = 0 END AS f")
+        p = plan(common.sequence_positions(df, "k", "day", ["id"], "f"))
+        assert "Aggregate" not in p      # day totals are read off the windows
+        facts = plan(load_all()["fact_conform"][0](spark, SF_SMALL))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    # the group limit, and its sort, stand behind the shuffle by game, and no other shuffle follows
+    below = facts[facts.rindex("WindowGroupLimit"):]
+    assert below.index("Exchange hashpartitioning(game_id") > 0 and facts[:facts.rindex("WindowGroupLimit")].count("hashpartitioning(game_id, ") == 0
+
+
+def test_positions_with_null_keys_and_flags(spark):
+    from dimforge.operators import common
+    rows = [("a", 1, 1, True), ("a", 1, 2, None), ("a", 2, 1, True), (None, 1, 1, False), (None, 3, 2, True), ("b", None, 1, None)]
+    for kind in ("boolean", "int"):
+        df = spark.createDataFrame([(k, d, i, f if kind == "boolean" or f is None else int(f)) for k, d, i, f in rows],
+                                   f"k string, day int, id int, f {kind}")
+        got = common.sequence_positions(df, "k", "day", ["id"], "f")
+        assert got.columns == ["k", "day", "id", "f", "_pos", "_cnt"]
+        assert {(r.k, r.day, r.id, r["_pos"], r["_cnt"]) for r in got.collect()} == {
+            ("a", 1, 1, 1, 1), ("a", 1, 2, 2, 1), ("a", 2, 1, 3, 2), (None, 1, 1, 1, 0), (None, 3, 2, 2, 1), ("b", None, 1, 1, None)}
