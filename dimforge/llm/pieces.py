@@ -52,6 +52,8 @@ NONE_LEFT = np.int32((1 << 31) - 1)
 GROUP_CHARS = 2_000_000
 GROUP_WORDS = GROUP_CHARS // 4
 BLOCK_WORDS = 1 << 16
+# Ids that are decoded at once.
+DECODE_IDS = 1 << 16
 
 
 def occurrence_keys(text_key: int, first: int, n: int) -> np.ndarray:
@@ -228,18 +230,22 @@ class PieceModel:
         self.ids: dict[str, int] = {}
         self.rank: dict[str, tuple[float, int]] = {}
         self.bytes: dict[int, int] = {}
-        self.decoded: list[bytes] = []
+        decoded: list[bytes] = []
         for i in range(model.vocab_size()):
             piece = model.id_to_piece(i)
             if model.is_byte(i):
                 self.bytes[int(piece[3:5], 16)] = i
-                self.decoded.append(bytes([int(piece[3:5], 16)]))
+                decoded.append(bytes([int(piece[3:5], 16)]))
             elif model.is_control(i) or model.is_unknown(i):
-                self.decoded.append(b"")
+                decoded.append(b"")
             else:
                 self.ids[piece] = i
                 self.rank[piece] = (-model.get_score(i), i)
-                self.decoded.append(piece.replace(SPACE, " ").encode())
+                decoded.append(piece.replace(SPACE, " ").encode())
+        # All pieces' bytes, and where each begins.
+        self.letters = np.frombuffer(b"".join(decoded), np.uint8)
+        self.sizes = np.fromiter(map(len, decoded), np.int64, len(decoded))
+        self.starts = np.cumsum(self.sizes) - self.sizes
         if len(self.bytes) < 256:
             raise ValueError("the model needs all byte pieces to decode losslessly")
         order = sorted(self.rank, key=self.rank.__getitem__)
@@ -315,9 +321,15 @@ class PieceModel:
         return out
 
     def decode(self, packed: bytes) -> str:
-        ids = array("I")
-        ids.frombytes(packed)
-        return b"".join(map(self.decoded.__getitem__, ids))[1:].decode("utf-8", "surrogatepass")
+        ids = np.frombuffer(packed, np.uint32)
+        parts = (self._spelt_bytes(ids[at:at + DECODE_IDS]) for at in range(0, len(ids), DECODE_IDS))
+        return b"".join(parts)[1:].decode("utf-8", "surrogatepass")
+
+    def _spelt_bytes(self, ids: np.ndarray) -> bytes:
+        """Bytes of the pieces, gathered from those of all pieces."""
+        sizes = self.sizes[ids]
+        ends = np.cumsum(sizes)
+        return self.letters[np.arange(ends[-1]) + np.repeat(self.starts[ids] - (ends - sizes), sizes)].tobytes()
 
 
 class Known:

@@ -585,3 +585,15 @@ def test_sql_matches(spark):
             cols = sorted(df.columns)
             want = con.execute(f"SELECT {', '.join(cols)} FROM ({sql})").fetchall()
             assert sorted(map(str, map(norm, df.select(*cols).collect()))) == sorted(map(str, map(norm, want))), name
+
+
+def test_decoding_of_packed_ids_in_parts(monkeypatch):
+    import public_tokenizers
+    from dimforge.llm import pieces
+    model = pieces.piece_model(public_tokenizers.path("piece_bpe_32k.model"))
+    encoder = pieces.TextEncoder(model, 0.1, 1)
+    texts = ["", " ", "a", "two words\n\n and \u2581 more \U0001f600 \x00 \u0627", "\ud800 alone", "long " * 500]
+    ids = list(encoder.encode_many(texts))
+    assert [model.decode(p) for p in ids] == texts
+    monkeypatch.setattr(pieces, "DECODE_IDS", 3)
+    assert [model.decode(p) for p in ids] == texts
