@@ -481,6 +481,14 @@ def text_encoder(path: str, dropout: float, seed: int) -> TextEncoder:
     return TextEncoder(piece_model(path), dropout, seed)
 
 
+def _encoded(texts: pd.Series, model_path: str, dropout: float, seed: int) -> list[bytes | None]:
+    rows = [i for i, t in enumerate(texts) if t is not None]
+    out: list[bytes | None] = [None] * len(texts)
+    for i, ids in zip(rows, text_encoder(model_path, dropout, seed).encode_many(texts.iloc[i] for i in rows)):
+        out[i] = ids
+    return out
+
+
 def encode_column(text: Column, model_path: str, dropout: float = DROPOUT, seed: int = SEED) -> Column:
     """Ids of whole texts, packed as little-endian unsigned 32-bit; null for a
     null text, empty for an empty one."""
@@ -488,15 +496,30 @@ def encode_column(text: Column, model_path: str, dropout: float = DROPOUT, seed:
 
     @F.pandas_udf("binary")
     def encode(texts: pd.Series) -> pd.Series:
-        rows = [i for i, t in enumerate(texts) if t is not None]
-        out: list[bytes | None] = [None] * len(texts)
-        for i, ids in zip(rows, text_encoder(model_path, dropout, seed).encode_many(texts.iloc[i] for i in rows)):
-            out[i] = ids
-        return pd.Series(out, dtype=object)
+        return pd.Series(_encoded(texts, model_path, dropout, seed), dtype=object)
 
     return encode(text)
 
 
+def checked_column(text: Column, model_path: str, dropout: float = DROPOUT, seed: int = SEED) -> Column:
+    """``encode_column`` with the proof: a struct of ``ids`` and ``lossless``,
+    which says that decoding gives the text back (null for a null text).
+
+    Decoding the ids by ``decode_column`` in the same query would encode each
+    text twice: Spark evaluates the inner function of a chain of Python
+    functions anew for every function that takes its result.
+    """
+    ship()
+
+    @F.pandas_udf("ids binary, lossless boolean")
+    def encode_checked(texts: pd.Series) -> pd.DataFrame:
+        model, ids = piece_model(model_path), _encoded(texts, model_path, dropout, seed)
+        lossless = [None if p is None else model.decode(p) == t for p, t in zip(ids, texts)]
+        return pd.DataFrame({"ids": pd.Series(ids, dtype=object), "lossless": pd.Series(lossless, dtype=object)})
+
+    return encode_checked(text)
+
+
 def decode_column(ids: Column, model_path: str) -> Column:
     """The text that packed ids stand for; null for null."""
     ship()
@@ -518,9 +541,7 @@ def encode_texts(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_
     ids of rows and repeated rows pass through, equal texts get equal ids;
     other columns are not read; an empty table gives an empty result.
     """
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t"),
-                       encode_column(F.col(text_col), model_path, dropout, seed).alias("ids"))
-    rows = rows.withColumn("back", decode_column(F.col("ids"), model_path))
-    return rows.select(F.col("id").alias(id_col), "ids",
-                       F.coalesce(F.octet_length("ids") / 4, F.lit(0)).cast("long").alias("n_ids"),
-                       (F.col("back") == F.col("t")).alias("lossless"))
+    rows = docs.select(F.col(id_col).alias("id"), checked_column(F.col(text_col), model_path, dropout, seed).alias("checked"))
+    return rows.select(F.col("id").alias(id_col), "checked.ids",
+                       F.coalesce(F.octet_length("checked.ids") / 4, F.lit(0)).cast("long").alias("n_ids"),
+                       "checked.lossless")

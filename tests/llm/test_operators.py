@@ -597,3 +597,26 @@ def test_decoding_of_packed_ids_in_parts(monkeypatch):
     assert [model.decode(p) for p in ids] == texts
     monkeypatch.setattr(pieces, "DECODE_IDS", 3)
     assert [model.decode(p) for p in ids] == texts
+
+
+def test_pieces_encode_each_text_once(spark):
+    """A plan in which decoding takes its own copy of the encoding does the work twice."""
+    import re
+
+    from dimforge.llm.queries import op9_pieces
+    texts = [(1, "one text, one encoding"), (None, "an id that is null"), (2, None), (3, ""), (3, ""), (4, " \n▁ 😀\0  end ")]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    found = pieces.encode_texts(docs, PIECES)
+    for df in (found, found.select("doc_id", F.crc32("ids"), "n_ids", "lossless"), op9_pieces(spark, "/root/testdata/sf0.001")):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        given = re.findall(r"ArrowEvalPython \[(.*)\], \[pythonUDF", plan)
+        assert len(given) == 1 and len(re.findall(r"\btext#\d+", given[0])) == 1, plan
+    # The values are those of the two steps taken one after the other.
+    encoder = pieces.TextEncoder(pieces.PieceModel(PIECES), pieces.DROPOUT, pieces.SEED)
+    want = [(i, None if t is None else encoder.encode(t), None if t is None else True) for i, t in texts]
+    got = found.collect()
+    assert sorted(map(str, ((r.doc_id, r.ids and bytes(r.ids), r.lossless) for r in got))) == \
+        sorted(map(str, ((i, ids, lossless) for i, ids, lossless in want)))
+    assert all(r.n_ids == len(r.ids or b"") // 4 for r in got)
+    back = docs.select("text", pieces.decode_column(pieces.encode_column(F.col("text"), PIECES), PIECES).alias("back"))
+    assert all(r.text == r.back for r in back.collect())
