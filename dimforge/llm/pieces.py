@@ -198,7 +198,7 @@ def merge_many(symbols: np.ndarray, lengths: np.ndarray, table: PairTable, keys:
         return np.where(at < 0, NONE_LEFT, at << PLACE_BITS | row.astype(np.int32))
 
     agenda = np.full((width + 2, n), NONE_LEFT, np.int32)
-    at = table.lookup(sym[1:-1].ravel(), sym[2:].ravel()) if pairs is None else pairs.T.ravel()
+    at = table.lookup(sym[1:-1].ravel(), sym[2:].ravel()) if pairs is None else np.array(pairs.T, np.int32, order="C").ravel()
     agenda[1:-1] = candidates(at, np.repeat(rows[1:-1], n, 1).ravel(), np.tile(keys, width)).reshape(width, n)
     flat, todo = sym.ravel(), agenda.ravel()
     while len(live := np.flatnonzero((best := agenda.min(0)) < NONE_LEFT)):
@@ -342,8 +342,9 @@ class Known:
         self.table = table
         self.first = np.zeros(1, np.int64)
         self.lengths = np.zeros(0, np.int64)
-        # Symbols of each word, and the orders of its neighbours.
-        self.symbols, self.pairs = np.zeros((0, SHORT), np.int32), np.zeros((0, SHORT), np.int32)
+        # Symbols of each word, and the orders of its neighbours, -1 for none.
+        self.symbols = np.zeros((0, SHORT), np.min_scalar_type(table.other))
+        self.pairs = np.zeros((0, SHORT), np.min_scalar_type(-1 - table.pieces))
         self.orders, self.places = np.zeros(0, np.int32), np.zeros(0, np.uint8)
 
     def add(self, words: list[str], spelt: list[str], ids: list[bytes], merges: list) -> None:
@@ -355,8 +356,9 @@ class Known:
         self.lengths = np.concatenate([self.lengths, np.fromiter(map(len, spelt), np.int64, len(spelt))])
         symbols = spelt_symbols(spelt, SHORT, self.table)
         after = np.concatenate([symbols[:, 1:], np.full((len(spelt), 1), self.table.other, np.int32)], 1)
-        self.symbols = np.concatenate([self.symbols, symbols])
-        self.pairs = np.concatenate([self.pairs, self.table.lookup(symbols.ravel(), after.ravel()).reshape(-1, SHORT)])
+        pairs = self.table.lookup(symbols.ravel(), after.ravel()).reshape(-1, SHORT)
+        self.symbols = np.concatenate([self.symbols, symbols.astype(self.symbols.dtype)])
+        self.pairs = np.concatenate([self.pairs, pairs.astype(self.pairs.dtype)])
         of, places, orders = (np.concatenate([m[k] for m in merges]) if merges else np.zeros(0, np.int64) for k in range(3))
         by_word = np.argsort(of, kind="stable")
         counts = np.bincount(of.astype(np.int64), minlength=len(words))

@@ -620,3 +620,18 @@ def test_pieces_encode_each_text_once(spark):
     assert all(r.n_ids == len(r.ids or b"") // 4 for r in got)
     back = docs.select("text", pieces.decode_column(pieces.encode_column(F.col("text"), PIECES), PIECES).alias("back"))
     assert all(r.text == r.back for r in back.collect())
+
+
+def test_remembered_symbols_hold_every_order():
+    """The integers that remember words are wide enough for any model."""
+    letters = [chr(0x4E00 + i) for i in range(260)]
+    for n in (5, 32_767, 32_768, 66_000):
+        pieces_of = letters[:3] if n == 5 else letters
+        many = [*pieces_of, *(a + b for a in pieces_of for b in pieces_of)][:n]
+        table = pieces.PairTable({p: i for i, p in enumerate(many)})
+        known, last = pieces.Known(table), many[-1]
+        words = [last, last + last, letters[-1] + "a"]
+        known.add(words, words, [b""] * 3, [])
+        symbols = pieces.spelt_symbols(words, pieces.SHORT, table)
+        assert (known.symbols == symbols).all() and known.symbols.max() == table.other
+        assert known.pairs[0, 0] == len(many) - 1 and known.pairs[2, 0] == known.pairs.min() == -1
