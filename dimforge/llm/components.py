@@ -59,11 +59,12 @@ def with_heads(nodes: DataFrame, label: DataFrame) -> DataFrame:
     Nodes without links are their own head. Heads are joined salted: a
     component of a third of all nodes is read by ``SALTS`` tasks, and as every
     component in ``label`` has two nodes at least, the salted heads are at most
-    half of ``SALTS`` times the linked nodes.
+    half of ``SALTS`` times the linked nodes. Spark sizes the salted heads like
+    the heads, so the join is a sort-merge join at every size.
     """
     named = nodes.join(label, "node", "left")
     linked = named.filter("root is not null")
     heads = linked.groupBy("root").agg(F.min("first").alias("head"))
     linked, heads = salted(linked, F.col("node"), heads, SALTS)
-    linked = linked.join(heads, ["root", "__salt"]).drop("root", "__salt")
+    linked = linked.join(heads.hint("merge"), ["root", "__salt"]).drop("root", "__salt")
     return linked.unionByName(named.filter("root is null").drop("root").withColumn("head", F.col("first")))

@@ -138,7 +138,9 @@ def _links(fps: DataFrame, max_bits: int, segments: Segments = SPLITS[0]) -> Dat
         t = table.select("key", F.col("fp").alias("u"), *[F.col("c").alias("cu") for _ in [1] if "c" in table.columns])
         p = probe.withColumnRenamed("fp", "v").withColumnRenamed("c", "cv")
         on = (t.key == p.key) & _near("u", "v", max_bits) & (~F.col("own") | F.expr("v < u"))
-        return t.join(p, on if extra is None else on & extra)
+        # Spark sizes an exploded table like the one it comes from, and so would
+        # broadcast the probes, some 25 a fingerprint, of millions of them.
+        return t.join(p.hint("merge"), on if extra is None else on & extra)
 
     if heavy.isEmpty():
         return match(tab, ask).select("u", "v")
@@ -190,7 +192,9 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     fps = materialise(rows.groupBy("fp").agg(first), "distinct-fingerprints")
     label = components(_links(fps.select("fp"), max_bits, segments_for(fps.count())))
     named = with_heads(fps.withColumnRenamed("fp", "node"), label).select(F.col("node").alias("fp"), "head")
-    return rows.join(named, "fp").select(
+    # The files of repeated rows are far smaller than the rows, so ``rows`` is
+    # not to be broadcast by their size.
+    return rows.join(named.hint("merge"), "fp").select(
         F.col("id").alias(id_col), "fp", F.col("head.id").alias("component_id"), "k1", "k2",
         ((F.col("k1") == F.col("head.k1")) & (F.col("k2") == F.col("head.k2"))).alias("keeper"))
 
