@@ -60,9 +60,10 @@ def with_heads(nodes: DataFrame, label: DataFrame) -> DataFrame:
     component of a third of all nodes is read by ``SALTS`` tasks, and as every
     component in ``label`` has two nodes at least, the salted heads are at most
     half of ``SALTS`` times the linked nodes. Spark sizes the salted heads like
-    the heads, so the join is a sort-merge join at every size.
+    the heads, and nodes and labels by their files, in which they are several
+    times smaller, so both joins are sort-merge joins at every size.
     """
-    named = nodes.join(label, "node", "left")
+    named = nodes.join(label.hint("merge"), "node", "left")
     linked = named.filter("root is not null")
     heads = linked.groupBy("root").agg(F.min("first").alias("head"))
     linked, heads = salted(linked, F.col("node"), heads, SALTS)

@@ -44,11 +44,11 @@ def test_heavy_buckets_are_matched_without_a_broadcast(fps, monkeypatch):
     assert components.components(links).select("root").distinct().count() == 1000
 
 
-def test_salted_heads_are_not_broadcast(fps):
+def test_nodes_labels_and_salted_heads_are_not_broadcast(fps):
     label = components.components(simhash._links(fps.select("fp"), simhash.MAX_BITS))
     named = components.with_heads(fps.withColumnRenamed("fp", "node"), label)
     plan = plan_of(named)
-    assert "__salt" in plan and not broadcast_joins(plan, "__salt")
+    assert "__salt" in plan and not broadcast_joins(plan, "__salt") and not broadcast_joins(plan, "node")
     assert named.filter(F.col("head.id") == F.col("first.id").bitwiseAND(F.lit(-2))).count() == 2000
 
 
